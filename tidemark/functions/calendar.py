@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
@@ -90,11 +90,10 @@ def week_context(monday: Column) -> Column:
     return F.when(F.size(notes) > 0, F.array_join(notes, "; "))
 
 
-def calendar(spark: SparkSession, start: Column | str, end: Column | str) -> DataFrame:
-    """One row per day from start to end with week, note and budget factor."""
-    first = F.lit(start).cast("date") if isinstance(start, str) else start
-    last = F.lit(end).cast("date") if isinstance(end, str) else end
-    days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("date"))
+def calendar(df: DataFrame, column: str = "date") -> DataFrame:
+    """One row per day from the first to the last date of a table, with calendar columns."""
+    bounds = df.agg(F.min(column).cast("date").alias("a"), F.max(column).cast("date").alias("b"))
+    days = bounds.select(F.explode(F.sequence("a", "b")).alias("date"))
     return with_calendar_columns(days)
 
 

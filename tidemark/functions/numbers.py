@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def null_if_nan(value: Column) -> Column:
     """NaN and the infinities become NULL, so missing has one spelling."""
     number = value.cast("double")
-    finite = ~F.isnan(number) & (F.abs(number) != float("inf"))
-    return F.when(finite, number)
+    # NaN sorts above infinity, so one comparison refuses both.
+    return F.when(F.abs(number) < float("inf"), number)
+
+
+def money_sum(value: Column) -> Column:
+    """Sum of amounts that does not depend on the order in which tasks deliver them.
+
+    Floating sums change in the last digit with the partitioning, which would change rounded
+    facts and their fingerprint from run to run. Decimal addition is exact.
+    """
+    return F.sum(value.cast("decimal(28,10)")).cast("double")
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:
@@ -44,3 +53,13 @@ def array_median(values: Column) -> Column:
     low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
     high = F.get(ordered, F.floor(n / 2).cast("int"))
     return F.when(n > 0, (low + high) / 2)
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns so that each row computes them exactly once.
+
+    They are added as the output of a generator. A later filter or projection reads that
+    output; over a plain projection the optimizer would copy the expression into the filter.
+    """
+    named = [column.alias(name) for name, column in columns.items()]
+    return df.select("*", F.inline(F.array(F.struct(*named))))

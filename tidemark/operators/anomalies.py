@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions.calendar import day_context, iso_week_label, week_context
-from tidemark.functions.numbers import array_median, null_if_nan, round_even
+from tidemark.functions.numbers import (
+    array_median,
+    computed_once,
+    null_if_nan,
+    round_even,
+    safe_divide,
+)
 from tidemark.model import Settings
-from tidemark.operators.kpis import with_ratios
+from tidemark.operators.kpis import sums, with_ratios
 
 TOTAL_SUMS = tuple(
     c for c in fv.WEEKLY_SUMS if c not in ("spend", "duplicate_purchase_events")
@@ -27,9 +33,7 @@ COLUMNS = [
 
 def with_daily_total(daily: DataFrame) -> DataFrame:
     """Daily KPI rows plus one total row per date; ``is_total`` tells them apart."""
-    totals = daily.groupBy("date").agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).cast(daily.schema[c].dataType).alias(c) for c in TOTAL_SUMS]
-    )
+    totals = daily.groupBy("date").agg(*sums(TOTAL_SUMS)).fillna(0, subset=list(TOTAL_SUMS))
     totals = with_ratios(totals.withColumn("spend", F.lit(None).cast("double")))
     totals = totals.withColumns({"channel": F.lit(fv.TOTAL), "is_total": F.lit(True)})
     return daily.withColumn("is_total", F.lit(False)).unionByName(
@@ -108,21 +112,33 @@ def trailing_baseline(daily: DataFrame, settings: Settings) -> DataFrame:
 
 def enough_volume(rows: DataFrame, settings: Settings) -> DataFrame:
     """Add the median volume and whether it lets the day be scored; unknown volume does."""
-    typical = array_median(F.col("volume_values"))
-    return rows.withColumn("volume_median", typical).withColumn(
-        "enough_volume",
-        F.coalesce(F.col("volume_median") >= settings.min_daily_volume, F.lit(True)),
-    )
+    rows = computed_once(rows, volume_median=array_median(F.col("volume_values")))
+    enough = F.col("volume_median") >= settings.min_daily_volume
+    return rows.withColumn("enough_volume", F.coalesce(enough, F.lit(True)))
 
 
-def robust_z(value: Column, values: Column, median: Column) -> Column:
-    """Modified z-score; falls back to the mean deviation, NULL for a constant baseline."""
-    deviations = F.transform(values, lambda v: F.abs(v - median))
-    mad = array_median(deviations)
-    mean_ad = F.aggregate(deviations, F.lit(0.0), lambda a, d: a + d) / F.size(deviations)
-    return F.when(mad > 0, F.lit(fv.MAD_TO_SIGMA) * (value - median) / mad).when(
-        mean_ad > 0, (value - median) / (F.lit(fv.MEAN_AD_TO_SIGMA) * mean_ad)
+def robust_z(rows: DataFrame) -> DataFrame:
+    """Add baseline (the median) and z, the modified z-score of value.
+
+    The scale is the median deviation, or the mean deviation where that is 0; z is NULL for a
+    constant baseline.
+    """
+    values, median = F.col("baseline_values"), F.col("baseline")
+    rows = computed_once(rows, baseline=array_median(values))
+    rows = computed_once(rows, _deviations=F.transform(values, lambda v: F.abs(v - median)))
+    deviations = F.col("_deviations")
+    total = F.aggregate(deviations, F.lit(0.0), lambda a, d: a + d)
+    rows = computed_once(
+        rows, _mad=array_median(deviations), _mean_ad=safe_divide(total, F.size(deviations))
+    )
+    distance = F.col("value") - median
+    z = F.when(
+        F.col("_mad") > 0, safe_divide(F.lit(fv.MAD_TO_SIGMA) * distance, F.col("_mad"))
+    ).when(
+        F.col("_mean_ad") > 0,
+        safe_divide(distance, F.lit(fv.MEAN_AD_TO_SIGMA) * F.col("_mean_ad")),
     )
+    return rows.withColumn("z", z).drop("_deviations", "_mad", "_mean_ad")
 
 
 def scored_days(daily: DataFrame, settings: Settings) -> DataFrame:
@@ -131,10 +147,7 @@ def scored_days(daily: DataFrame, settings: Settings) -> DataFrame:
         F.col("value").isNotNull()
         & (F.size("baseline_values") >= settings.min_baseline_days)
     )
-    rows = enough_volume(rows, settings).where("enough_volume")
-    rows = rows.withColumn("baseline", array_median(F.col("baseline_values")))
-    z = robust_z(F.col("value"), F.col("baseline_values"), F.col("baseline"))
-    return rows.withColumn("z", z)
+    return robust_z(enough_volume(rows, settings).where("enough_volume"))
 
 
 def daily_anomalies(daily: DataFrame, settings: Settings) -> DataFrame:

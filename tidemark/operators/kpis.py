@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions.calendar import iso_week_label, monday_of
-from tidemark.functions.numbers import safe_divide
+from tidemark.functions.numbers import money_sum, safe_divide
 
 DAYS_IN_WEEK = 7
+AMOUNTS = ("revenue", "spend")
+
+
+def sums(columns: Sequence[str]) -> list[Column]:
+    return [(money_sum(F.col(c)) if c in AMOUNTS else F.sum(c)).alias(c) for c in columns]
 
 
 def with_ratios(df: DataFrame) -> DataFrame:
@@ -59,7 +64,7 @@ def weekly_sums(daily: DataFrame, paid: Sequence[str]) -> DataFrame:
     weekday = F.call_function("shiftleft", F.lit(1), F.weekday("date"))
     return (
         daily.groupBy(monday_of(F.col("date")).alias("week_start"), "channel")
-        .agg(*[F.sum(c).alias(c) for c in fv.WEEKLY_SUMS], F.bit_or(weekday).alias("_days"))
+        .agg(*sums(fv.WEEKLY_SUMS), F.bit_or(weekday).alias("_days"))
         .withColumn("is_paid", F.coalesce(F.col("channel").isin(*paid), F.lit(False)))
     )
 
@@ -73,7 +78,7 @@ def weekly_metrics(daily: DataFrame, spend: DataFrame, paid: Sequence[str]) -> D
     """
     channels = weekly_sums(join_spend(daily, spend, paid), paid)
     totals = channels.groupBy("week_start").agg(
-        *[F.sum(c).alias(c) for c in fv.WEEKLY_SUMS], F.bit_or("_days").alias("_days")
+        *sums(fv.WEEKLY_SUMS), F.bit_or("_days").alias("_days")
     )
     days = F.bit_count("_days").cast("bigint")
     week = totals.select(

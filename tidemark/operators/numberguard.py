@@ -65,7 +65,8 @@ def fact_numbers(facts: DataFrame) -> DataFrame:
 
     names = [c for c in facts.columns if c != "week"]
     numeric = leaves(facts.select(*names).schema, F.lit(""), F.struct(*names))
-    return facts.select("week", F.inline(numeric)).where(F.col("value").isNotNull())
+    exploded = facts.select("week", F.explode(numeric).alias("_leaf"))
+    return exploded.select("week", "_leaf.*").where(F.col("value").isNotNull())
 
 
 def _cell(value: Column, unit: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark import fixed_values as fv
 from tidemark.functions.calendar import iso_week_label
-from tidemark.functions.numbers import null_if_nan, safe_divide
+from tidemark.functions.numbers import money_sum, null_if_nan, safe_divide
 from tidemark.model import DAILY, SPEND, Settings
 from tidemark.sources.tables import StructureError, require_columns
 
@@ -142,12 +142,16 @@ def quarantine_summary(quarantined: DataFrame) -> DataFrame:
 # --- profile ---------------------------------------------------------------------------
 
 
+def _add(column: str) -> Column:
+    return money_sum(F.col(column)) if column == "revenue" else F.sum(column)
+
+
 def profile(daily: DataFrame, start: date, end: date) -> DataFrame:
     """One row: size, duplicate keys, date coverage and totals."""
     sums = ["sessions", "purchases", "revenue", *fv.DAILY_COUNTS[7:]]
     # Shrink to one row per key first, so that the distinct counts expand few rows.
     keys = daily.groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(c) for c in sums]
+        F.count(F.lit(1)).alias("_rows"), *[_add(c).alias(c) for c in sums]
     )
     return keys.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
@@ -157,7 +161,7 @@ def profile(daily: DataFrame, start: date, end: date) -> DataFrame:
         F.max("date").alias("last_date"),
         F.count_distinct("date").alias("days"),
         F.lit((end - start).days + 1).cast("bigint").alias("expected_days"),
-        *[F.sum(c).alias(c) for c in sums],
+        *[_add(c).alias(c) for c in sums],
     )
 
 
@@ -177,10 +181,10 @@ def null_rates(df: DataFrame) -> DataFrame:
 def channel_shares(daily: DataFrame) -> DataFrame:
     """Sessions, revenue and their shares per channel."""
     by_channel = daily.groupBy("channel").agg(
-        F.sum("sessions").alias("sessions"), F.sum("revenue").alias("revenue")
+        *[_add(c).alias(c) for c in ("sessions", "revenue")]
     )
     # The grand totals are scalar sub-queries: no join, no single-task window.
-    grand = {c: daily.agg(F.sum(c)).scalar() for c in ("sessions", "revenue")}
+    grand = {c: daily.agg(_add(c)).scalar() for c in ("sessions", "revenue")}
     return by_channel.withColumns(
         {
             "session_share": safe_divide(F.col("sessions"), grand["sessions"]),
@@ -197,4 +201,4 @@ def weekly_spend(spend: DataFrame) -> DataFrame:
         else []
     )
     week = iso_week_label(F.col("date")).alias("week")
-    return spend.groupBy("channel", week).agg(F.sum("spend").alias("spend"), *planted)
+    return spend.groupBy("channel", week).agg(money_sum(F.col("spend")).alias("spend"), *planted)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions.channels import channel_code, channel_name, channel_of
+from tidemark.functions.numbers import money_sum
 
 SESSION = ["user_pseudo_id", "ga_session_id"]
 
@@ -52,7 +53,7 @@ def session_totals(events: DataFrame) -> DataFrame:
         F.count_if(is_purchase & revenue.isNull()).alias("missing_revenue"),
         F.count_if(is_purchase & keyed).alias("keyed_firings"),
         F.count_if(is_purchase & ~keyed & revenue.isNotNull()).alias("open_purchases"),
-        F.sum(F.when(is_purchase & ~keyed, revenue)).alias("open_revenue"),
+        money_sum(F.when(is_purchase & ~keyed, revenue)).alias("open_revenue"),
     )
     channel = F.coalesce(channel_name(F.col("_touch") % _CODES), F.lit(fv.UNKNOWN))
     return totals.withColumn("channel", channel).drop("_touch")
@@ -108,7 +109,7 @@ def purchase_firings(events: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("firings"),
             F.count_if(revenue.isNull()).alias("missing_revenue"),
             F.count(revenue).alias("_with_revenue"),
-            F.sum(revenue).alias("_revenue"),
+            money_sum(revenue).alias("_revenue"),
         )
     )
     firsts = first_firings(events).select(
@@ -144,7 +145,7 @@ def _first_firings_by_session(events: DataFrame) -> DataFrame:
     return first_firings(events).groupBy(*SESSION).agg(
         F.count(F.lit(1)).alias("_firsts"),
         F.count(revenue).alias("_first_purchases"),
-        F.sum(revenue).alias("_first_revenue"),
+        money_sum(revenue).alias("_first_revenue"),
     )
 
 
@@ -194,16 +195,14 @@ def daily_rollup(events: DataFrame) -> DataFrame:
     # A session without a full key has no purchases of its own: NULL keys never match.
     known = F.col(SESSION[0]).isNotNull() & F.col(SESSION[1]).isNotNull()
 
-    def total(column: str, kind: str) -> Column:
-        return F.coalesce(F.sum(F.when(known, F.col(column))), F.lit(0).cast(kind)).alias(column)
+    def total(column: str) -> Column:
+        add, zero = (money_sum, 0.0) if column == "revenue" else (F.sum, 0)
+        return F.coalesce(add(F.when(known, F.col(column))), F.lit(zero)).alias(column)
 
     funnel = [F.count_if(f"has_{event}").alias(f"{event}_sessions") for event in fv.FUNNEL_EVENTS]
     return joined.groupBy(F.col("session_date").alias("date"), "channel").agg(
         F.count(F.lit(1)).alias("sessions"),
         F.count_distinct(SESSION[0]).alias("users"),
         *funnel,
-        total("purchases", "bigint"),
-        total("revenue", "double"),
-        total("purchases_missing_revenue", "bigint"),
-        total("duplicate_purchase_events", "bigint"),
+        *[total(measure) for measure in PURCHASE_MEASURES],
     )

@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.calendar import iso_week_label
 from tidemark.sources.events import in_date_range
 
 EVENT_NAMES = {
@@ -183,7 +184,7 @@ def dirty_daily(daily: DataFrame) -> DataFrame:
     copies = F.when(n % 107 == 0, 2).otherwise(1)
     return daily.withColumns(
         {
-            "revenue": F.when(n % 109 != 0, F.when(n % 97 == 0, -F.col("revenue")).otherwise(F.col("revenue"))),
+            "revenue": F.when(n % 109 != 0, F.when(n % 97 == 0, 0 - F.col("revenue")).otherwise(F.col("revenue"))),
             "channel": F.when(n % 101 == 0, "tiktok").otherwise(F.col("channel")),
             "purchases": F.when(n % 103 == 0, F.col("sessions") + 1).otherwise(F.col("purchases")),
             "_copy": F.explode(F.sequence(F.lit(1), copies)),
@@ -196,7 +197,7 @@ def dirty_spend(spend: DataFrame) -> DataFrame:
     copies = F.when(n % 107 == 0, 2).otherwise(1)
     return spend.withColumns(
         {
-            "spend": F.when(n % 97 == 0, -F.col("spend")).otherwise(F.col("spend")),
+            "spend": F.when(n % 97 == 0, 0 - F.col("spend")).otherwise(F.col("spend")),
             "channel": F.when(n % 101 == 0, "direct").otherwise(F.col("channel")),
             "is_simulated": n % 103 != 0,
             "_copy": F.explode(F.sequence(F.lit(1), copies)),
@@ -208,5 +209,34 @@ def texts_by_week(spark: SparkSession, folder: str, first_monday: date, weeks: i
     """Every document as a written text about one of ``weeks`` consecutive weeks."""
     monday = F.date_add(F.lit(first_monday), ((F.col("doc_id") % weeks) * 7).cast("int"))
     return table(spark, folder, "documents").select(
-        F.col("doc_id").alias("text_id"), monday.alias("week_start"), "text"
+        F.col("doc_id").alias("text_id"), iso_week_label(monday).alias("week"), "text"
+    )
+
+
+def responses(spark: SparkSession, folder: str, first_monday: date, weeks: int) -> DataFrame:
+    """Every document as one attempt at answering for a week.
+
+    By document number: a plain answer, an answer that states the document's length, the bare
+    text without JSON, and an answer whose summary is the whole text.
+    """
+    n = F.col("doc_id")
+    length = F.concat(F.lit("The text has "), F.col("n_chars"), F.lit(" characters."))
+    plain = F.lit("Traffic was steady. Revenue held. Paid spend is simulated.")
+    answer = F.struct(
+        F.when(n % 4 == 3, F.col("text")).otherwise(plain).alias("summary"),
+        F.array(
+            F.concat(F.lit("Written in "), F.col("lang"), F.lit(".")),
+            F.when(n % 4 == 1, length).otherwise("Referral held its share."),
+            F.lit("Direct was flat."),
+        ).alias("findings"),
+        F.array(
+            F.lit("Check tagging."), F.lit("Check checkout."), F.lit("Check attribution.")
+        ).alias("checks"),
+    )
+    fenced = F.concat(F.lit("```json\n"), F.to_json(answer), F.lit("\n```"))
+    return table(spark, folder, "documents").select(
+        iso_week_label(F.date_add(F.lit(first_monday), ((n % weeks) * 7).cast("int"))).alias("week"),
+        (F.floor(n / weeks) + 1).alias("attempt"),
+        "doc_id",
+        F.when(n % 4 == 2, F.col("text")).otherwise(fenced).alias("response"),
     )
