@@ -68,9 +68,8 @@ def _weekly(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, folder: str) -> Report:
-    daily = samples.dirty_daily(samples.orders_daily(spark, folder))
-    spend = samples.dirty_spend(samples.orders_spend(spark, folder))
-    return prepare(daily, spend, OPEN)
+    daily, spend = _kpis(spark, folder)
+    return prepare(samples.dirty_daily(daily), samples.dirty_spend(spend), OPEN)
 
 
 def _facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -241,7 +240,7 @@ def daily_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def weekly_sums(spark: SparkSession, folder: str) -> DataFrame:
     daily, spend = samples.orders_daily(spark, folder), samples.orders_spend(spark, folder)
     joined = kpis.join_spend(daily, spend, PAID)
-    return rounded(kpis.weekly_sums(joined, PAID).drop("_days"), 2)
+    return rounded(kpis.weekly_sums(joined, PAID), 2)
 
 
 def weekly_metrics(spark: SparkSession, folder: str) -> DataFrame:

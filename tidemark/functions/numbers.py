@@ -27,24 +27,43 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def round_even(value: Column, digits: int) -> Column:
+# The SQL texts below take a column name or any SQL expression. Wide tables build their many
+# columns from them with ``F.expr``: one call per column instead of one per operator.
+
+
+def ratio_sql(numerator: str, denominator: str) -> str:
+    """``safe_divide`` as SQL text."""
+    return f"try_divide(double({numerator}), double({denominator}))"
+
+
+def round_even_sql(value: str, digits: int) -> str:
     """Round the exact binary value, halves to even (6.25 -> 6.2, 2.675 -> 2.67).
 
-    ``F.round`` rounds the shortest decimal text half up. The decimal formatter works on
-    the binary value, so its text read back is the correctly rounded double.
+    ``round`` works on the shortest decimal text and rounds half up. The decimal formatter works
+    on the binary value, so its text read back is the correctly rounded double. NaN and the
+    infinities become NULL: both fail the comparison.
     """
     pattern = "0." + "0" * digits if digits else "0"
-    return F.call_function("format_number", null_if_nan(value), F.lit(pattern)).cast("double")
+    number = f"if(abs(double({value})) < double('Infinity'), double({value}), null)"
+    return f"double(format_number({number}, '{pattern}'))"
 
 
-def percent(ratio: Column) -> Column:
+def percent_sql(ratio: str) -> str:
     """0.1234 -> 12.3"""
-    return round_even(ratio.cast("double") * 100, 1)
+    return round_even_sql(f"(double({ratio}) * 100)", 1)
+
+
+def round_even(value: str, digits: int) -> Column:
+    return F.expr(round_even_sql(value, digits))
+
+
+def percent(ratio: str) -> Column:
+    return F.expr(percent_sql(ratio))
 
 
-def whole(value: Column) -> Column:
+def whole(value: str) -> Column:
     """Nearest integer, halves to even."""
-    return F.rint(null_if_nan(value)).cast("bigint")
+    return F.expr(f"bigint(rint({value}))")
 
 
 def array_median(values: Column) -> Column:

@@ -6,11 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The written forms that count as week labels, dates, numbers and sentence ends.
+# Each starts with a look-ahead for a digit, which turns most positions of a text away at once.
 WORD = r"[\p{L}\p{N}_]"
-WEEK_LABEL = rf"(?<!{WORD})[0-9]{{4}}-W[0-9]{{2}}(?!{WORD})"
-ISO_DATE = rf"(?<!{WORD})[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}(?!{WORD})"
+LABEL_OR_DATE = (
+    rf"(?=[0-9])(?<!{WORD})"
+    r"[0-9]{4}-(?:W[0-9]{2}|[0-9]{2}-[0-9]{2})"
+    rf"(?!{WORD})"
+)
 NUMBER = (
-    r"(?<![A-Za-z0-9.])"
+    r"(?=[0-9])(?<![A-Za-z0-9.])"
     r"(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)"
     r"(?:\.[0-9]+)?"
     r"(?:[kKmM](?![A-Za-z]))?"
@@ -36,7 +40,7 @@ def sentence_count(text: Column) -> Column:
 
 def number_texts(text: Column) -> Column:
     """Array of the numbers written in a text, week labels and ISO dates left out."""
-    masked = F.regexp_replace(F.regexp_replace(text, WEEK_LABEL, " "), ISO_DATE, " ")
+    masked = F.regexp_replace(text, LABEL_OR_DATE, " ")
     return F.regexp_extract_all(masked, F.lit(NUMBER), F.lit(0))
 
 

@@ -12,8 +12,8 @@ from tidemark.functions.calendar import day_context, iso_week_label, week_contex
 from tidemark.functions.numbers import (
     array_median,
     computed_once,
-    null_if_nan,
     round_even,
+    round_even_sql,
     safe_divide,
 )
 from tidemark.model import Settings
@@ -163,7 +163,7 @@ def daily_anomalies(daily: DataFrame, settings: Settings) -> DataFrame:
         F.lit("robust_z").alias("rule"),
         "value",
         "baseline",
-        round_even(z, 2).alias("score"),
+        round_even("z", 2).alias("score"),
         F.when(z > 0, "up").otherwise("down").alias("direction"),
         F.when(F.abs(z) >= 2 * limit, "high").otherwise("medium").alias("severity"),
         day_context(day, settings.baseline_days).alias("seasonal_context"),
@@ -178,61 +178,53 @@ def daily_anomalies(daily: DataFrame, settings: Settings) -> DataFrame:
 def weekly_rule_anomalies(weekly: DataFrame, settings: Settings) -> DataFrame:
     """All rules in one pass over complete weeks: an array of hits per row, exploded."""
 
-    def col(name: str) -> Column:
-        return null_if_nan(F.col(name))
-
-    def hit(condition, rule, metric, value, baseline, score, direction, high) -> Column:
-        fields = {
-            "metric": F.lit(metric),
-            "rule": F.lit(rule),
-            "value": value.cast("double"),
-            "baseline": baseline.cast("double"),
-            "score": round_even(score.cast("double"), 4),
-            "direction": direction,
-            "severity": F.when(high, "high").otherwise("medium"),
-            "is_simulated": F.lit(metric in fv.SPEND_BASED),
-        }
-        return F.when(condition, F.struct(*[v.alias(k) for k, v in fields.items()]))
+    limit = settings
+    paid = ", ".join(f"'{c}'" for c in limit.paid_channels) or "NULL"
 
-    none, up, down = F.lit(None), F.lit("up"), F.lit("down")
-    is_total = F.col("is_total")
-    conversion, sessions = col("wow_conversion_rate"), col("wow_sessions")
-    shift, gap = col("revenue_share_change_pp"), col("missing_revenue_share")
+    def hit(rule, metric, condition, value, baseline, score, direction, high) -> str:
+        """SQL of one finding as a struct, NULL when the condition does not hold."""
+        return f"""IF({condition}, named_struct(
+            'metric', '{metric}', 'rule', '{rule}',
+            'value', double({value}), 'baseline', double({baseline}),
+            'score', {round_even_sql(score, 4)}, 'direction', {direction},
+            'severity', IF({high}, 'high', 'medium'),
+            'is_simulated', {metric in fv.SPEND_BASED}), NULL)"""
 
+    shift, gap = "revenue_share_change_pp", "missing_revenue_share"
     hits = [
         hit(
-            F.col("channel").isin(*settings.paid_channels) & ~is_total
-            & (col("spend") > 0) & (F.col("purchases") == 0),
-            "paid_spend_no_purchases", "purchases", F.lit(0), col("prev_purchases"), none,
-            down, F.lit(True),
+            "paid_spend_no_purchases", "purchases",
+            f"NOT is_total AND channel IN ({paid}) AND spend > 0 AND purchases = 0",
+            "0", "prev_purchases", "NULL", "'down'", "true",
         ),
         *[
             hit(
-                col(f"wow_{cost}") > settings.cost_wow_increase,
-                "cost_increase", cost, col(cost), col(f"prev_{cost}"), col(f"wow_{cost}"),
-                up, col(f"wow_{cost}") > 1.0,
+                "cost_increase", cost, f"wow_{cost} > {limit.cost_wow_increase}",
+                cost, f"prev_{cost}", f"wow_{cost}", "'up'", f"wow_{cost} > 1",
             )
             for cost in ("cpa", "cost_per_session")
         ],
         hit(
-            (conversion < -settings.conversion_rate_wow_drop)
-            & (F.abs(sessions) <= settings.sessions_stable_max_change),
-            "conversion_drop", "conversion_rate", col("conversion_rate"),
-            col("prev_conversion_rate"), conversion, down, conversion < -0.5,
+            "conversion_drop", "conversion_rate",
+            f"wow_conversion_rate < -{limit.conversion_rate_wow_drop} "
+            f"AND abs(wow_sessions) <= {limit.sessions_stable_max_change}",
+            "conversion_rate", "prev_conversion_rate", "wow_conversion_rate", "'down'",
+            "wow_conversion_rate < -0.5",
         ),
         hit(
-            ~is_total & (F.abs(shift) > settings.revenue_share_change_pp),
-            "revenue_share_shift", "revenue_share", col("revenue_share"),
-            col("prev_revenue_share"), shift, F.when(shift > 0, up).otherwise(down),
-            F.abs(shift) > 2 * settings.revenue_share_change_pp,
+            "revenue_share_shift", "revenue_share",
+            f"NOT is_total AND abs({shift}) > {limit.revenue_share_change_pp}",
+            "revenue_share", "prev_revenue_share", shift, f"IF({shift} > 0, 'up', 'down')",
+            f"abs({shift}) > {2 * limit.revenue_share_change_pp}",
         ),
         hit(
-            is_total & (gap > settings.tracking_gap_share),
-            "tracking_gap", "missing_revenue_share", gap, none, gap, up, F.lit(True),
+            "tracking_gap", gap, f"is_total AND {gap} > {limit.tracking_gap_share}",
+            gap, "NULL", gap, "'up'", "true",
         ),
     ]
+    findings = F.array_compact(F.array(*[F.expr(h) for h in hits]))
     found = weekly.where("is_complete").select(
-        "week", "week_start", "channel", F.inline(F.array_compact(F.array(*hits)))
+        "week", "week_start", "channel", F.inline(findings)
     )
     return found.withColumns(
         {

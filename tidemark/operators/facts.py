@@ -12,11 +12,10 @@ from tidemark.model import Settings
 from tidemark.operators.anomalies import anomaly_counts, rank_anomalies
 
 
-def fact_value(metric: Column, value: Column) -> Column:
+def fact_value(metric: str, value: str) -> Column:
     """Percent metrics as percentages with one decimal, everything else with two."""
-    return F.when(metric.isin(*fv.PERCENT_METRICS), percent(value)).otherwise(
-        round_even(value, 2)
-    )
+    as_percent = F.col(metric).isin(*fv.PERCENT_METRICS)
+    return F.when(as_percent, percent(value)).otherwise(round_even(value, 2))
 
 
 def _reported(weekly: DataFrame, totals: bool) -> DataFrame:
@@ -30,17 +29,17 @@ def _named(columns: dict[str, Column]) -> list[Column]:
 
 def _headline() -> dict[str, Column]:
     return {
-        "sessions": whole(F.col("sessions")),
-        "purchases": whole(F.col("purchases")),
-        "revenue": round_even(F.col("revenue"), 2),
-        "conversion_rate_pct": percent(F.col("conversion_rate")),
-        "aov": round_even(F.col("aov"), 2),
+        "sessions": whole("sessions"),
+        "purchases": whole("purchases"),
+        "revenue": round_even("revenue", 2),
+        "conversion_rate_pct": percent("conversion_rate"),
+        "aov": round_even("aov", 2),
     }
 
 
 def _changes() -> dict[str, Column]:
     kpis = ("sessions", "purchases", "revenue", "conversion_rate")
-    return {f"wow_{kpi}_pct": percent(F.col(f"wow_{kpi}")) for kpi in kpis}
+    return {f"wow_{kpi}_pct": percent(f"wow_{kpi}") for kpi in kpis}
 
 
 def totals_facts(weekly: DataFrame) -> DataFrame:
@@ -49,9 +48,9 @@ def totals_facts(weekly: DataFrame) -> DataFrame:
 
 def _funnel() -> dict[str, Column]:
     return {
-        "view_item_to_add_to_cart": percent(F.col("add_to_cart_rate")),
-        "add_to_cart_to_checkout": percent(F.col("checkout_rate")),
-        "checkout_to_purchase": percent(F.col("purchase_rate")),
+        "view_item_to_add_to_cart": percent("add_to_cart_rate"),
+        "add_to_cart_to_checkout": percent("checkout_rate"),
+        "checkout_to_purchase": percent("purchase_rate"),
     }
 
 
@@ -61,13 +60,13 @@ def funnel_facts(weekly: DataFrame) -> DataFrame:
 
 def _spend_struct() -> Column:
     figures = {
-        "spend": round_even(F.col("spend"), 2),
-        "cost_per_session": round_even(F.col("cost_per_session"), 2),
-        "cpa": round_even(F.col("cpa"), 2),
-        "roas": round_even(F.col("roas"), 2),
-        "wow_spend_pct": percent(F.col("wow_spend")),
-        "wow_cpa_pct": percent(F.col("wow_cpa")),
-        "wow_cost_per_session_pct": percent(F.col("wow_cost_per_session")),
+        "spend": round_even("spend", 2),
+        "cost_per_session": round_even("cost_per_session", 2),
+        "cpa": round_even("cpa", 2),
+        "roas": round_even("roas", 2),
+        "wow_spend_pct": percent("wow_spend"),
+        "wow_cpa_pct": percent("wow_cpa"),
+        "wow_cost_per_session_pct": percent("wow_cost_per_session"),
     }
     return F.when(F.col("is_paid"), F.struct(*_named(figures)))
 
@@ -77,10 +76,10 @@ def _channel_columns() -> dict[str, Column]:
         "channel": F.col("channel"),
         "is_paid": F.col("is_paid"),
         **_headline(),
-        "session_share_pct": percent(F.col("session_share")),
-        "revenue_share_pct": percent(F.col("revenue_share")),
+        "session_share_pct": percent("session_share"),
+        "revenue_share_pct": percent("revenue_share"),
         **_changes(),
-        "revenue_share_change_pp": round_even(F.col("revenue_share_change_pp"), 1),
+        "revenue_share_change_pp": round_even("revenue_share_change_pp", 1),
         "simulated_spend": _spend_struct(),
     }
 
@@ -101,16 +100,16 @@ def top_movers(weekly: DataFrame, limit: int) -> DataFrame:
         "place",
         "channel",
         F.lit("revenue").alias("metric"),
-        round_even(F.col("prev_revenue"), 2).alias("from"),
-        round_even(F.col("revenue"), 2).alias("to"),
-        round_even(change, 2).alias("change"),
-        percent(F.col("wow_revenue")).alias("change_pct"),
+        round_even("prev_revenue", 2).alias("from"),
+        round_even("revenue", 2).alias("to"),
+        round_even("revenue - prev_revenue", 2).alias("change"),
+        percent("wow_revenue").alias("change_pct"),
     )
 
 
 def anomaly_facts(ranked: DataFrame) -> DataFrame:
     """Display values of ranked findings; the change field depends on the rule."""
-    rule, score, metric = F.col("rule"), F.col("score"), F.col("metric")
+    rule, metric = F.col("rule"), F.col("metric")
     return ranked.select(
         "week",
         "place",
@@ -118,16 +117,16 @@ def anomaly_facts(ranked: DataFrame) -> DataFrame:
         "metric",
         F.col("date_or_week").alias("when"),
         "rule",
-        fact_value(metric, F.col("value")).alias("value"),
-        fact_value(metric, F.col("baseline")).alias("baseline"),
+        fact_value("metric", "value").alias("value"),
+        fact_value("metric", "baseline").alias("baseline"),
         F.when(metric.isin(*fv.PERCENT_METRICS), "%").alias("unit"),
         "direction",
         "severity",
         "seasonal_context",
         F.col("is_simulated").alias("simulated"),
-        F.when(rule == "robust_z", round_even(score, 1)).alias("z_score"),
-        F.when(rule == "revenue_share_shift", round_even(score, 1)).alias("change_pp"),
-        F.when(rule.isin("cost_increase", "conversion_drop"), percent(score)).alias("change_pct"),
+        F.when(rule == "robust_z", round_even("score", 1)).alias("z_score"),
+        F.when(rule == "revenue_share_shift", round_even("score", 1)).alias("change_pp"),
+        F.when(rule.isin("cost_increase", "conversion_drop"), percent("score")).alias("change_pct"),
     )
 
 
@@ -136,11 +135,11 @@ def _quality(quarantined_rows: Column) -> dict[str, Column]:
         "rows_quarantined": quarantined_rows.cast("bigint"),
         "days_covered": F.col("days"),
         "unknown_channel_session_share_pct": F.coalesce(
-            percent(F.col("_unknown_share")), F.lit(0.0)
+            percent("_unknown_share"), F.lit(0.0)
         ),
-        "purchases_missing_revenue": whole(F.col("purchases_missing_revenue")),
-        "missing_revenue_share_pct": percent(F.col("missing_revenue_share")),
-        "duplicate_purchase_events": whole(F.col("duplicate_purchase_events")),
+        "purchases_missing_revenue": whole("purchases_missing_revenue"),
+        "missing_revenue_share_pct": percent("missing_revenue_share"),
+        "duplicate_purchase_events": whole("duplicate_purchase_events"),
     }
 
 

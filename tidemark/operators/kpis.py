@@ -9,34 +9,34 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions.calendar import iso_week_label, monday_of
-from tidemark.functions.numbers import money_sum, safe_divide
+from tidemark.functions.numbers import money_sum, ratio_sql
 
 DAYS_IN_WEEK = 7
 AMOUNTS = ("revenue", "spend")
+# What the two shares are shares of.
+TOTALS = ("sessions", "revenue")
 
 
 def sums(columns: Sequence[str]) -> list[Column]:
+    """Sums under the columns' own names; amounts are added exactly."""
     return [(money_sum(F.col(c)) if c in AMOUNTS else F.sum(c)).alias(c) for c in columns]
 
 
 def with_ratios(df: DataFrame) -> DataFrame:
-    def ratio(over: str, under: str) -> Column:
-        return safe_divide(F.col(over), F.col(under))
-
-    missing = F.col("purchases_missing_revenue")
-    return df.withColumns(
-        {
-            "conversion_rate": ratio("purchase_sessions", "sessions"),
-            "aov": ratio("revenue", "purchases"),
-            "cost_per_session": ratio("spend", "sessions"),
-            "cpa": ratio("spend", "purchases"),
-            "roas": ratio("revenue", "spend"),
-            "add_to_cart_rate": ratio("add_to_cart_sessions", "view_item_sessions"),
-            "checkout_rate": ratio("begin_checkout_sessions", "add_to_cart_sessions"),
-            "purchase_rate": ratio("purchase_sessions", "begin_checkout_sessions"),
-            "missing_revenue_share": safe_divide(missing, F.col("purchases") + missing),
-        }
-    )
+    """Add the KPI and funnel ratios; a zero or missing denominator gives NULL."""
+    missing = "purchases_missing_revenue"
+    parts = {
+        "conversion_rate": ("purchase_sessions", "sessions"),
+        "aov": ("revenue", "purchases"),
+        "cost_per_session": ("spend", "sessions"),
+        "cpa": ("spend", "purchases"),
+        "roas": ("revenue", "spend"),
+        "add_to_cart_rate": ("add_to_cart_sessions", "view_item_sessions"),
+        "checkout_rate": ("begin_checkout_sessions", "add_to_cart_sessions"),
+        "purchase_rate": ("purchase_sessions", "begin_checkout_sessions"),
+        "missing_revenue_share": (missing, f"(purchases + {missing})"),
+    }
+    return df.withColumns({name: F.expr(ratio_sql(*pair)) for name, pair in parts.items()})
 
 
 def join_spend(daily: DataFrame, spend: DataFrame, paid: Sequence[str]) -> DataFrame:
@@ -56,63 +56,55 @@ def daily_metrics(daily: DataFrame, spend: DataFrame, paid: Sequence[str]) -> Da
 
 
 def weekly_sums(daily: DataFrame, paid: Sequence[str]) -> DataFrame:
-    """Sums per (week, channel) of a daily table with spend.
+    """Sums per (week, channel) and per week, out of a daily table with spend.
 
-    ``_days`` is a bit set of the weekdays present. Bit sets combine by OR, so the days of a
-    whole week follow from the channel rows without a distinct count.
+    One aggregation over both grouping sets, combined before the shuffle. ``is_total`` comes from
+    the grouping set, so a channel that is called "total" stays apart from the total row.
+    """
+    is_total = F.col("_level") == 1
+    keyed = daily.withColumn("week_start", monday_of(F.col("date")))
+    both = keyed.groupingSets([["week_start", "channel"], ["week_start"]], "week_start", "channel")
+    return both.agg(F.grouping("channel").alias("_level"), *sums(fv.WEEKLY_SUMS)).select(
+        "week_start",
+        F.when(is_total, fv.TOTAL).otherwise(F.col("channel")).alias("channel"),
+        is_total.alias("is_total"),
+        F.coalesce(F.col("channel").isin(*paid) & ~is_total, F.lit(False)).alias("is_paid"),
+        *fv.WEEKLY_SUMS,
+    )
+
+
+def week_totals(daily: DataFrame) -> DataFrame:
+    """One row per week: days present over all channels, sessions and revenue.
+
+    The days are a bit set of weekdays. Bit sets combine by OR, which needs no distinct count.
     """
     weekday = F.call_function("shiftleft", F.lit(1), F.weekday("date"))
-    return (
-        daily.groupBy(monday_of(F.col("date")).alias("week_start"), "channel")
-        .agg(*sums(fv.WEEKLY_SUMS), F.bit_or(weekday).alias("_days"))
-        .withColumn("is_paid", F.coalesce(F.col("channel").isin(*paid), F.lit(False)))
+    present = F.bit_count(F.bit_or(weekday)).cast("bigint")
+    return daily.groupBy(monday_of(F.col("date")).alias("week_start")).agg(
+        present.alias("days"),
+        *[total.alias(f"_{c}") for c, total in zip(TOTALS, sums(TOTALS), strict=True)],
     )
 
 
 def weekly_metrics(daily: DataFrame, spend: DataFrame, paid: Sequence[str]) -> DataFrame:
     """Weekly KPIs per channel and for each week's total, without the changes.
 
-    ``is_total`` marks the total row, so a channel that is called "total" stays apart. The
-    week's totals are one row per week and are joined to the channel rows: no task has to
+    The week's own totals are one row per week and are joined to its channels, so no task has to
     hold all channels of a week.
     """
-    channels = weekly_sums(join_spend(daily, spend, paid), paid)
-    totals = channels.groupBy("week_start").agg(
-        *sums(fv.WEEKLY_SUMS), F.bit_or("_days").alias("_days")
-    )
-    days = F.bit_count("_days").cast("bigint")
-    week = totals.select(
-        F.col("week_start"),
-        days.alias("days"),
-        F.col("sessions").alias("_sessions"),
-        F.col("revenue").alias("_revenue"),
-    )
-    channel_rows = channels.drop("_days").join(week, "week_start").withColumns(
-        {
-            "is_total": F.lit(False),
-            "session_share": safe_divide(F.col("sessions"), F.col("_sessions")),
-            "revenue_share": safe_divide(F.col("revenue"), F.col("_revenue")),
-        }
-    )
-    total_rows = totals.withColumns(
-        {
-            "channel": F.lit(fv.TOTAL),
-            "is_paid": F.lit(False),
-            "is_total": F.lit(True),
-            "days": days,
-            "session_share": F.lit(1.0),
-            "revenue_share": F.lit(1.0),
-        }
-    )
-    both = channel_rows.drop("_sessions", "_revenue").unionByName(total_rows.drop("_days"))
-    rated = with_ratios(both)
-    paid_only = {c: F.when(F.col("is_paid"), F.col(c)) for c in fv.COST_RATIOS}
+    rows = weekly_sums(join_spend(daily, spend, paid), paid)
+    rated = with_ratios(rows.join(week_totals(daily), "week_start"))
+    is_total = F.col("is_total")
     return rated.withColumns(
         {
-            **paid_only,
-            "spend": F.when(~F.col("is_total"), F.col("spend")),
+            **{c: F.when(F.col("is_paid"), F.col(c)) for c in fv.COST_RATIOS},
+            "spend": F.when(~is_total, F.col("spend")),
             "week": iso_week_label(F.col("week_start")),
             "is_complete": F.col("days") == DAYS_IN_WEEK,
+            **{
+                share: F.when(is_total, 1.0).otherwise(F.expr(ratio_sql(c, f"_{c}")))
+                for share, c in zip(fv.SHARES, TOTALS, strict=True)
+            },
         }
     ).select(
         "week", "week_start", "channel", "is_total", "is_paid", "days", "is_complete",
@@ -135,20 +127,13 @@ def with_changes(weekly: DataFrame) -> DataFrame:
     )
     complete = F.col("is_complete")
     before = F.first(F.when(complete, F.struct(*columns))).over(week_before)
-    out = weekly.withColumn("_prev", F.when(complete, before))
-    out = out.withColumns({f"prev_{c}": F.col(f"_prev.{c}") for c in columns}).drop("_prev")
-    return out.withColumns(
-        {
-            **{
-                f"wow_{c}": safe_divide(F.col(c) - F.col(f"prev_{c}"), F.col(f"prev_{c}"))
-                for c in fv.CHANGE_COLUMNS
-            },
-            **{
-                f"{c}_change_pp": (F.col(c) - F.col(f"prev_{c}")) * 100
-                for c in fv.SHARES
-            },
-        }
-    )
+    paired = weekly.withColumn("_prev", F.when(complete, before))
+    changes = [
+        *[f"{ratio_sql(f'{c} - _prev.{c}', f'_prev.{c}')} AS wow_{c}" for c in fv.CHANGE_COLUMNS],
+        *[f"({c} - _prev.{c}) * 100 AS {c}_change_pp" for c in fv.SHARES],
+    ]
+    previous = [f"_prev.{c} AS prev_{c}" for c in columns]
+    return paired.selectExpr(*weekly.columns, *previous, *changes)
 
 
 def complete_weeks(weekly: DataFrame) -> DataFrame:

@@ -22,34 +22,39 @@ KEY = ("date", "channel")
 
 @dataclass(frozen=True)
 class Rule:
-    """A row fails when the condition is true; NULL is not a failure."""
+    """A row fails when the SQL condition is true; NULL is not a failure."""
 
     reason: str
-    fails: Column
+    fails: str
 
 
 def _date_rule(start: date, end: date) -> Rule:
-    inside = F.col("date").between(F.lit(start), F.lit(end))
-    return Rule(fv.REASON_DATE.format(start=start, end=end), ~inside)
+    outside = f"date NOT BETWEEN DATE '{start}' AND DATE '{end}'"
+    return Rule(fv.REASON_DATE.format(start=start, end=end), outside)
 
 
 def _negative(column: str) -> Rule:
-    return Rule(fv.REASON_NEGATIVE.format(column=column), F.col(column) < 0)
+    return Rule(fv.REASON_NEGATIVE.format(column=column), f"{column} < 0")
 
 
 def _missing(column: str) -> Rule:
-    return Rule(fv.REASON_MISSING.format(column=column), F.col(column).isNull())
+    return Rule(fv.REASON_MISSING.format(column=column), f"{column} IS NULL")
+
+
+def _not_among(reason: str, labels: Sequence[str]) -> Rule:
+    quoted = ", ".join("'" + label.replace("'", "\\'") + "'" for label in labels)
+    return Rule(reason, f"channel NOT IN ({quoted})")
 
 
 def daily_rules(settings: Settings) -> list[Rule]:
     measures = ["revenue", *fv.DAILY_COUNTS]
     return [
         _date_rule(settings.start_date, settings.end_date),
-        Rule(fv.REASON_LABEL, ~F.col("channel").isin(*settings.channels)),
+        _not_among(fv.REASON_LABEL, settings.channels),
         *[_negative(c) for c in measures],
         *[_missing(c) for c in (*KEY, *measures)],
         *[
-            Rule(fv.REASON_ABOVE_SESSIONS.format(column=c), F.col(c) > F.col("sessions"))
+            Rule(fv.REASON_ABOVE_SESSIONS.format(column=c), f"{c} > sessions")
             for c in fv.NEVER_ABOVE_SESSIONS
         ],
     ]
@@ -58,12 +63,12 @@ def daily_rules(settings: Settings) -> list[Rule]:
 def spend_rules(settings: Settings) -> list[Rule]:
     rules = [
         _date_rule(settings.start_date, settings.end_date),
-        Rule(fv.REASON_NOT_PAID, ~F.col("channel").isin(*settings.paid_channels)),
+        _not_among(fv.REASON_NOT_PAID, settings.paid_channels),
         _negative("spend"),
         *[_missing(c) for c in (*KEY, "spend")],
     ]
     if settings.require_simulated_spend:
-        rules += [Rule(fv.REASON_NOT_SIMULATED, ~F.col("is_simulated")), _missing("is_simulated")]
+        rules += [Rule(fv.REASON_NOT_SIMULATED, "NOT is_simulated"), _missing("is_simulated")]
     return rules
 
 
@@ -84,13 +89,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             raise StructureError(f"{field.name}: {have.simpleString()} is not a column type")
         value = F.col(field.name)
         if isinstance(have, (T.DoubleType, T.FloatType)):
-            value = null_if_nan(value)
+            value = columns[field.name] = null_if_nan(value)
         if have != field.dataType:
             cast = value.try_cast(field.dataType)
             broken = F.raise_error(F.lit(f"{field.name}: not a {field.dataType.simpleString()}"))
-            value = F.when(value.isNotNull() & cast.isNull(), broken.cast(field.dataType)).otherwise(cast)
-        columns[field.name] = value
-    return df.withColumns(columns)
+            wrong = value.isNotNull() & cast.isNull()
+            columns[field.name] = F.when(wrong, broken.cast(field.dataType)).otherwise(cast)
+    return df.withColumns(columns) if columns else df
 
 
 def flag_rows(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY) -> DataFrame:
@@ -106,8 +111,8 @@ def flag_rows(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY) ->
         lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in key]
     )
     joined = df.join(repeated, same, "left")
-    failed = [F.when(rule.fails, rule.reason) for rule in rules]
-    failed.append(F.when(F.col("_copies").isNotNull(), fv.REASON_DUPLICATE))
+    every_rule = [*rules, Rule(fv.REASON_DUPLICATE, "_copies IS NOT NULL")]
+    failed = [F.expr(f"IF({rule.fails}, '{rule.reason}', NULL)") for rule in every_rule]
     reasons = F.sort_array(F.array_distinct(F.array_compact(F.array(*failed))))
     reason = F.when(F.size(reasons) > 0, F.array_join(reasons, "; "))
     return joined.withColumn("reason", reason).select(*df.columns, "reason")
