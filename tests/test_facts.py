@@ -1,0 +1,293 @@
+"""Facts of three known weeks, the texts built from them, and the number check."""
+
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.builders import (
+    REPORT_END,
+    REPORT_START,
+    daily_frame,
+    report_rows,
+    span,
+    spend_frame,
+)
+from tidemark.functions.text import sentence_count
+from tidemark.model import Settings
+from tidemark.operators import facts as fa
+from tidemark.operators import narratives as na
+from tidemark.operators import numberguard as ng
+from tidemark.plans.pipeline import prepare
+from tidemark.sources import tables
+
+CFG = Settings(start_date=REPORT_START, end_date=REPORT_END)
+
+
+def run(spark, rows=None):
+    days = span(REPORT_START, REPORT_END)
+    return prepare(daily_frame(spark, rows or report_rows()), spend_frame(spark, days, lambda d: 50), CFG)
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    return run(spark).facts().persist()
+
+
+@pytest.fixture(scope="module")
+def documents(facts):
+    return {r["week"]: r.asDict(recursive=True) for r in facts.collect()}
+
+
+def test_totals(documents):
+    t = documents["2021-W01"]["totals"]
+    assert (t["sessions"], t["purchases"], t["revenue"]) == (2450, 42, 2730.0)
+    assert (t["conversion_rate_pct"], t["aov"], t["wow_revenue_pct"]) == (1.7, 65.0, 34.5)
+
+
+def test_week_frame(documents):
+    assert sorted(documents) == ["2020-W52", "2020-W53", "2021-W01"]
+    late, first = documents["2021-W01"], documents["2020-W52"]
+    assert (late["week_start"], late["week_end"]) == ("2021-01-04", "2021-01-10")
+    assert late["previous_week"] == "2020-W53"
+    assert first["previous_week"] is None and first["totals"]["wow_revenue_pct"] is None
+    assert (late["schema_version"], late["currency"], late["simulated_spend"]) == (1, "USD", True)
+
+
+def test_channels_are_ordered_by_revenue_and_only_paid_ones_have_spend(documents):
+    channels = documents["2021-W01"]["channels"]
+    assert [c["channel"] for c in channels] == ["direct", "unknown", "paid_search"]
+    paid = channels[2]["simulated_spend"]
+    assert (paid["spend"], paid["cost_per_session"], paid["roas"]) == (350.0, 1.0, 0.8)
+    assert channels[0]["simulated_spend"] is None
+
+
+def test_movers(documents):
+    movers = documents["2021-W01"]["top_movers"]
+    assert [m["channel"] for m in movers] == ["direct", "paid_search", "unknown"]
+    assert (movers[0]["from"], movers[0]["to"], movers[0]["change"], movers[0]["change_pct"]) == (
+        1400.0, 2100.0, 700.0, 50.0,
+    )
+    assert documents["2020-W52"]["top_movers"] == []
+
+
+def test_data_quality(documents):
+    q = documents["2021-W01"]["data_quality"]
+    assert (q["rows_quarantined"], q["days_covered"]) == (0, 7)
+    assert q["unknown_channel_session_share_pct"] == 28.6
+
+
+def test_quarantine_comes_before_the_weeks(spark):
+    rows = [r if r[0] != date(2021, 1, 10) else (*r[:9], -1.0, *r[10:]) for r in report_rows()]
+    broken = run(spark, rows)
+    found = {r["week"]: r.asDict(recursive=True) for r in broken.facts().collect()}
+    # All rows of a day failed: its week is partial and not reported.
+    assert sorted(found) == ["2020-W52", "2020-W53"]
+    assert found["2020-W53"]["data_quality"]["rows_quarantined"] == 3
+    with pytest.raises(ValueError, match="2021-W01"):
+        fa.facts_of_week(broken.facts(), "2021-W01")
+
+
+def test_facts_are_reproducible_json(spark, facts, tmp_path):
+    again = fa.with_facts_hash(run(spark, report_rows()[::-1]).facts()).select("week", "facts_hash")
+    first = fa.with_facts_hash(facts)
+    assert sorted(again.collect()) == sorted(first.select("week", "facts_hash").collect())
+    text = json.loads(fa.facts_of_week(first, "2021-W01").first()["facts_json"])
+    assert list(text) == sorted(text)
+    assert text["totals"]["revenue"] == 2730.0 and "NaN" not in str(text)
+    tables.write_facts(facts, str(tmp_path / "facts"))
+    assert spark.read.json(str(tmp_path / "facts")).where("week = '2021-W01'").count() == 1
+
+
+# --- numbers ---------------------------------------------------------------------------------
+
+KNOWN = [27780.0, 40146.0, 51.2, 0.73, 12.3, 1234567.0]
+
+
+def unmatched(spark, *texts):
+    rows = spark.createDataFrame([(i, "2020-W48", t) for i, t in enumerate(texts)], "id int, week string, text string")
+    numbers = spark.createDataFrame([("2020-W48", str(v), v) for v in KNOWN], "week string, path string, value double")
+    checked = ng.check_numbers(rows, numbers, ["id"]).orderBy("id").collect()
+    assert [r["ok"] for r in checked] == [not r["unmatched"] for r in checked]
+    return [r["unmatched"] for r in checked]
+
+
+def test_backed_numbers_pass(spark):
+    texts = [
+        "Revenue was $40,146.00 (up 51.2%) from 27,780 sessions; ROAS was 0.73 (simulated).",
+        "Revenue rose about 51%.",
+        "Revenue reached $40.1k.",
+        "Revenue reached $40k.",
+        "Revenue was 40,146 dollars.",
+        "Sessions reached 27.8k.",
+        "Revenue exceeded $1.2m in that channel.",
+        "Sessions fell 12.3% week over week.",
+        "In 2020-W48 (starting 2020-11-23) and into 2021, revenue was $40k.",
+        "No numbers.",
+        "Precisely 0.7300000000 and 40146.0000000001.",
+    ]
+    assert unmatched(spark, *texts) == [[]] * len(texts)
+
+
+def test_invented_numbers_are_listed_in_order(spark):
+    assert unmatched(
+        spark,
+        "Revenue grew 60% this week.",
+        "Revenue grew 52%.",
+        "Revenue was $41,000.",
+        "Sessions doubled to 55,560.",
+        "Revenue grew 51.3%.",
+        "A score of 2021.5 was reached.",
+        "First 77, then 27,780, then 99 and 3k.",
+        "Almost 0.7300000021.",
+    ) == [["60"], ["52"], ["41,000"], ["55,560"], ["51.3"], ["2021.5"], ["77", "99", "3k"], ["0.7300000021"]]
+
+
+def test_numbers_of_another_week_do_not_count(spark):
+    rows = spark.createDataFrame([(1, "2020-W49", "It was 51.2%.")], "id int, week string, text string")
+    numbers = spark.createDataFrame([("2020-W48", "x", 51.2)], "week string, path string, value double")
+    assert ng.check_numbers(rows, numbers, ["id"]).first()["unmatched"] == ["51.2"]
+
+
+def test_grid_agrees_with_brute_force(spark):
+    import random
+
+    rnd = random.Random(3)
+    facts = [round(rnd.choice([1, 100, 1e4, 1e7]) * rnd.random(), rnd.randint(0, 4)) for _ in range(300)]
+    tokens = [f"{f:.{rnd.randint(0, 3)}f}" for f in facts]
+    tokens += [f"{f / 1000:.1f}k" for f in facts] + [f"{rnd.random() * 1000:.2f}" for _ in range(300)]
+    tokens += [f"{f / 1e6:.{rnd.randint(0, 2)}f}M" for f in facts if f > 1e5]
+    rows = spark.createDataFrame([(i, "w", t) for i, t in enumerate(tokens)], "id int, week string, text string")
+    numbers = spark.createDataFrame([("w", "x", f) for f in facts], "week string, path string, value double")
+    got = {r["id"] for r in ng.unmatched_numbers(rows, numbers).collect()}
+    expected = set()
+    for i, token in enumerate(tokens):
+        scale = {"k": 1e3, "M": 1e6}.get(token[-1], 1.0)
+        digits = token.rstrip("kM")
+        tolerance = 0.5 * 10 ** -len(digits.partition(".")[2]) * scale
+        value = float(digits) * scale
+        if not any(abs(value - f) <= tolerance + 1e-9 for f in facts):
+            expected.add(i)
+    assert got == expected and 0 < len(got) < len(tokens)
+
+
+def test_written_forms(spark):
+    text = "$1,234.5 and 3k and 12% and 1.2M, a5 v1.2 7km 1234,567 2020-W48 2020-01-01 x2020-W48"
+    rows = spark.createDataFrame([(text,)], "text string")
+    got = {r["token"]: (r["value"], r["tolerance"]) for r in ng.extract_numbers(rows).collect()}
+    assert got["1,234.5"] == (1234.5, pytest.approx(0.05))
+    assert got["3k"] == (3000.0, 500.0)
+    assert got["12"] == (12.0, 0.5)
+    assert got["1.2M"] == (1200000.0, pytest.approx(50000.0))
+    assert got["7"] == (7.0, 0.5)
+    assert set(got) == {"1,234.5", "3k", "12", "1.2M", "7", "1234", "567", "48"} - {"48"}
+
+
+def test_every_numeric_leaf_is_a_fact(facts, documents):
+    def leaves(value):
+        if isinstance(value, dict):
+            return [x for v in value.values() for x in leaves(v)]
+        if isinstance(value, list):
+            return [x for v in value for x in leaves(v)]
+        return [abs(float(value))] if isinstance(value, int | float) and not isinstance(value, bool) else []
+
+    got = {}
+    for row in ng.fact_numbers(facts).collect():
+        got.setdefault(row["week"], []).append(row["value"])
+    for week, document in documents.items():
+        assert sorted(got[week]) == sorted(leaves(document))
+
+
+# --- narratives ------------------------------------------------------------------------------
+
+
+def test_template_text(facts):
+    rows = {r["week"]: r["narrative"] for r in na.template_narratives(facts).collect()}
+    late = rows["2021-W01"]
+    assert late["summary"] == (
+        "In 2021-W01, the store recorded 2,450 sessions, 42 purchases and $2,730.00 in revenue. "
+        "Revenue rose 34.5% and sessions was unchanged compared with 2020-W53. "
+        "The overall conversion rate was 1.7% and the average order value was $65.00. "
+        "Ad spend and spend-based metrics in this report are simulated."
+    )
+    # A finding on direct revenue or the movers come first, then the channels.
+    assert len(late["findings"]) == 3 and len(late["checks"]) == 3
+    assert "Direct revenue changed from $1,400.00 to $2,100.00 (+50.0%)." in late["findings"]
+    assert "Review the 28.6% of sessions with an unknown channel to improve attribution." in late["checks"]
+    assert "There is no previous complete week to compare with." in rows["2020-W52"]["summary"]
+
+
+def test_template_passes_its_own_check(facts):
+    texts = na.narrative_texts(na.template_narratives(facts), "week").withColumn("text_id", F.col("week"))
+    checked = ng.check_numbers(texts, ng.fact_numbers(facts), ["text_id"]).collect()
+    assert len(checked) == 3 and all(r["ok"] for r in checked)
+
+
+GOOD = {
+    "summary": "Traffic was steady. Revenue rose 34.5%. Paid spend is simulated.",
+    "findings": ["Direct grew.", "Referral held.", "Direct was flat."],
+    "checks": ["Check tagging.", "Check checkout.", "Check attribution."],
+}
+
+
+def answer(**changed):
+    return json.dumps(GOOD | changed)
+
+
+PARSED = [
+    (answer(), None),
+    (f"Here:\n```json\n{answer()}\n```", None),
+    ("not json at all", "no JSON object found in the response"),
+    ("} {", "no JSON object found in the response"),
+    ("{oops}", "not valid JSON"),
+    (answer(extra=1), "unknown member"),
+    (json.dumps({"summary": GOOD["summary"], "findings": GOOD["findings"]}), "missing member"),
+    (answer(summary=5), "summary must be a string"),
+    (answer(findings=["a", 1, "c"]), "findings must be strings"),
+    (answer(findings=["a", "b"]), "findings must have 3 items"),
+    (answer(findings=[]), "findings must have 3 items"),
+    (answer(checks=["a", "b", " "]), "checks must be non-empty strings"),
+    (answer(summary="One sentence only."), "summary must have 3 to 5 sentences"),
+    (answer(summary="A. B. C. D. E. F."), "summary must have 3 to 5 sentences"),
+]
+
+
+def test_parsing_and_shape(spark):
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(PARSED)], "id int, response string")
+    got = na.parse_responses(rows).orderBy("id").collect()
+    assert [r["problem"] for r in got] == [p for _, p in PARSED]
+    assert got[1]["narrative"]["findings"] == GOOD["findings"]
+    assert got[3]["narrative"] is None
+
+
+def test_sentences(spark):
+    texts = ["Revenue was $1.2k. ROAS was 0.73. It is simulated.", "", "  One. two. ", 'A!  "B"? (C).']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in rows.select(sentence_count(F.col("t"))).collect()] == [3, 0, 1, 3]
+
+
+def test_choice_between_answer_and_template(spark, facts):
+    rows = [
+        ("2021-W01", 1, "not json"),
+        ("2021-W01", 2, answer()),
+        ("2020-W53", 1, answer(findings=["Direct grew 987.6%.", "b", "c"])),
+        ("2020-W52", 1, "{oops}"),
+        ("2020-W52", 2, answer(findings=[])),
+        ("2020-W52", 3, answer()),
+    ]
+    answers = spark.createDataFrame(rows, "week string, attempt int, response string")
+    got = {r["week"]: r for r in na.resolve_narratives(facts, answers, CFG).collect()}
+    good = got["2021-W01"]
+    assert (good["source"], good["fallback_reason"]) == ("response", None)
+    assert good["narrative"]["summary"] == GOOD["summary"]
+    assert "AI model" in good["disclosure"]
+    wrong = got["2020-W53"]
+    # 34.5% belongs to another week.
+    assert (wrong["source"], wrong["fallback_reason"]) == ("fallback", "number guard failed")
+    assert wrong["unmatched_numbers"] == ["34.5", "987.6"]
+    assert "fixed template" in wrong["disclosure"]
+    broken = got["2020-W52"]
+    assert broken["fallback_reason"] == "invalid JSON after retries: findings must have 3 items"
+    none = na.resolve_narratives(facts, answers.where("false"), CFG).collect()
+    assert {r["fallback_reason"] for r in none} == {"no response"}

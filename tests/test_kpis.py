@@ -1,0 +1,148 @@
+"""Hand-calculated weekly KPIs: one partial week, then two complete ones across a year end.
+
+paid_search has 10 sessions, 6 views, 3 carts, 2 checkouts, 1 purchase a day with revenue 20 and
+spend 5, and in the last week revenue 30, spend 7.5 and one purchase without revenue. direct has
+30 sessions a day and nothing else.
+"""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.builders import PAID, daily_frame, day_row, span, spend_frame
+from tidemark.functions.numbers import null_if_nan, round_even, safe_divide
+from tidemark.operators import kpis
+
+DAYS = span(date(2020, 12, 27), date(2021, 1, 10))
+LAST = date(2021, 1, 4)
+
+
+def daily(spark, days=DAYS):
+    rows = []
+    for day in days:
+        late = day >= LAST
+        rows.append(
+            day_row(
+                day, "paid_search", sessions=10, users=9, view_item_sessions=6,
+                add_to_cart_sessions=3, begin_checkout_sessions=2, purchase_sessions=1,
+                purchases=1, revenue=30.0 if late else 20.0,
+                purchases_missing_revenue=int(late),
+            )
+        )
+        rows.append(day_row(day, "direct", sessions=30, users=25))
+    return daily_frame(spark, rows)
+
+
+def spend(spark, days=DAYS):
+    return spend_frame(spark, days, lambda d: 7.5 if d >= LAST else 5)
+
+
+@pytest.fixture(scope="module")
+def weekly(spark):
+    rows = kpis.with_changes(kpis.weekly_metrics(daily(spark), spend(spark), PAID)).collect()
+    return {(r["week"], r["channel"]): r for r in rows}
+
+
+def test_safe_divide(spark):
+    rows = spark.createDataFrame([(1.0, 4.0), (1.0, 0.0), (0.0, 0.0), (1.0, None)], "a double, b double")
+    got = [r[0] for r in rows.select(safe_divide(F.col("a"), F.col("b"))).collect()]
+    assert got == [0.25, None, None, None]
+
+
+def test_nan_and_infinity_become_null(spark):
+    values = [1.5, float("nan"), float("inf"), float("-inf"), None]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in rows.select(null_if_nan(F.col("v"))).collect()] == [1.5] + [None] * 4
+
+
+def test_rounding_is_half_even_on_the_binary_value(spark):
+    values = [6.25, 6.35, 2.675, 1.005, 0.125, 253962.125, -0.04, 1e15, 12.34]
+    values += [k / 16 for k in range(200)] + [k / 1000 + 0.005 for k in range(500)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (1, 2, 4):
+        got = rows.select("v", round_even("v", digits).alias("r")).collect()
+        assert [repr(r["r"]) for r in got] == [repr(round(r["v"], digits)) for r in got]
+
+
+def test_paid_channel(weekly):
+    r = weekly["2020-W53", "paid_search"]
+    assert (r["sessions"], r["revenue"], r["spend"], r["days"]) == (70, 140.0, 35.0, 7)
+    assert r["conversion_rate"] == pytest.approx(0.1)
+    assert (r["aov"], r["cost_per_session"], r["cpa"], r["roas"]) == (20.0, 0.5, 5.0, 4.0)
+    assert (r["add_to_cart_rate"], r["purchase_rate"]) == (0.5, 0.5)
+    assert r["checkout_rate"] == pytest.approx(2 / 3)
+    assert r["missing_revenue_share"] == 0.0
+    assert weekly["2021-W01", "paid_search"]["missing_revenue_share"] == 0.5
+
+
+def test_zero_denominators_are_null(weekly):
+    r = weekly["2020-W53", "direct"]
+    assert r["conversion_rate"] == 0.0
+    for name in ("aov", "add_to_cart_rate", "checkout_rate", "purchase_rate"):
+        assert r[name] is None
+
+
+def test_costs_only_for_paid_rows(weekly):
+    for channel in ("direct", "total"):
+        r = weekly["2020-W53", channel]
+        assert [r[c] for c in ("spend", "cost_per_session", "cpa", "roas")] == [None] * 4
+
+
+def test_totals_and_shares(weekly):
+    total = weekly["2020-W53", "total"]
+    assert (total["sessions"], total["revenue"], total["is_paid"]) == (280, 140.0, False)
+    assert total["conversion_rate"] == pytest.approx(7 / 280)
+    assert (total["session_share"], total["revenue_share"]) == (1.0, 1.0)
+    assert weekly["2020-W53", "paid_search"]["session_share"] == 0.25
+    assert weekly["2020-W53", "paid_search"]["revenue_share"] == 1.0
+    assert weekly["2020-W53", "direct"]["revenue_share"] == 0.0
+
+
+def test_partial_weeks_are_flagged(weekly):
+    assert (weekly["2020-W52", "direct"]["days"], weekly["2020-W52", "direct"]["is_complete"]) == (1, False)
+    assert weekly["2020-W53", "paid_search"]["prev_revenue"] is None
+    assert weekly["2020-W53", "paid_search"]["wow_revenue"] is None
+
+
+def test_changes_across_the_year_boundary(weekly):
+    r = weekly["2021-W01", "paid_search"]
+    assert r["prev_revenue"] == 140.0
+    assert (r["wow_revenue"], r["wow_cpa"], r["wow_roas"], r["wow_sessions"]) == (0.5, 0.5, 0.0, 0.0)
+    assert r["revenue_share_change_pp"] == 0.0
+
+
+def test_change_from_zero_is_null(weekly):
+    r = weekly["2021-W01", "direct"]
+    assert (r["prev_revenue"], r["wow_revenue"], r["wow_sessions"]) == (0.0, None, 0.0)
+
+
+def test_changes_do_not_reach_across_a_missing_week(spark):
+    days = [*span(date(2020, 12, 21), date(2020, 12, 27)), *span(LAST, date(2021, 1, 10))]
+    weekly = kpis.with_changes(kpis.weekly_metrics(daily(spark, days), spend(spark, days), PAID))
+    late = weekly.where("week = '2021-W01' AND channel = 'direct'").first()
+    assert late["is_complete"] and late["wow_sessions"] is None
+    weeks = kpis.complete_weeks(weekly).orderBy("week_start").collect()
+    assert [w["week"] for w in weeks] == ["2020-W52", "2021-W01"]
+
+
+def test_paid_day_without_spend_costs_nothing(spark):
+    costs = spend(spark).where("date <> DATE'2020-12-28'")
+    extra = costs.limit(1).withColumn("channel", F.lit("direct"))
+    rows = kpis.daily_metrics(daily(spark), costs.union(extra), PAID)
+    day = rows.where("date = DATE'2020-12-28' AND channel = 'paid_search'").first()
+    assert (day["spend"], day["roas"]) == (0.0, None)
+    # A spend row of a channel without ads is ignored.
+    assert rows.where("channel = 'direct' AND spend IS NOT NULL").count() == 0
+
+
+def test_a_channel_called_total_stays_apart(spark):
+    rows = daily(spark).withColumn(
+        "channel", F.when(F.col("channel") == "direct", "total").otherwise(F.col("channel"))
+    )
+    weekly = kpis.with_changes(kpis.weekly_metrics(rows, spend(spark), PAID))
+    both = weekly.where("week = '2021-W01' AND channel = 'total'").orderBy("is_total").collect()
+    assert [(r["is_total"], r["sessions"], r["wow_sessions"]) for r in both] == [
+        (False, 210, 0.0),
+        (True, 280, 0.0),
+    ]

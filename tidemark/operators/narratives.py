@@ -33,10 +33,9 @@ def parse_responses(responses: DataFrame, text: str = "response") -> DataFrame:
     """
     body = json_object(F.col(text))
     expected = F.array(*[F.lit(n) for n in sorted(NARRATIVE.fieldNames())])
-    # A first reading with text items keeps wrong item types apart from parse failures.
     parsed = F.from_json(F.col("_json"), NARRATIVE, {"mode": "PERMISSIVE"})
     valid = F.try_parse_json(F.col("_json")).isNotNull()
-    keys = F.sort_array(F.json_object_keys("_json"))
+    keys = F.coalesce(F.json_object_keys("_json"), F.array().cast("array<string>"))
     n = sentence_count(F.col("narrative.summary"))
 
     def items_problem(name: str) -> tuple[Column, str]:
@@ -47,24 +46,26 @@ def parse_responses(responses: DataFrame, text: str = "response") -> DataFrame:
     def blank_problem(name: str) -> tuple[Column, str]:
         return F.exists(f"narrative.{name}", is_blank), f"{name} must be non-empty strings"
 
-    def typed(name: str, kind: str) -> Column:
+    def wrong_type(name: str, *kinds: str) -> Column:
         value = F.try_variant_get(F.try_parse_json(F.col("_json")), f"$.{name}", "variant")
-        return F.schema_of_variant(value) == kind
+        return ~F.schema_of_variant(value).isin(*kinds)
 
+    # An empty list, or one of nulls, has no element type and fails the item count instead.
+    texts = ("ARRAY<STRING>", "ARRAY<VOID>")
     checks = [
         (F.col("_json").isNull(), "no JSON object found in the response"),
         (~valid, "not valid JSON"),
-        (F.array_except(F.coalesce(keys, F.array().cast("array<string>")), expected) != F.array().cast("array<string>"), "unknown member"),
-        (F.size(F.array_except(expected, F.coalesce(keys, F.array().cast("array<string>")))) > 0, "missing member"),
-        (~typed("summary", "STRING"), "summary must be a string"),
-        (~typed("findings", "ARRAY<STRING>"), "findings must be strings"),
-        (~typed("checks", "ARRAY<STRING>"), "checks must be strings"),
+        (F.size(F.array_except(keys, expected)) > 0, "unknown member"),
+        (F.size(F.array_except(expected, keys)) > 0, "missing member"),
+        (wrong_type("summary", "STRING"), "summary must be a string"),
+        (wrong_type("findings", *texts), "findings must be strings"),
+        (wrong_type("checks", *texts), "checks must be strings"),
         items_problem("findings"),
         items_problem("checks"),
         blank_problem("findings"),
         blank_problem("checks"),
         (~n.between(*SENTENCES), "summary must have 3 to 5 sentences"),
-    ]
+    ]
     problem = F.lit(None).cast("string")
     for condition, reason in reversed(checks):
         problem = F.when(F.coalesce(condition, F.lit(False)), reason).otherwise(problem)
