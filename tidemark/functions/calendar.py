@@ -9,7 +9,8 @@ from tidemark import fixed_values as fv
 
 
 def monday_of(day: Column) -> Column:
-    return F.date_trunc("week", day).cast("date")
+    """Date arithmetic only: no time zone takes part."""
+    return F.date_sub(day, F.weekday(day))
 
 
 def iso_week_label(day: Column) -> Column:
