@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.model import DAILY, Settings
+from tidemark.operators import kpis
 from tidemark.operators import quality as q
 from tidemark.sources import tables
 
@@ -178,3 +179,11 @@ def test_daily_and_spend_files_round_trip(spark, tmp_path):
     assert tables.read_spend(spark, str(tmp_path / "s")).count() == 2
     with pytest.raises(tables.StructureError, match="missing columns"):
         tables.write_daily(daily(spark).drop("users"), str(tmp_path / "x"))
+
+
+def test_without_paid_channels_every_spend_row_is_refused(spark):
+    nothing = Settings(paid_channels=())
+    bad = q.validate_spend(spend(spark), nothing)[1]
+    assert {r["reason"] for r in bad.collect()} == {"channel: not a paid channel"}
+    joined = kpis.join_spend(daily(spark), spend(spark), nothing.paid_channels)
+    assert joined.where("is_paid OR spend IS NOT NULL").count() == 0

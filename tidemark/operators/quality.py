@@ -42,8 +42,9 @@ def _missing(column: str) -> Rule:
 
 
 def _not_among(reason: str, labels: Sequence[str]) -> Rule:
-    quoted = ", ".join("'" + label.replace("'", "\\'") + "'" for label in labels)
-    return Rule(reason, f"channel NOT IN ({quoted})")
+    # NULL keeps the list valid when no label is allowed; a NULL channel is not a failure here.
+    listed = ", ".join(["NULL", *[f"'{label}'" for label in labels]])
+    return Rule(reason, f"NOT coalesce(channel IN ({listed}), false) AND channel IS NOT NULL")
 
 
 def daily_rules(settings: Settings) -> list[Rule]:
