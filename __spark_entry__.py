@@ -490,11 +490,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return daily_channel_rollup(spark, SMOKE)
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the optional subpackage; nothing if it has been taken out."""
+    try:
+        import corpus_pipeline
+        from tidemark.llm import queries as numbered
+        from tidemark.llm import sql
+    except ModuleNotFoundError as error:
+        if not (error.name or "").startswith(("tidemark.llm", "corpus_pipeline")):
+            raise
+        return {}, {}
+    found, statements = dict(numbered.QUERIES), dict(sql.STATEMENTS)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, statements
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return QUERIES | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.sql import statements
 
-    return statements()
+    return statements() | _training_data()[1]
