@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -490,20 +491,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return daily_channel_rollup(spark, SMOKE)
 
 
-def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
-    """Queries and SQL of the optional subpackage; nothing if it has been taken out."""
+def _optional(name: str):
+    """A module of the training-data part, or None if that part has been taken out."""
     try:
-        import corpus_pipeline
-        from tidemark.llm import queries as numbered
-        from tidemark.llm import sql
+        return import_module(name)
     except ModuleNotFoundError as error:
         if not (error.name or "").startswith(("tidemark.llm", "corpus_pipeline")):
             raise
-        return {}, {}
-    found, statements = dict(numbered.QUERIES), dict(sql.STATEMENTS)
-    found["pipeline"] = corpus_pipeline.run
-    if corpus_pipeline.ORACLE_SQL:
-        statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+        return None
+
+
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    found, statements = {}, {}
+    if numbered := _optional("tidemark.llm.queries"):
+        found |= numbered.QUERIES
+        statements |= numbered.STATEMENTS
+    if found and (pipeline := _optional("corpus_pipeline")):
+        found["pipeline"] = pipeline.run
+        if pipeline.ORACLE_SQL:
+            statements["pipeline"] = pipeline.ORACLE_SQL
     return found, statements
 
 
