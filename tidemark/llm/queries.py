@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, files, mixture, token_store, url_filter
+from tidemark.llm import boosted_quality, chat, files, mixture, ngram_quality, pieces, token_store, url_filter
+from tidemark.llm.labelled import HELD_OUT, fold
 from tidemark.llm.sql import STATEMENTS  # noqa: F401  registered beside the queries
 from tidemark.plans.materialize import materialize
 
@@ -58,6 +59,38 @@ def op3_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix_sizes(_table(spark, folder, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every text, learnt from the labels outside one fold."""
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    forest = boosted_quality.train(documents, _table(spark, folder, "labels"))
+    scored = boosted_quality.score(documents, forest)
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, base rules and the calibrated model's verdict on every text."""
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    model = ngram_quality.train(documents, _table(spark, folder, "labels"))
+    judged = ngram_quality.judge(documents, model)
+    return judged.select("doc_id", *ngram_quality.COUNTS, "base_failed", "kept", "probability")
+
+
+def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts encoded, and whether decoding the stored ids gives the text back."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    encoded = pieces.encode_documents(documents, model)
+    shown = F.replace(F.coalesce("text", F.lit("")), F.lit(pieces.MARK), F.lit(" "))
+    hashed = encoded.select("doc_id", "ids", "n_ids", "ids_crc32", F.xxhash64(shown).alias("_shown"))
+    back = pieces.decode_documents(hashed.withColumn("_ids", F.col("ids")), model, ids="_ids", text="_text")
+    return back.select("doc_id", "ids", "n_ids", "ids_crc32", (F.xxhash64("_text") == F.col("_shown")).alias("round_trips"))
+
+
 URL_RULES = [
     url_filter.Rule("net", "/", url_filter.BLOCK),
     url_filter.Rule("example.net", "/en/", url_filter.ALLOW),
@@ -71,4 +104,10 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_store, op2_chat_format, op3_mixture, op10_url_filter)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_store, op2_chat_format, op3_mixture, op5_quality_classifier, op6_quality_rules,
+        op9_sentencepiece, op10_url_filter,
+    )
+}
