@@ -44,7 +44,7 @@ def replacing(folder: str, name: str) -> Iterator[pa.NativeFile]:
     files.create_dir(path, recursive=True)
     temporary = f"{path}/_tmp-{uuid.uuid4().hex}-{name}"
     try:
-        with files.open_output_stream(temporary) as out:
+        with files.open_output_stream(temporary, compression=None) as out:
             yield out
         files.move(temporary, f"{path}/{name}")
     except BaseException:
@@ -60,7 +60,7 @@ def write_bytes(folder: str, name: str, data: bytes) -> None:
 
 def read_bytes(uri: str) -> bytes:
     files, path = store(uri)
-    with files.open_input_stream(path) as source:
+    with files.open_input_stream(path, compression=None) as source:
         return source.read()
 
 
@@ -69,36 +69,51 @@ def open_file(uri: str) -> pa.NativeFile:
     return files.open_input_file(path)
 
 
-def sorted_shards(df: DataFrame, key: str, content: Column, size: Column, shard_bytes: int) -> tuple[DataFrame, int]:
+def sorted_shards(
+    df: DataFrame, key: str, content: Column, size: Column, shard_bytes: int, led_by: DataFrame | None = None
+) -> tuple[DataFrame, int]:
     """Deal rows to shards that are consecutive ranges of `key`, and sort each shard.
 
     Adds `_shard` (int) and sorts a task's rows by key, a hash of the content and the row's place
-    in the input, so that even a third of all rows under one key, or null, or wholly equal is split.
-    Bounds come from a sample chosen by hash: about SAMPLES_PER_SHARD keys a shard, the same ones in
-    every run over the same files. One shard is one task; null keys come first.
+    in the input, so that even a third of all rows under one key, or null, is split where contents
+    or places differ. Bounds come from a sample chosen by hash: about SAMPLES_PER_SHARD keys a
+    shard, the same ones in every run over the same files. One shard is one task; null keys come first.
+
+    Rows of `led_by` (same columns) are put before all rows of `df` with their key and content, and
+    into each shard that has such rows.
     """
-    spark = df.sparkSession
-    order = ["_null", "_key", "_hash", "_place"]
-    keyed = df.withColumns(
-        {
-            "_null": F.col(key).isNotNull().cast("int"),
-            "_key": F.coalesce(F.col(key).cast("bigint"), F.lit(0)),
-            "_hash": F.xxhash64(content),
-            "_place": F.monotonically_increasing_id(),
-        }
-    )
+    order = ["_known", "_key", "_hash", "_place"]
+
+    def keyed(rows: DataFrame, place: Column) -> DataFrame:
+        return rows.withColumns(
+            {
+                "_known": F.col(key).isNotNull().cast("int"),
+                "_key": F.coalesce(F.col(key).cast("bigint"), F.lit(0)),
+                "_hash": F.xxhash64(content),
+                "_place": place,
+            }
+        )
+
+    own = keyed(df, F.monotonically_increasing_id())
     rows, total = df.agg(F.count(F.lit(1)), F.sum(F.coalesce(size, F.lit(0)).cast("bigint"))).first()
     shards = max(1, -(-(total or 0) // shard_bytes))
     bounds: list[tuple] = []
     if shards > 1:
         every = max(1, rows // (shards * SAMPLES_PER_SHARD))
-        sample = keyed.where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).select(*order)
-        found = sorted(tuple(r) for r in sample.collect())
+        found = sorted(tuple(r) for r in own.select(*order).where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).collect())
         bounds = [found[i * len(found) // shards] for i in range(1, shards)] if found else []
 
     @F.pandas_udf("int")
-    def place_of(null: pd.Series, own: pd.Series, content: pd.Series, place: pd.Series) -> pd.Series:
-        return pd.Series([bisect_right(bounds, r) for r in zip(null, own, content, place, strict=True)], dtype="int32")
-
-    dealt = keyed.withColumn("_shard", place_of(*order) if bounds else F.lit(0))
+    def shard_of(known: pd.Series, own: pd.Series, content: pd.Series, place: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(bounds, r) for r in zip(known, own, content, place, strict=True)], dtype="int32")
+
+    dealt = own.withColumn("_shard", shard_of(*order) if bounds else F.lit(0))
+    if led_by is not None:
+        first = keyed(led_by, F.lit(-1).cast("bigint"))
+        if bounds:
+            last = shard_of("_known", "_key", "_hash", F.lit((1 << 63) - 1))
+            first = first.withColumn("_shard", F.explode(F.sequence(shard_of(*order), last)))
+        else:
+            first = first.withColumn("_shard", F.lit(0))
+        dealt = dealt.unionByName(first)
     return dealt.repartitionById(len(bounds) + 1, F.col("_shard")).sortWithinPartitions(*order), len(bounds) + 1

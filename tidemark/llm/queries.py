@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import boosted_quality, chat, files, mixture, ngram_quality, pieces, token_store, url_filter
+from tidemark.llm import boosted_quality, chat, files, mixture, ngram_quality, pieces, token_store, url_filter, warc
 from tidemark.llm.labelled import HELD_OUT, fold
 from tidemark.llm.sql import STATEMENTS  # noqa: F401  registered beside the queries
 from tidemark.plans.materialize import materialize
@@ -80,6 +80,12 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *ngram_quality.COUNTS, "base_failed", "kept", "probability")
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as archives, and what reading the archives gives back."""
+    manifest = warc.write_warc(_table(spark, folder, "pages"), files.new_folder(spark, "warc"))
+    return warc.read_warc(manifest).drop("url")
+
+
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """All texts encoded, and whether decoding the stored ids gives the text back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -108,6 +114,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_token_store, op2_chat_format, op3_mixture, op5_quality_classifier, op6_quality_rules,
-        op9_sentencepiece, op10_url_filter,
+        op7_warc, op9_sentencepiece, op10_url_filter,
     )
 }

@@ -73,4 +73,16 @@ SELECT p.page_id, ruled.host, ruled.path, ruled.rule,
 FROM pages p LEFT JOIN ruled ON ruled.url IS NOT DISTINCT FROM p.url
 """
 
-STATEMENTS = {"op2_chat_format": OP2, "op10_url_filter": OP10}
+OP7 = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), best AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS best_id FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < best_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < best_id THEN best_id END AS refers_to
+FROM best
+"""
+
+STATEMENTS = {"op2_chat_format": OP2, "op7_warc": OP7, "op10_url_filter": OP10}
