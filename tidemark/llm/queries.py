@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import boosted_quality, chat, files, mixture, ngram_quality, pieces, token_store, url_filter, warc
+from tidemark.llm import boosted_quality, chat, files, mixture, ngram_quality, partenum, pieces, token_store, url_filter, warc
 from tidemark.llm.labelled import HELD_OUT, fold
 from tidemark.llm.sql import STATEMENTS  # noqa: F401  registered beside the queries
 from tidemark.plans.materialize import materialize
@@ -86,6 +86,11 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_warc(manifest).drop("url")
 
 
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents that share 85 percent of their 4-word shingles."""
+    return partenum.near_duplicates(_table(spark, folder, "documents"), n=4, percent=85)
+
+
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """All texts encoded, and whether decoding the stored ids gives the text back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -114,6 +119,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_token_store, op2_chat_format, op3_mixture, op5_quality_classifier, op6_quality_rules,
-        op7_warc, op9_sentencepiece, op10_url_filter,
+        op7_warc, op8_ngram_join, op9_sentencepiece, op10_url_filter,
     )
 }
