@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import boosted_quality, chat, files, mixture, ngram_quality, partenum, pieces, token_store, url_filter, warc
+from tidemark.llm import boosted_quality, chat, files, mixture, ngram_quality, partenum, pieces, token_store, url_filter, vector_graph, warc
 from tidemark.llm.labelled import HELD_OUT, fold
 from tidemark.llm.sql import STATEMENTS  # noqa: F401  registered beside the queries
 from tidemark.plans.materialize import materialize
@@ -59,6 +59,11 @@ def op3_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix_sizes(_table(spark, folder, "documents"))
 
 
+def op4_vector_graph(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings linked by a cosine of 0.95 and their components."""
+    return vector_graph.link_vectors(_table(spark, folder, "embeddings"))
+
+
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """The quality of every text, learnt from the labels outside one fold."""
     documents = _table(spark, folder, "documents").select("doc_id", "text")
@@ -118,7 +123,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_token_store, op2_chat_format, op3_mixture, op5_quality_classifier, op6_quality_rules,
-        op7_warc, op8_ngram_join, op9_sentencepiece, op10_url_filter,
+        op1_token_store, op2_chat_format, op3_mixture, op4_vector_graph,
+        op5_quality_classifier, op6_quality_rules, op7_warc, op8_ngram_join, op9_sentencepiece, op10_url_filter,
     )
 }
