@@ -159,7 +159,7 @@ class _Writer:
         self._roll()
         types = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string())
         names = ["shard", "part", "path", "records", "bytes", "sha256"]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*self.rows, strict=True), types, strict=True)], names)
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in self.rows], t) for i, t in enumerate(types)], names)
 
 
 def members(uri: str, block: int = 1 << 20) -> Iterator[bytes]:
