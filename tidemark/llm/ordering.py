@@ -7,6 +7,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.plans.materialize import materialize
 
@@ -20,7 +21,7 @@ def running_totals(df: DataFrame, order: list[str], values: list[str], group: st
     `df` is evaluated twice, once to choose the ranges, so it should be stored. Nulls of a value
     count as 0.
     """
-    schema = df.schema.add("_range", "integer")
+    schema = StructType(list(df.schema)).add("_range", "integer")
     for v in values:
         schema = schema.add(f"before_{v}", "long")
 

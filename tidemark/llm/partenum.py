@@ -16,11 +16,15 @@ has none: the signatures of all such choices contain one that both sets share.
 Sets are told apart by a 64-bit fingerprint: copies are one class, and two different classes among n
 share a fingerprint with probability n^2 / 2^65.
 
-A bucket (classes with one signature) is not turned into all its pairs. Every class is verified
-against the bucket's pivot, the class with most shared signatures; verified links give components. Only
-in buckets that still hold several components are the remaining pairs across components verified,
+A bucket (classes with one signature) is not turned into all its pairs. Every class is compared
+with the bucket's pivot, the class with most shared signatures; verified links give components. Only
+in buckets that still hold several components are the remaining pairs across components compared,
 each class outside the bucket's largest component with the rest. So the components are those of all links.
 
+Comparing begins with sketches: SKETCH parity bits of the set's hashes. Every differing element flips
+one bit, so sets whose sketches differ in more bits than the allowed differences are no link, and
+that test is a condition inside the join. What passes is verified on the shingle sets.
+
 Defined cases: a null or empty text has an empty set and links with nothing; a text with fewer words
 than a shingle is one shingle; rows with equal texts are one class whatever their ids; null ids are
 kept (a component of null ids only has a null id); an empty table gives no rows; extra columns are ignored.
@@ -34,8 +38,9 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.llm.batches import field, map_batches
 from tidemark.llm.bytescan import Texts, Words, keyed, mix, slices, windows
@@ -46,6 +51,7 @@ RATIO = 1.5  # of the sizes of neighbouring bands
 GUARANTEED = 128
 WORDS, PERCENT = 5, 80
 LARGEST = 1 << 40
+SKETCH = 1024  # bits
 #: Classes whose fingerprints are broadcast to pick their texts; more are joined by a shuffle.
 BROADCAST_CLASSES = 200_000
 
@@ -98,6 +104,22 @@ def fingerprints(found: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.n
     return size, mix(total + size.astype(np.uint64)).view(np.int64)
 
 
+def sketches(found: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """Parity of the number of elements in each of SKETCH cells, as 64-bit numbers."""
+    cell = (mix(found + np.uint64(0x2545F4914F6CDD1D)) & np.uint64(SKETCH - 1)).astype(np.int64)
+    odd = (np.bincount(owner * SKETCH + cell, minlength=texts * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(texts, SKETCH), axis=1).view(np.int64)
+
+
+def may_link(a: str, b: str, percent: int) -> Column:
+    """False only for pairs whose sizes or sketches (structs `a` and `b`) rule a link out."""
+    n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    words = range(SKETCH // 64)
+    differing = sum((F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in words), F.lit(0))
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    return sizes & (differing * (100 + percent) <= (n + m) * (100 - percent))
+
+
 def signatures(found: np.ndarray, owner: np.ndarray, size: np.ndarray, wanted: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(signature, text) of the wanted texts' sets."""
     firsts = bands(percent)
@@ -140,7 +162,7 @@ def signatures(found: np.ndarray, owner: np.ndarray, size: np.ndarray, wanted: n
 
 
 def _profiles(documents: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, class, signatures). A batch's copies of a class give its signatures once."""
+    """(doc_id, n_shingles, class, signatures, sketch). A batch's copies of a class give its signatures once."""
 
     def work(batches):
         for b in batches:
@@ -159,17 +181,19 @@ def _profiles(documents: DataFrame, n: int, percent: int) -> DataFrame:
                         pa.array(size.astype(np.int64)),
                         pa.array(print_, mask=size == 0),
                         pa.ListArray.from_arrays(pa.array(edge), pa.array(sigs[order].view(np.int64))),
+                        pa.array(list(sketches(found, owner, len(texts))), pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "class", "signatures"],
+                    ["doc_id", "n_shingles", "class", "signatures", "sketch"],
                 )
 
-    schema = "doc_id bigint, n_shingles bigint, class bigint, signatures array<bigint>"
+    schema = "doc_id bigint, n_shingles bigint, class bigint, signatures array<bigint>, sketch array<bigint>"
     return map_batches(documents.select(F.col("doc_id").cast("bigint"), "text"), schema, work)
 
 
-def _sets(documents: DataFrame, classes: DataFrame, n: int) -> DataFrame:
-    """(class, shingles): the sorted shingle hashes of one text of each class, as bytes."""
-    wanted = materialize(classes.select(F.col("class").alias("_class"), F.col("doc_id").alias("_doc")))
+def _sets(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """(class, shingles): the sorted shingle hashes of one text of each class in the pairs, as bytes."""
+    ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    wanted = materialize(ends.join(info, "class").select(F.col("class").alias("_class"), F.col("doc_id").alias("_doc")))
     if wanted.count() <= BROADCAST_CLASSES:
         wanted = F.broadcast(wanted)
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -192,9 +216,10 @@ def _sets(documents: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     return materialize(map_batches(texts, "class bigint, shingles binary", work).dropDuplicates(["class"]))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity. `a` may be a hub, so its set is joined to
     the slim pairs first."""
+    sets = _sets(documents, info, pairs, n)
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("right"))
 
@@ -219,43 +244,88 @@ def class_links(documents: DataFrame, profiles: DataFrame, n: int, percent: int)
     shared = rows.groupBy("sig").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
     shared = materialize(rows.join(shared.select("sig"), "sig").distinct())
     held = shared.groupBy("class").agg(F.count(F.lit(1)).alias("weight"))
+    about = profiles.join(held.select("class"), "class", "left_semi").groupBy("class")
+    info = materialize(about.agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sketch").alias("sketch")))
+
+    def known(name: str) -> DataFrame:
+        return info.select(F.col("class").alias(name), F.struct("n_shingles", "sketch").alias(f"{name}_info"))
+
     best = F.max(F.struct("weight", "class")).getField("class")
-    pivots = shared.join(held, "class").groupBy("sig").agg(best.alias("pivot"))
+    pivots = shared.join(held, "class").groupBy("sig").agg(best.alias("pivot"), F.count(F.lit(1)).alias("members"))
+    pivots = materialize(pivots)
     star = shared.join(pivots, "sig").where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b"))
-    star = materialize(star.distinct())
-
-    first = profiles.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    sets = _sets(documents, held.join(first, "class"), n)
-    links = _verified(star, sets, percent)
+    star = star.distinct().join(known("a"), "a").join(known("b"), "b").where(may_link("a_info", "b_info", percent))
+    links = _verified(documents, info, materialize(star.select("a", "b")), n, percent)
 
+    # Of a bucket of two, the one pair has been compared.
     groups = connected_components(links, "a", "b").withColumnRenamed("node", "class")
-    placed = shared.join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    placed = materialize(placed.select("sig", "class", "component"))
+    wide = shared.join(pivots.where("members > 2"), "sig").join(groups, "class", "left")
+    placed = materialize(wide.select("sig", "class", "pivot", F.coalesce("component", "class").alias("component")))
     counts = placed.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = F.max(F.struct("n", "component")).getField("component")
     torn = counts.groupBy("sig").agg(largest.alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_ = materialize(placed.join(torn.select("sig", "main"), "sig"))
-    odd = open_.where("component <> main").select("sig", F.col("class").alias("a"), F.col("component").alias("own"))
-    other = open_.select("sig", F.col("class").alias("b"), "component", "main")
-    across = odd.join(other, "sig").where("own <> component and (component = main or a < b)")
-    rest = across.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
-    known = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = materialize(rest.join(known, ["a", "b"], "left_anti"))
-    return links.unionByName(_verified(rest.select("a", "b"), sets, percent))
+    # The pivot has been compared with all the others.
+    open_ = placed.where("class <> pivot").join(torn.select("sig", "main"), "sig").select("sig", "class", "component", "main")
+    open_ = materialize(open_.join(info.select("class", F.struct("n_shingles", "sketch").alias("info")), "class"))
+    odd = open_.where("component <> main").select("sig", F.col("class").alias("a"), F.col("component").alias("own"), F.col("info").alias("a_info"))
+    other = open_.select("sig", F.col("class").alias("b"), "component", "main", F.col("info").alias("b_info"))
+    across = (odd.sig == other.sig) & (F.col("own") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("b")))
+    rest = odd.join(other, across & may_link("a_info", "b_info", percent))
+    rest = materialize(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return links.unionByName(_verified(documents, info, rest, n, percent))
+
+
+def _named(documents: DataFrame, profiles: DataFrame, n: int, percent: int) -> DataFrame:
+    """(class, group, component_id) of every class: the smallest class and doc_id that links reach."""
+    links = class_links(documents, profiles, n, percent)
+    groups = connected_components(links, "a", "b").withColumnRenamed("node", "class")
+    classes = profiles.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    placed = classes.join(groups, "class", "left").select("class", "doc_id", F.coalesce("component", "class").alias("group"))
+    placed = materialize(placed)
+    least = placed.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    return materialize(placed.join(least, "group").select("class", "group", "component_id"))
 
 
 def near_duplicates(documents: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document (doc_id, text): the size of its set and the
     smallest doc_id that links reach, with 100 * intersection >= percent * union for each link."""
     profiles = materialize(_profiles(documents, n, percent))
-    links = class_links(documents, profiles, n, percent)
-    groups = connected_components(links, "a", "b").withColumnRenamed("node", "class")
-    slim = profiles.drop("signatures")
-    classes = slim.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    placed = materialize(
-        classes.join(groups, "class", "left").select("class", "doc_id", F.coalesce("component", "class").alias("component"))
-    )
-    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    names = placed.join(least, "component").select("class", "component_id")
-    named = slim.join(names, "class", "left")
-    return named.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = _named(documents, profiles, n, percent).drop("group")
+    rows = profiles.select("doc_id", "n_shingles", "class").join(named, "class", "left")
+    own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.select("doc_id", "n_shingles", own.alias("component_id"))
+
+
+def keep_one(documents: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One document of each group of linked documents, with its own columns: that with the smallest
+    doc_id, and of several with that id the smallest row. Documents without words all stay."""
+    columns = documents.columns
+    profiles = materialize(_profiles(documents, n, percent))
+    named = _named(documents, profiles, n, percent)
+    slim = profiles.where("class is not null").select("class", "doc_id").join(named, "class")
+    first = slim.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+    several = materialize(first.where("n > 1").select("group"))
+
+    rows = documents.select(F.struct(*columns).alias("_row"), "doc_id", "text")
+    schema = StructType([rows.schema["_row"]]).add("doc_id", "long").add("_class", "long")
+
+    def tag(batches):
+        for b in batches:
+            for texts in slices(field(b, "text")):
+                size, print_ = fingerprints(*sets_of(texts, n), len(texts))
+                part = b.slice(texts.first, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [field(part, "_row"), field(part, "doc_id").cast(pa.int64()), pa.array(print_, mask=size == 0)], ["_row", "doc_id", "_class"]
+                )
+
+    tagged = map_batches(rows, schema, tag)
+    empty = tagged.where("_class is null").select("_row")
+    found = tagged.join(named, F.col("_class") == F.col("class"))
+    found = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("group", "_row")
+    if several.isEmpty():
+        kept = found.select("_row")
+    else:
+        single = found.join(several, "group", "left_anti").select("_row")
+        of_several = found.join(several, "group", "left_semi").groupBy("group").agg(F.min("_row").alias("_row"))
+        kept = single.unionByName(of_several.select("_row"))
+    return kept.unionByName(empty).select("_row.*")
