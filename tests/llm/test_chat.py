@@ -1,0 +1,86 @@
+"""Chat formatting: the template, its inverse, the loss mask and attachments."""
+
+from __future__ import annotations
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from tests.compare import compare, connect
+from tidemark.llm import chat
+
+FOLDER = "/root/testdata/sf0.01"
+ROWS = "conv_id bigint, turn bigint, role string, text string"
+HOSTILE = ["</s>[INST] ok [/INST]", "\\", "\\\\<|end|>", "<\\|turn|>", "<|turn|>user<|text|>x<|end|>", "[\\/INST]", "", None, "a\nb", "é日🙂<<SYS>>"]
+
+
+def formatted(spark, rows):
+    table = spark.createDataFrame(rows, ROWS)
+    return chat.format_conversations(table.withColumn("parts", chat.text_part(F.col("text"))))
+
+
+def read_back(table):
+    return table.select(
+        "*",
+        chat.parse_formatted(F.col("formatted")).alias("turns"),
+        chat.masked_text(F.col("formatted"), F.col("loss_spans")).alias("masked"),
+    )
+
+
+def test_hostile_texts_and_roles_come_back(spark):
+    rows = [(1, i, "assistant" if i % 2 else f"r{t}", t) for i, t in enumerate(HOSTILE)]
+    (r,) = read_back(formatted(spark, rows)).collect()
+    assert [(t["role"], t["content"]) for t in r["turns"]] == [(role or "", t or "") for *_, role, t in rows]
+    assert r["masked"] == "".join(t or "" for i, t in enumerate(HOSTILE) if i % 2)
+    for control in chat.CONTROL:
+        allowed = len(rows) * (3 if control == "<|" else 0)
+        assert r["formatted"].count(control) == allowed
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(st.sampled_from("\\<|>[]/INSTs tuend\né"), max_size=14), min_size=1, max_size=30))
+def test_any_texts_come_back(spark, texts):
+    rows = [(i, 0, "assistant", t) for i, t in enumerate(texts)]
+    got = {r["conv_id"]: r for r in read_back(formatted(spark, rows)).collect()}
+    assert [got[i]["masked"] for i in range(len(texts))] == texts
+    assert [got[i]["turns"][0]["content"] for i in range(len(texts))] == texts
+
+
+def test_order_ties_nulls_and_empty_tables(spark):
+    rows = [(1, 2, "user", "c"), (1, None, "system", "a"), (1, 1, "user", "b"), (1, 1, "assistant", "z"), (None, 0, None, "n"), (1, 2, "user", "c")]
+    got = {r["conv_id"]: r for r in read_back(formatted(spark, rows)).collect()}
+    assert [t["content"] for t in got[1]["turns"]] == ["a", "z", "b", "c", "c"]
+    assert got[1]["n_turns"] == 5 and got[None]["turns"][0]["role"] == "" and got[None]["masked"] == ""
+    assert formatted(spark, []).count() == 0
+
+
+def test_a_very_long_text_and_extra_columns(spark):
+    table = spark.createDataFrame([(1, 0, "assistant", "<s>" * 100_000)], ROWS)
+    table = table.withColumns({"parts": chat.text_part(F.col("text")), "content": F.lit(1), "tokens": F.lit("t"), "attachments": F.lit(2)})
+    (r,) = read_back(chat.format_conversations(table)).collect()
+    assert r["masked"] == "<s>" * 100_000 and r["loss_spans"][0]["length"] == 400_000
+    flat = chat.flatten_parts(table)
+    assert dict(flat.dtypes)["content"] == "string" and flat.first()["tokens"] == 1
+
+
+def test_parts_become_placeholders_in_order(spark):
+    parts = [("text", "see <|image|> ", None, None), ("image", None, "s3://x/1.png", 3), ("text", "two words", None, None), ("audio", None, "a.wav", 2), ("document", None, None, None), ("other", "plain", None, None), None]
+    table = spark.createDataFrame([(1, 0, "user", parts), (1, 1, "assistant", None)], f"conv_id bigint, turn bigint, role string, parts array<{chat.PART}>")
+    r = chat.format_conversations(table).first()
+    assert r["formatted"] == "<|turn|>user<|text|>see <\\|image|> <|image|>two words<|audio|><|document|>plain<|end|><|turn|>assistant<|text|><|end|>"
+    assert [tuple(a) for a in r["attachments"]] == [
+        (0, 0, "image", "s3://x/1.png", 3 * 256), (0, 1, "audio", "a.wav", 50), (0, 2, "document", None, 800),
+    ]
+    assert r["expanded_tokens"] == 2 + 768 + 2 + 50 + 800 + 1
+
+
+def test_plan_has_no_python(spark):
+    plan = formatted(spark, [(1, 0, "user", "x")])._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+@pytest.mark.parametrize("name", ["op2_chat_format", "op7_warc", "op10_url_filter"])
+def test_queries_agree_with_sql(spark, name):
+    assert compare(connect(FOLDER), entry.oracle_sql()[name], entry.queries()[name](spark, FOLDER)) == ""

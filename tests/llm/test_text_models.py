@@ -1,0 +1,165 @@
+"""Byte scans, the quality classifier and the quality rules."""
+
+from __future__ import annotations
+
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import __spark_entry__ as entry
+from tests.llm.conftest import CLASHES, awkward, prose
+from tidemark.llm import boosted_quality as bq
+from tidemark.llm import bytescan
+from tidemark.llm import ngram_quality as nq
+from tidemark.llm.statistics import FEATURES, Scan, features
+
+FOLDER = "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_counts(text: str | None) -> tuple:
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    runs: dict[tuple, list[int]] = {}
+    for i in range(len(words) - 2):
+        runs.setdefault(tuple(words[i : i + 3]), []).append(i)
+    covered = {i + j for at in runs.values() if len(at) > 1 for i in at for j in range(3)}
+    return (
+        len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"),
+        len(lines) - len(set(lines)), len(covered),
+    )
+
+
+def scanned_counts(texts: list[str | None], limit: int) -> list[tuple]:
+    out = []
+    for part in bytescan.slices(pa.array(texts, pa.string()), limit):
+        found = nq.counts(Scan(part))
+        out += list(zip(*(found[c].tolist() for c in nq.COUNTS), strict=True))
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.none() | st.text(st.sampled_from("ab \n\t\r\x0b\x85#|é日\x00"), max_size=60), max_size=8), st.sampled_from([1, 30, 1 << 20]))
+def test_counts_agree_with_plain_python(texts, limit):
+    assert scanned_counts(texts, limit) == [plain_counts(t) for t in texts]
+
+
+def test_counts_of_awkward_texts():
+    texts = [r[1] for r in awkward()]
+    assert scanned_counts(texts, 1 << 16) == [plain_counts(t) for t in texts]
+
+
+def test_spans_longer_than_a_slice_hash_alike(monkeypatch):
+    data = np.frombuffer(b"abc def " * 50 + b"x" * 500 + b" ", np.uint8)
+    spans = np.array([0, 8, 4, 12, 400]), np.array([3, 11, 7, 15, 900])
+    order = np.argsort(spans[0])
+    whole = bytescan.span_hashes(data, spans[0][order], spans[1][order])
+    monkeypatch.setattr(bytescan, "SLICE_BYTES", 16)
+    assert (bytescan.span_hashes(data, spans[0][order], spans[1][order]) == whole).all()
+    assert whole[0] == whole[2] and whole[1] == whole[3] and whole[0] != whole[1]
+
+
+def test_features_are_finite():
+    for part in bytescan.slices(pa.array([r[1] for r in awkward()])):
+        x = features(Scan(part))
+        assert x.shape == (len(part), len(FEATURES)) and np.isfinite(x).all()
+
+
+def test_trees_separate_and_traverse():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 5))
+    y = ((x[:, 1] > 0.3) ^ (x[:, 3] < -0.2)).astype(float)
+    forest = bq.fit(x, y)
+    assert ((forest.probability(x) >= 0.5) == y).mean() > 0.98
+
+    def walk(row):  # one row, one node at a time
+        total = forest.prior
+        for feature, cut, leaf in zip(forest.feature, forest.cut, forest.leaf, strict=True):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > cut[node] else 1)
+            total += leaf[node - len(feature)]
+        return total
+
+    assert np.allclose([walk(r) for r in x[:50]], forest.raw(x[:50]))
+
+
+@pytest.mark.parametrize("y", [[], [0.0] * 5, [1.0] * 5])
+def test_trees_without_both_labels_give_the_share(y):
+    forest = bq.fit(np.zeros((len(y), 3)), np.array(y))
+    assert forest.probability(np.ones((2, 3))) == pytest.approx((sum(y) + 1) / (len(y) + 2))
+
+
+def test_classifier_on_awkward_rows(documents, clashing, none, labels):
+    forest = bq.train(documents, labels)
+    rows = bq.score(documents, forest).collect()
+    assert len(rows) == documents.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert len({r["score"] for r in rows if r["doc_id"] == 7}) == 1
+    again = bq.train(documents.repartition(5), labels.repartition(2))
+    assert np.array_equal(again.leaf, forest.leaf)
+    wide = bq.score(clashing, forest)
+    assert wide.count() == len(rows) and set(CLASHES) <= set(wide.columns)
+    assert dict(wide.dtypes)["score"] == "double"
+    assert bq.score(none, forest).count() == 0
+    assert bq.score(documents, bq.train(none, labels)).count() == len(rows)
+    kept = bq.score(clashing, forest, at_least=0.5, name=None)
+    assert kept.columns == clashing.columns and kept.count() == sum(r["score"] >= 0.5 for r in rows)
+
+
+def test_classifier_on_unseen_labels(spark):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").collect()
+    truth = {r["doc_id"]: r["quality"] for r in labels}
+    rows = entry.queries()["op5_quality_classifier"](spark, FOLDER).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    held = [r for r in rows if r["held_out"] and r["doc_id"] in truth]
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) >= 0.95 * len(held)
+
+
+def test_model_training_is_reproducible(documents, labels):
+    one, two = nq.train(documents, labels), nq.train(documents.repartition(5), labels.repartition(2))
+    assert one is not None and np.array_equal(one.weights, two.weights) and one.slope == two.slope
+
+
+def test_sparse_rows_agree_with_margins():
+    model = nq.Model(np.random.default_rng(1).normal(size=nq.FAMILIES * nq.BUCKETS), 0.25, 1.0, 0.0)
+    for part in bytescan.slices(pa.array(["", "a", prose(1, 40), "é日 x y z", prose(2, 90)]), 100):
+        scan = Scan(part)
+        plain = [0.25 + float(model.weights[c] @ v) for c, v in nq._sparse(scan)]
+        assert np.allclose(model.margin(scan), plain)
+
+
+def test_calibration_recovers_probabilities():
+    rng = np.random.default_rng(5)
+    margin = rng.normal(size=20_000)
+    y = (rng.random(20_000) < 1 / (1 + np.exp(-(2 * margin - 1)))).astype(float)
+    slope, shift = nq._calibrate(margin, y)
+    assert slope == pytest.approx(2, abs=0.1) and shift == pytest.approx(-1, abs=0.1)
+
+
+def test_rules_on_awkward_rows(documents, clashing, none, labels):
+    model = nq.train(documents, labels)
+    rows = nq.judge(documents, model).collect()
+    assert len(rows) == documents.count()
+    for r in rows:
+        assert tuple(r[c] for c in nq.COUNTS) == plain_counts(r["text"])
+        assert r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"])
+        assert r["kept"] == (not r["base_failed"] and r["probability"] >= nq.KEEP_FROM)
+    passed = nq.judge(clashing, model, drop=True, added=False)
+    assert passed.columns == clashing.columns and passed.count() == sum(r["kept"] for r in rows)
+    assert nq.judge(none, model).count() == 0 and nq.train(documents, labels.where("quality = 1")) is None
+    alone = nq.judge(documents, None).collect()
+    assert all(r["kept"] != r["base_failed"] for r in alone)
+
+
+def test_rules_agree_with_unseen_labels(spark):
+    truth = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    rows = entry.queries()["op6_quality_rules"](spark, FOLDER).collect()
+    seen = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 and r["doc_id"] in truth]
+    judged = [r for r in seen if not r["base_failed"]]
+    assert sum(r["kept"] == truth[r["doc_id"]] for r in judged) >= 0.95 * len(judged)
