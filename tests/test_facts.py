@@ -42,8 +42,8 @@ def documents(facts):
 
 def test_totals(documents):
     t = documents["2021-W01"]["totals"]
-    assert (t["sessions"], t["purchases"], t["revenue"]) == (2450, 42, 2730.0)
-    assert (t["conversion_rate_pct"], t["aov"], t["wow_revenue_pct"]) == (1.7, 65.0, 34.5)
+    assert (t["sessions"], t["purchases"], t["revenue"]) == (1960, 42, 1575.0)
+    assert (t["conversion_rate_pct"], t["aov"], t["wow_revenue_pct"]) == (2.1, 37.5, 25.0)
 
 
 def test_week_frame(documents):
@@ -57,17 +57,17 @@ def test_week_frame(documents):
 
 def test_channels_are_ordered_by_revenue_and_only_paid_ones_have_spend(documents):
     channels = documents["2021-W01"]["channels"]
-    assert [c["channel"] for c in channels] == ["direct", "unknown", "paid_search"]
-    paid = channels[2]["simulated_spend"]
-    assert (paid["spend"], paid["cost_per_session"], paid["roas"]) == (350.0, 1.0, 0.8)
+    assert [c["channel"] for c in channels] == ["referral", "paid_search", "unknown"]
+    paid = channels[1]["simulated_spend"]
+    assert (paid["spend"], paid["cost_per_session"], paid["roas"]) == (350.0, 0.83, 1.2)
     assert channels[0]["simulated_spend"] is None
 
 
 def test_movers(documents):
     movers = documents["2021-W01"]["top_movers"]
-    assert [m["channel"] for m in movers] == ["direct", "paid_search", "unknown"]
+    assert [m["channel"] for m in movers] == ["referral", "paid_search", "unknown"]
     assert (movers[0]["from"], movers[0]["to"], movers[0]["change"], movers[0]["change_pct"]) == (
-        1400.0, 2100.0, 700.0, 50.0,
+        525.0, 840.0, 315.0, 60.0,
     )
     assert documents["2020-W52"]["top_movers"] == []
 
@@ -95,7 +95,7 @@ def test_facts_are_reproducible_json(spark, facts, tmp_path):
     assert sorted(again.collect()) == sorted(first.select("week", "facts_hash").collect())
     text = json.loads(fa.facts_of_week(first, "2021-W01").first()["facts_json"])
     assert list(text) == sorted(text)
-    assert text["totals"]["revenue"] == 2730.0 and "NaN" not in str(text)
+    assert text["totals"]["revenue"] == 1575.0 and "NaN" not in str(text)
     tables.write_facts(facts, str(tmp_path / "facts"))
     assert spark.read.json(str(tmp_path / "facts")).where("week = '2021-W01'").count() == 1
 
@@ -206,14 +206,14 @@ def test_template_text(facts):
     rows = {r["week"]: r["narrative"] for r in na.template_narratives(facts).collect()}
     late = rows["2021-W01"]
     assert late["summary"] == (
-        "In 2021-W01, the store recorded 2,450 sessions, 42 purchases and $2,730.00 in revenue. "
-        "Revenue rose 34.5% and sessions was unchanged compared with 2020-W53. "
-        "The overall conversion rate was 1.7% and the average order value was $65.00. "
+        "In 2021-W01, the store recorded 1,960 sessions, 42 purchases and $1,575.00 in revenue. "
+        "Revenue rose 25.0% and sessions was unchanged compared with 2020-W53. "
+        "The overall conversion rate was 2.1% and the average order value was $37.50. "
         "Ad spend and spend-based metrics in this report are simulated."
     )
-    # A finding on direct revenue or the movers come first, then the channels.
+    # A finding on referral revenue or the movers come first, then the channels.
     assert len(late["findings"]) == 3 and len(late["checks"]) == 3
-    assert "Direct revenue changed from $1,400.00 to $2,100.00 (+50.0%)." in late["findings"]
+    assert "Referral revenue changed from $525.00 to $840.00 (+60.0%)." in late["findings"]
     assert "Review the 28.6% of sessions with an unknown channel to improve attribution." in late["checks"]
     assert "There is no previous complete week to compare with." in rows["2020-W52"]["summary"]
 
@@ -225,7 +225,7 @@ def test_template_passes_its_own_check(facts):
 
 
 GOOD = {
-    "summary": "Traffic was steady. Revenue rose 34.5%. Paid spend is simulated.",
+    "summary": "Traffic was steady. Revenue rose 25.0%. Paid spend is simulated.",
     "findings": ["Direct grew.", "Referral held.", "Direct was flat."],
     "checks": ["Check tagging.", "Check checkout.", "Check attribution."],
 }
@@ -283,9 +283,9 @@ def test_choice_between_answer_and_template(spark, facts):
     assert good["narrative"]["summary"] == GOOD["summary"]
     assert "AI model" in good["disclosure"]
     wrong = got["2020-W53"]
-    # 34.5% belongs to another week.
+    # 25.0% belongs to another week.
     assert (wrong["source"], wrong["fallback_reason"]) == ("fallback", "number guard failed")
-    assert wrong["unmatched_numbers"] == ["34.5", "987.6"]
+    assert wrong["unmatched_numbers"] == ["25.0", "987.6"]
     assert "fixed template" in wrong["disclosure"]
     broken = got["2020-W52"]
     assert broken["fallback_reason"] == "invalid JSON after retries: findings must have 3 items"

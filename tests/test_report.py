@@ -49,19 +49,19 @@ def run(spark):
 
 def test_channel_table(run):
     rows = rp.channel_table(run.weekly).where("week = '2021-W01'").orderBy("position").collect()
-    assert [r["channel"] for r in rows] == ["Direct", "Paid search", "Unknown", "All channels"]
-    assert (rows[0]["revenue"], rows[0]["prev_revenue"]) == ("$2,100.00", "$1,400.00")
-    assert (rows[0]["revenue_delta"], rows[0]["revenue_delta_tone"]) == ("▲ 50.0%", "good")
-    assert (rows[3]["sessions"], rows[3]["revenue_share"]) == ("2,450", "100.0%")
+    assert [r["channel"] for r in rows] == ["Referral", "Paid search", "Unknown", "All channels"]
+    assert (rows[0]["revenue"], rows[0]["prev_revenue"]) == ("$840.00", "$525.00")
+    assert (rows[0]["revenue_delta"], rows[0]["revenue_delta_tone"]) == ("▲ 60.0%", "good")
+    assert (rows[3]["sessions"], rows[3]["revenue_share"]) == ("1,960", "100.0%")
 
 
 def test_paid_table_and_tiles(run):
     paid = rp.paid_table(run.weekly, CFG.paid_channels).where("week = '2021-W01'").first()
-    assert (paid["spend"], paid["cpa"], paid["roas"]) == ("$350.00", "$50.00", "0.80")
+    assert (paid["spend"], paid["cpa"], paid["roas"]) == ("$350.00", "$25.00", "1.20")
     assert (paid["spend_delta"], paid["spend_delta_tone"]) == ("0.0%", "neutral")
     tiles = {r["label"]: r for r in rp.kpi_tiles(run.weekly).where("week = '2021-W01'").collect()}
-    assert (tiles["Revenue"]["value"], tiles["Revenue"]["delta"]) == ("$2,730.00", "▲ 34.5%")
-    assert tiles["Conversion rate"]["value"] == "1.7%"
+    assert (tiles["Revenue"]["value"], tiles["Revenue"]["delta"]) == ("$1,575.00", "▲ 25.0%")
+    assert tiles["Conversion rate"]["value"] == "2.1%"
 
 
 def test_anomaly_table(spark):
@@ -82,13 +82,13 @@ def test_anomaly_table(spark):
 
 def test_series(run):
     funnel = rp.funnel_series(run.weekly).where("week = '2021-W01'").orderBy("step").collect()
-    assert [r["sessions"] for r in funnel] == [2450, 1225, 490, 245, 42]
+    assert [r["sessions"] for r in funnel] == [1960, 1176, 490, 196, 42]
     mix = rp.channel_mix(run.weekly).where("week = '2021-W01' AND bar = 'Sessions'")
     assert mix.agg(F.sum("share")).first()[0] == pytest.approx(1.0)
     changes = {r["label"]: r["change"] for r in rp.kpi_change_series(run.weekly).where("week = '2020-W52'").collect()}
     assert len(changes) == 5 and set(changes.values()) == {None}
     trend = rp.revenue_trend(run.weekly, run.anomalies).orderBy("week_start").collect()
-    assert [r["revenue"] for r in trend] == [2030.0, 2030.0, 2730.0]
+    assert [r["revenue"] for r in trend] == [1260.0, 1260.0, 1575.0]
     assert trend[0]["week_start"] == date(2020, 12, 21)
 
 
