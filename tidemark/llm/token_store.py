@@ -30,9 +30,13 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidemark.llm import files
 from tidemark.llm.batches import field, map_batches
+from tidemark.llm.bytescan import Words, slices
+from tidemark.llm.memo import SpanMemo
 from tidemark.plans.materialize import materialize
 
 MAGIC = b"TIDTOK01"
@@ -40,58 +44,71 @@ SHARD_BYTES = 32 << 20  # text bytes of a shard
 DICTIONARY_SAMPLE = 2000
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_CHARS = 20_000_000
-MEMO_WORDS = 150_000
+MEMO_WORDS, MEMO_STEMS = 1_000_000, 300_000
 LEVEL = 3
 _HEADER, _FOOTER = struct.Struct("<8s32sB7x"), struct.Struct("<QQ8s")
-_GAP = re.compile(r"[ \n]+")
+_STEM = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|#*$%&]*)")
 
 
 class Encoder:
-    """Encodes texts to serialised ids, remembering the ids of words.
+    """Encodes texts to serialised ids, remembering the ids of words and of word stems.
 
-    A tokenizer that never lets a token reach over white space gives the same ids for a text as
-    for its words one by one; `safe` states that, and without it texts are encoded whole.
-    The memo holds MEMO_WORDS words at most, and later ones are encoded anew for each batch.
+    With `by_word` the tokenizer must be one that never lets a token reach over white space, folds case, and
+    parts letters from punctuation: then a text's ids are those of its words one by one, and a word
+    of Latin letters with closing punctuation has the ids of its stem in lower case and of the
+    punctuation. Without it texts are encoded whole. Memos hold MEMO_WORDS words and MEMO_STEMS
+    stems at most; later ones are encoded anew.
     """
 
-    def __init__(self, path: str, safe: bool = True):
+    def __init__(self, path: str, by_word: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        self.safe, self.memo = safe, {}
+        self.by_word, self.stems = by_word, {"": b""}
+        self.memo = SpanMemo(self._new_words, self.dtype, MEMO_WORDS)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
-    def batch(self, texts: list[str | None], end_id: int) -> list[bytes]:
+    def _new_words(self, words: list[bytes]) -> list[bytes]:
+        cut = []
+        for word in words:
+            word = word.decode()
+            found = _STEM.fullmatch(word)
+            cut.append((found[1].lower(), found[2]) if found else (word, ""))
+        stems = self.stems
+        new = list({part for parts in cut for part in parts}.difference(stems))
+        stems.update(zip(new, self._encode(new), strict=True))
+        out = [stems[stem] + stems[tail] for stem, tail in cut]
+        if len(stems) > MEMO_STEMS:
+            for part in new:
+                del stems[part]
+        return out
+
+    def batch(self, texts: pa.Array, end_id: int) -> list[bytes]:
         end = np.array([end_id], self.dtype).tobytes()
-        if not self.safe:
-            return [ids + end for ids in self._encode([t or "" for t in texts])]
-        memo, out = self.memo, []
-        for text in texts:
-            words = _GAP.split(text) if text else []
-            new = list({w for w in words if w not in memo})
-            fresh = dict(zip(new, self._encode(new), strict=True)) if new else {}
-            if len(memo) < MEMO_WORDS:
-                memo.update(fresh)
-                fresh = {} if fresh.keys() <= memo.keys() else fresh
-            if fresh:
-                out.append(b"".join([memo[w] if w in memo else fresh[w] for w in words]) + end)
-            else:
-                out.append(b"".join(map(memo.__getitem__, words)) + end)
+        if not self.by_word:
+            return [ids + end for ids in self._encode([t or "" for t in texts.to_pylist()])]
+        out = []
+        for part in slices(texts):
+            words = Words(part)
+            ids, before = self.memo(part.data, words.begin, words.end)
+            raw, cut = ids.tobytes(), before * self.width
+            edges = zip(cut[words.first].tolist(), cut[words.last].tolist(), strict=True)
+            out += [raw[lo:hi] + end for lo, hi in edges]
         return out
 
 
 @lru_cache(2)
-def encoder(path: str, safe: bool) -> Encoder:
-    return Encoder(path, safe)
+def encoder(path: str, by_word: bool) -> Encoder:
+    return Encoder(path, by_word)
 
 
-def _sample(documents: DataFrame, path: str, end_id: int, safe: bool) -> list[bytes]:
+def _sample(documents: DataFrame, path: str, end_id: int, by_word: bool) -> list[bytes]:
     """Serialised ids of at most DICTIONARY_SAMPLE documents and SAMPLE_CHARS characters."""
     limit = SAMPLE_CHARS // DICTIONARY_SAMPLE
     hashed = documents.select(F.xxhash64("doc_id", "text").alias("h"), "text").where(F.length("text").between(1, limit))
@@ -101,7 +118,7 @@ def _sample(documents: DataFrame, path: str, end_id: int, safe: bool) -> list[by
 
     def work(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(encoder(path, safe).batch(field(b, "text").to_pylist(), end_id), pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(encoder(path, by_word).batch(field(b, "text"), end_id), pa.binary())], ["ids"])
 
     return [bytes(r[0]) for r in map_batches(few.select("text"), "ids binary", work).collect()]
 
@@ -120,18 +137,18 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
-def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int, safe: bool = True, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int, by_word: bool = True, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode documents (doc_id, text) with `tokenizer` (a file of the tokenizers library) into shards
     of ascending doc_id below `folder`, and return the stored manifest."""
     documents = documents.select("doc_id", "text")
-    data = train_dictionary(_sample(documents, tokenizer, end_id, safe))
+    data = train_dictionary(_sample(documents, tokenizer, end_id, by_word))
     digest = hashlib.sha256(data).digest() if data else bytes(32)
     if data:
         files.write_bytes(folder, f"dictionary-{digest.hex()}.zstd", data)
     ranged, shards = files.sorted_shards(documents, "doc_id", F.col("text"), F.octet_length("text"), shard_bytes)
 
     def work(batches):
-        codec = encoder(tokenizer, safe)
+        codec = encoder(tokenizer, by_word)
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(data), write_content_size=True)
         writer, shard = None, None
         for b in batches:
@@ -141,7 +158,7 @@ def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int,
                 shard = field(b, "_shard")[0].as_py()
                 name = f"shard-{shard:06d}.tok"
                 writer = _Writer(folder, name, digest, codec.width)
-            ids = codec.batch(field(b, "text").to_pylist(), end_id)
+            ids = codec.batch(field(b, "text"), end_id)
             writer.add(field(b, "doc_id"), ids, [compressor.compress(x) for x in ids])
         if writer:
             yield writer.close(shard)
@@ -224,9 +241,9 @@ def read_tokens(manifest: DataFrame, schema: str, columns) -> DataFrame:
 
     `schema` names the columns of the tuple. One task reads one shard, a document at a time.
     """
-    names = [f.split()[0] for f in schema.split(", ")]
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
     # An empty table has a manifest without rows, and still one partition to read it in.
-    shards = (manifest.agg(F.max("shards")).first()[0] or 1) if manifest.columns else 1
+    shards = manifest.agg(F.max("shards")).first()[0] or 1
 
     def work(batches):
         for b in batches:
@@ -240,9 +257,9 @@ def read_tokens(manifest: DataFrame, schema: str, columns) -> DataFrame:
                         [
                             pa.array(shard.doc_ids[lo:hi], mask=shard.known[lo:hi] == 0),
                             pa.array(starts[lo:hi]),
-                            *[pa.array(c) for c in zip(*rows, strict=True)],
+                            *[pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.types, strict=True)],
                         ],
-                        ["doc_id", "start", *names],
+                        ["doc_id", "start", *kinds.names],
                     )
 
     each = manifest.repartitionById(shards, F.col("shard"))
