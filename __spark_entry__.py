@@ -35,6 +35,7 @@ EVENT_RANGE = (date(2024, 1, 8), date(2024, 1, 21))
 # The daily volumes of the sample orders are small, so the volume gate is open by default.
 OPEN = Settings(start_date=date(1995, 1, 8), end_date=date(2001, 7, 31), min_daily_volume=0)
 GATED = Settings(min_daily_volume=3)
+SIMULATED = "spend_is_simulated"  # of the tables, not of the published KPIs
 FIRST_MONDAY, TEXT_WEEKS = date(1995, 1, 9), 300
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,7 +126,7 @@ def daily_channel_rollup(spark: SparkSession, folder: str) -> DataFrame:
 def weekly_from_events(spark: SparkSession, folder: str) -> DataFrame:
     daily = materialize(sessions.daily_rollup(samples.events(spark, folder)))
     spend = samples.event_spend(spark, folder)
-    return rounded(kpis.with_changes(kpis.weekly_metrics(daily, spend, PAID)))
+    return rounded(kpis.with_changes(kpis.weekly_metrics(daily, spend, PAID)).drop(SIMULATED))
 
 
 # --- tables, validation, profile ----------------------------------------------------------------
@@ -235,17 +236,17 @@ def daily_with_spend(spark: SparkSession, folder: str) -> DataFrame:
 
 def daily_metrics(spark: SparkSession, folder: str) -> DataFrame:
     daily, spend = samples.orders_daily(spark, folder), samples.orders_spend(spark, folder)
-    return rounded(kpis.daily_metrics(daily, spend, PAID))
+    return rounded(kpis.daily_metrics(daily, spend, PAID).drop(SIMULATED))
 
 
 def weekly_sums(spark: SparkSession, folder: str) -> DataFrame:
     daily, spend = samples.orders_daily(spark, folder), samples.orders_spend(spark, folder)
     joined = kpis.join_spend(daily, spend, PAID)
-    return rounded(kpis.weekly_sums(joined, PAID), 2)
+    return rounded(kpis.weekly_sums(joined, PAID).drop(SIMULATED, "days"), 2)
 
 
 def weekly_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(kpis.weekly_metrics(*_kpis(spark, folder), PAID))
+    return rounded(kpis.weekly_metrics(*_kpis(spark, folder), PAID).drop(SIMULATED))
 
 
 def weekly_shares(spark: SparkSession, folder: str) -> DataFrame:
@@ -258,7 +259,7 @@ def complete_weeks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weekly_wow(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_weekly(spark, folder))
+    return rounded(_weekly(spark, folder).drop(SIMULATED))
 
 
 # --- anomalies ------------------------------------------------------------------------------------
@@ -417,9 +418,9 @@ def template_narrative(spark: SparkSession, folder: str) -> DataFrame:
 
 def resolve_narrative(spark: SparkSession, folder: str) -> DataFrame:
     answers = samples.responses(spark, folder, FIRST_MONDAY, TEXT_WEEKS)
-    rows = narratives.resolve_narratives(_facts(spark, folder), answers, OPEN)
+    rows = narratives.resolve_narratives(_facts(spark, folder), answers, OPEN, ("variant",))
     return rows.select(
-        "week", "source", "fallback_reason", F.array_join("unmatched_numbers", " ").alias("unmatched")
+        "week", "variant", "source", "fallback_reason", F.array_join("unmatched_numbers", " ").alias("unmatched")
     )
 
 

@@ -154,7 +154,7 @@ def test_densify_fills_the_calendar(spark):
 # One complete week in which no rule fires; every change is zero.
 LEVELS = {"purchases": 20, "cpa": 12.0, "cost_per_session": 0.3, "conversion_rate": 0.025, "revenue_share": 0.4}
 NORMAL = {"week": "2021-W03", "week_start": date(2021, 1, 18), "channel": "paid_search", "is_total": False, "is_complete": True}
-NORMAL |= {"spend": 240.0, "wow_sessions": 0.0, "revenue_share_change_pp": 0.0, "missing_revenue_share": 0.0}
+NORMAL |= {"spend": 240.0, "spend_is_simulated": None, "wow_sessions": 0.0, "revenue_share_change_pp": 0.0, "missing_revenue_share": 0.0}
 NORMAL |= LEVELS | {f"prev_{k}": v for k, v in LEVELS.items()}
 NORMAL |= {f"wow_{k}": 0.0 for k in ("cpa", "cost_per_session", "conversion_rate")}
 TOTAL = {"channel": "total", "is_total": True, "spend": None}
@@ -188,7 +188,7 @@ RULES = [
 
 def weekly_row(spark, **changed):
     kinds = {"week": "string", "week_start": "date", "channel": "string", "is_total": "boolean",
-             "is_complete": "boolean", "purchases": "long", "prev_purchases": "long"}
+             "is_complete": "boolean", "spend_is_simulated": "boolean", "purchases": "long", "prev_purchases": "long"}
     schema = ", ".join(f"{c} {kinds.get(c, 'double')}" for c in NORMAL)
     return spark.createDataFrame([tuple((NORMAL | changed).values())], schema)
 
@@ -208,6 +208,21 @@ def test_fields_of_a_weekly_finding(spark):
     assert (a["seasonal_context"], a["is_simulated"]) == ("New Year", True)
 
 
+def test_real_spend_is_not_called_simulated(spark):
+    for known, expected in ((None, True), (True, True), (False, False)):
+        row = weekly_row(spark, wow_cpa=2.0, purchases=0, spend_is_simulated=known)
+        found = {a["metric"]: a["is_simulated"] for a in an.weekly_rule_anomalies(row, CFG).collect()}
+        assert found == {"cpa": expected, "purchases": False}
+
+
+def test_quoted_labels_are_labels(spark):
+    cfg = Settings(paid_channels=("women's wear", "a\\b"))
+    row = weekly_row(spark, channel="women's wear", purchases=0)
+    (found,) = an.weekly_rule_anomalies(row, cfg).collect()
+    assert found["rule"] == "paid_spend_no_purchases"
+    assert an.weekly_rule_anomalies(row, Settings(paid_channels=())).count() == 0
+
+
 def finding(spark, *rows):
     schema = (
         "channel string, metric string, date_or_week string, granularity string, rule string, "
@@ -232,3 +247,4 @@ def test_ranking_and_limit(spark):
     counts = {r["week"]: r["anomaly_count"] for r in an.anomaly_counts(finding(spark, *rows)).collect()}
     assert counts == {"2021-W01": 17, "2020-W53": 1}
     assert an.anomalies_of_week(finding(spark, *rows), "2020-W53").count() == 1
+    assert an.rank_anomalies(finding(spark, *rows), None).count() == 18

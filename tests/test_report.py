@@ -50,8 +50,8 @@ def run(spark):
 def test_channel_table(run):
     rows = rp.channel_table(run.weekly).where("week = '2021-W01'").orderBy("position").collect()
     assert [r["channel"] for r in rows] == ["Referral", "Paid search", "Unknown", "All channels"]
-    assert (rows[0]["revenue"], rows[0]["prev_revenue"]) == ("$840.00", "$525.00")
-    assert (rows[0]["revenue_delta"], rows[0]["revenue_delta_tone"]) == ("▲ 60.0%", "good")
+    assert (rows[0]["revenue"], rows[0]["prev_revenue"]) == ("$861.00", "$525.00")
+    assert (rows[0]["revenue_delta"], rows[0]["revenue_delta_tone"]) == ("▲ 64.0%", "good")
     assert (rows[3]["sessions"], rows[3]["revenue_share"]) == ("1,960", "100.0%")
 
 
@@ -60,7 +60,7 @@ def test_paid_table_and_tiles(run):
     assert (paid["spend"], paid["cpa"], paid["roas"]) == ("$350.00", "$25.00", "1.20")
     assert (paid["spend_delta"], paid["spend_delta_tone"]) == ("0.0%", "neutral")
     tiles = {r["label"]: r for r in rp.kpi_tiles(run.weekly).where("week = '2021-W01'").collect()}
-    assert (tiles["Revenue"]["value"], tiles["Revenue"]["delta"]) == ("$1,575.00", "▲ 25.0%")
+    assert (tiles["Revenue"]["value"], tiles["Revenue"]["delta"]) == ("$1,596.00", "▲ 26.7%")
     assert tiles["Conversion rate"]["value"] == "2.1%"
 
 
@@ -88,7 +88,7 @@ def test_series(run):
     changes = {r["label"]: r["change"] for r in rp.kpi_change_series(run.weekly).where("week = '2020-W52'").collect()}
     assert len(changes) == 5 and set(changes.values()) == {None}
     trend = rp.revenue_trend(run.weekly, run.anomalies).orderBy("week_start").collect()
-    assert [r["revenue"] for r in trend] == [1260.0, 1260.0, 1575.0]
+    assert [r["revenue"] for r in trend] == [1260.0, 1260.0, 1596.0]
     assert trend[0]["week_start"] == date(2020, 12, 21)
 
 

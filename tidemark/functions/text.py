@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Decimal digits of all scripts, and the ASCII digit of each.
+DIGITS = "".join(chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Nd")
+ASCII_DIGITS = "".join(str(unicodedata.digit(c)) for c in DIGITS)
+
 # The written forms that count as week labels, dates, numbers and sentence ends.
 # Each starts with a look-ahead for a digit, which turns most positions of a text away at once.
 WORD = r"[\p{L}\p{N}_]"
 LABEL_OR_DATE = (
-    rf"(?=[0-9])(?<!{WORD})"
-    r"[0-9]{4}-(?:W[0-9]{2}|[0-9]{2}-[0-9]{2})"
+    rf"(?=\p{{Nd}})(?<!{WORD})"
+    r"\p{Nd}{4}-(?:W\p{Nd}{2}|\p{Nd}{2}-\p{Nd}{2})"
     rf"(?!{WORD})"
 )
 NUMBER = (
-    r"(?=[0-9])(?<![A-Za-z0-9.])"
-    r"(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)"
-    r"(?:\.[0-9]+)?"
+    r"(?=\p{Nd})(?<![A-Za-z0-9.])"
+    r"(?:\p{Nd}{1,3}(?:,\p{Nd}{3})+|\p{Nd}+)"
+    r"(?:\.\p{Nd}+)?"
     r"(?:[kKmM](?![A-Za-z]))?"
 )
 SPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
@@ -46,20 +52,20 @@ def number_texts(text: Column) -> Column:
 
 def number_exponent(token: Column) -> Column:
     """Power of ten of the last written digit: 12.34 -> -2, 3k -> 3, 1.2m -> 5."""
-    decimals = F.length(F.regexp_extract(token, r"\.([0-9]+)", 1))
+    decimals = F.length(F.regexp_extract(token, r"\.(\p{Nd}+)", 1))
     suffix = F.lower(F.right(token, F.lit(1)))
     return F.when(suffix == "k", 3).when(suffix == "m", 6).otherwise(0) - decimals
 
 
 def number_value(token: Column) -> Column:
-    digits = F.regexp_replace(token, "[,kKmM]", "").cast("double")
+    digits = F.translate(F.regexp_replace(token, "[,kKmM]", ""), DIGITS, ASCII_DIGITS).cast("double")
     suffix = F.lower(F.right(token, F.lit(1)))
     return digits * F.when(suffix == "k", 1e3).when(suffix == "m", 1e6).otherwise(1.0)
 
 
 def number_tolerance(token: Column) -> Column:
     """Half a unit of the last written digit."""
-    decimals = F.length(F.regexp_extract(token, r"\.([0-9]+)", 1))
+    decimals = F.length(F.regexp_extract(token, r"\.(\p{Nd}+)", 1))
     suffix = F.lower(F.right(token, F.lit(1)))
     scale = F.when(suffix == "k", 1e3).when(suffix == "m", 1e6).otherwise(1.0)
     return F.lit(0.5) * F.pow(F.lit(10.0), -decimals) * scale

@@ -44,14 +44,21 @@ def with_daily_total(daily: DataFrame) -> DataFrame:
 def densify(daily: DataFrame, key: str = "channel") -> DataFrame:
     """Every key on every day between the first and the last date; new rows are NULL.
 
-    The two dates are scalar sub-queries, and each key builds its own days, so there is no
-    join between keys and calendar.
+    One aggregation gives the keys with their first and last dates; the overall dates come from it, and
+    each key builds its own days, so there is no join between keys and calendar.
     """
-    first, last = daily.agg(F.min("date")).scalar(), daily.agg(F.max("date")).scalar()
-    days = daily.select(key).distinct().withColumn("date", F.explode(F.sequence(first, last)))
+    spans = daily.groupBy(key).agg(F.min("date").alias("_first"), F.max("date").alias("_last"))
+    whole = spans.agg(F.struct(F.min("_first").alias("first"), F.max("_last").alias("last"))).scalar()
+    bounds = spans.select(key).withColumn("_whole", whole)
+    days = bounds.select(key, F.explode(F.sequence("_whole.first", "_whole.last")).alias("date"))
     return days.join(daily, [key, "date"], "left")
 
 
+def _simulated() -> Column:
+    """Spend counts as simulated unless all of it is known to be real."""
+    return F.coalesce("spend_is_simulated", F.lit(True))
+
+
 def _metric_entries(metrics: Sequence[str], **extra) -> Column:
     """Array with one struct per metric: name, value, the count it rests on, extras."""
     no_basis = F.lit(None).cast("double")
@@ -97,6 +104,7 @@ def trailing_baseline(daily: DataFrame, settings: Settings) -> DataFrame:
         "channel",
         "is_total",
         "date",
+        _simulated().alias("spend_is_simulated"),
         *needed,
         *[F.collect_list(F.col(c).cast("double")).over(frame).alias(f"_{c}") for c in needed],
     )
@@ -107,7 +115,7 @@ def trailing_baseline(daily: DataFrame, settings: Settings) -> DataFrame:
         if basis
         else F.lit(None).cast("array<double>"),
     )
-    return trailing.select("channel", "is_total", "date", F.inline(entries))
+    return trailing.select("channel", "is_total", "date", "spend_is_simulated", F.inline(entries))
 
 
 def enough_volume(rows: DataFrame, settings: Settings) -> DataFrame:
@@ -167,7 +175,7 @@ def daily_anomalies(daily: DataFrame, settings: Settings) -> DataFrame:
         F.when(z > 0, "up").otherwise("down").alias("direction"),
         F.when(F.abs(z) >= 2 * limit, "high").otherwise("medium").alias("severity"),
         day_context(day, settings.baseline_days).alias("seasonal_context"),
-        F.col("metric").isin(*fv.SPEND_BASED).alias("is_simulated"),
+        (F.col("metric").isin(*fv.SPEND_BASED) & F.col("spend_is_simulated")).alias("is_simulated"),
         iso_week_label(day).alias("week"),
     ).select(*COLUMNS)
 
@@ -179,7 +187,6 @@ def weekly_rule_anomalies(weekly: DataFrame, settings: Settings) -> DataFrame:
     """All rules in one pass over complete weeks: an array of hits per row, exploded."""
 
     limit = settings
-    paid = ", ".join(f"'{c}'" for c in limit.paid_channels) or "NULL"
 
     def hit(rule, metric, condition, value, baseline, score, direction, high) -> str:
         """SQL of one finding as a struct, NULL when the condition does not hold."""
@@ -188,13 +195,13 @@ def weekly_rule_anomalies(weekly: DataFrame, settings: Settings) -> DataFrame:
             'value', double({value}), 'baseline', double({baseline}),
             'score', {round_even_sql(score, 4)}, 'direction', {direction},
             'severity', IF({high}, 'high', 'medium'),
-            'is_simulated', {metric in fv.SPEND_BASED}), NULL)"""
+            'is_simulated', {'_simulated' if metric in fv.SPEND_BASED else 'false'}), NULL)"""
 
     shift, gap = "revenue_share_change_pp", "missing_revenue_share"
     hits = [
         hit(
             "paid_spend_no_purchases", "purchases",
-            f"NOT is_total AND channel IN ({paid}) AND spend > 0 AND purchases = 0",
+            "NOT is_total AND _paid AND spend > 0 AND purchases = 0",
             "0", "prev_purchases", "NULL", "'down'", "true",
         ),
         *[
@@ -223,7 +230,9 @@ def weekly_rule_anomalies(weekly: DataFrame, settings: Settings) -> DataFrame:
         ),
     ]
     findings = F.array_compact(F.array(*[F.expr(h) for h in hits]))
-    found = weekly.where("is_complete").select(
+    paid = F.col("channel").isin(*limit.paid_channels) if limit.paid_channels else F.lit(False)
+    complete = weekly.where("is_complete").withColumns({"_paid": paid, "_simulated": _simulated()})
+    found = complete.select(
         "week", "week_start", "channel", F.inline(findings)
     )
     return found.withColumns(
@@ -248,8 +257,8 @@ def anomaly_counts(anomalies: DataFrame) -> DataFrame:
     return anomalies.groupBy("week").agg(F.count(F.lit(1)).alias("anomaly_count"))
 
 
-def rank_anomalies(anomalies: DataFrame, limit: int) -> DataFrame:
-    """The ``limit`` most severe findings of each week, numbered from 1.
+def rank_anomalies(anomalies: DataFrame, limit: int | None) -> DataFrame:
+    """The ``limit`` most severe findings of each week (None: all of them), numbered from 1.
 
     The number is filtered right above the ranking, so Spark keeps at most ``limit`` rows per
     week in each map task before the shuffle (WindowGroupLimit).
@@ -264,4 +273,5 @@ def rank_anomalies(anomalies: DataFrame, limit: int) -> DataFrame:
         "rule",
     ]
     place = F.row_number().over(Window.partitionBy("week").orderBy(*order))
-    return anomalies.withColumn("place", place).where(F.col("place") <= limit)
+    ranked = anomalies.withColumn("place", place)
+    return ranked if limit is None else ranked.where(F.col("place") <= limit)

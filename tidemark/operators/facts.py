@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import fixed_values as fv
 from tidemark.functions.calendar import previous_week
@@ -89,12 +92,14 @@ def channel_facts(weekly: DataFrame) -> DataFrame:
     return _reported(weekly, totals=False).select("week", *_named(_channel_columns()))
 
 
-def top_movers(weekly: DataFrame, limit: int) -> DataFrame:
-    """The channels of each week whose revenue moved most, numbered from 1."""
+def top_movers(weekly: DataFrame, limit: int | None) -> DataFrame:
+    """The channels of each week whose revenue moved most (None: all of them), numbered from 1."""
     change = F.col("revenue") - F.col("prev_revenue")
     order = Window.partitionBy("week").orderBy(F.abs(change).desc(), "channel")
     moved = _reported(weekly, totals=False).where(F.col("prev_revenue").isNotNull())
-    ranked = moved.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit)
+    ranked = moved.withColumn("place", F.row_number().over(order))
+    if limit is not None:
+        ranked = ranked.where(F.col("place") <= limit)
     return ranked.select(
         "week",
         "place",
@@ -190,7 +195,7 @@ def weekly_facts(
         "week_end": F.date_format(F.date_add("week_start", 6), "yyyy-MM-dd"),
         "previous_week": F.when(has_previous, previous_week(week)),
         "currency": F.lit(settings.currency),
-        "simulated_spend": F.lit(True),
+        "simulated_spend": F.coalesce("spend_is_simulated", F.lit(True)),
         "totals": F.struct(*_named({**_headline(), **_changes()})),
         "funnel_pct": F.struct(
             *_named(_funnel()),
@@ -227,10 +232,62 @@ def facts_of_week(facts: DataFrame, week: str) -> DataFrame:
     return one
 
 
+def _by_name(kind: T.DataType, value: Column) -> Column:
+    """The same value with the members of all structs in the order of their names."""
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        return F.transform(value, lambda x: _by_name(kind.elementType, x))
+    if not isinstance(kind, T.StructType):
+        return value
+    members = [_by_name(f.dataType, value[f.name]).alias(f.name) for f in sorted(kind, key=lambda f: f.name)]
+    return F.when(value.isNotNull(), F.struct(*members))
+
+
+def _json(kind: T.StructType, value: Column, without: Sequence[str] = ()) -> Column:
+    """JSON text of a struct; members without a value are null, those in `without` are left out."""
+    members = T.StructType([f for f in kind if f.name not in without])
+    return F.to_json(_by_name(members, value), {"ignoreNullFields": "false"})
+
+
+def _json_list(texts: Column) -> Column:
+    return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
+
+
+# The member that holds the change of a finding, by rule; other rules have none.
+CHANGE_MEMBER = {
+    "robust_z": "z_score",
+    "revenue_share_shift": "change_pp",
+    "cost_increase": "change_pct",
+    "conversion_drop": "change_pct",
+}
+
+
 def with_facts_hash(facts: DataFrame) -> DataFrame:
-    """Add the document as JSON with sorted top-level names and its SHA-256."""
-    names = sorted(c for c in facts.columns if c != "week")
-    text = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    """Add the document as JSON, names sorted at every level, and its SHA-256.
+
+    Only paid channels have ``simulated_spend``, and a finding has the change member of its rule
+    only; every other member is there, if need be as null.
+    """
+    schema = facts.schema
+    channel, finding = schema["channels"].dataType.elementType, schema["anomalies"].dataType.elementType
+
+    def channel_text(c: Column) -> Column:
+        return F.when(c["is_paid"], _json(channel, c)).otherwise(_json(channel, c, ["simulated_spend"]))
+
+    def finding_text(a: Column) -> Column:
+        changes = set(CHANGE_MEMBER.values())
+        text = _json(finding, a, changes)
+        for rule, member in CHANGE_MEMBER.items():
+            text = F.when(a["rule"] == rule, _json(finding, a, changes - {member})).otherwise(text)
+        return text
+
+    plain = T.StructType([f for f in schema if f.name not in ("week", "channels", "anomalies", "anomaly_count")])
+    # These three come first by name.
+    text = F.concat(
+        F.lit('{"anomalies":'), _json_list(F.transform("anomalies", finding_text)),
+        F.lit(',"anomaly_count":'), F.col("anomaly_count").cast("string"),
+        F.lit(',"channels":'), _json_list(F.transform("channels", channel_text)),
+        F.lit(","), F.substr(_json(plain, F.struct(*plain.names)), F.lit(2)),
+    )
     return facts.withColumn("facts_json", text).withColumn(
         "facts_hash", F.sha2(F.col("facts_json"), 256)
     )

@@ -40,9 +40,12 @@ def with_ratios(df: DataFrame) -> DataFrame:
 
 
 def join_spend(daily: DataFrame, spend: DataFrame, paid: Sequence[str]) -> DataFrame:
-    """Add spend and is_paid: a paid channel without a row spent 0, others have no spend."""
+    """Add spend, is_paid and spend_is_simulated: a paid channel without a row spent 0, others have
+    no spend. Whether spend is simulated is unknown (NULL) where no row says so."""
     is_paid = F.col("channel").isin(*paid)
-    costs = spend.select("date", "channel", "spend")
+    known = "is_simulated" in spend.columns
+    simulated = F.col("is_simulated") if known else F.lit(None).cast("boolean")
+    costs = spend.select("date", "channel", "spend", simulated.alias("spend_is_simulated"))
     return daily.join(costs, ["date", "channel"], "left").withColumns(
         {
             "spend": F.when(is_paid, F.coalesce(F.col("spend"), F.lit(0.0))),
@@ -64,36 +67,36 @@ def weekly_sums(daily: DataFrame, paid: Sequence[str]) -> DataFrame:
     is_total = F.col("_level") == 1
     keyed = daily.withColumn("week_start", monday_of(F.col("date")))
     both = keyed.groupingSets([["week_start", "channel"], ["week_start"]], "week_start", "channel")
-    return both.agg(F.grouping("channel").alias("_level"), *sums(fv.WEEKLY_SUMS)).select(
+    # The days are a bit set of weekdays. Bit sets combine by OR, which needs no distinct count.
+    weekday = F.call_function("shiftleft", F.lit(1), F.weekday("date"))
+    more = [
+        F.bit_count(F.bit_or(weekday)).cast("bigint").alias("days"),
+        F.bool_or("spend_is_simulated").alias("spend_is_simulated"),
+    ]
+    return both.agg(F.grouping("channel").alias("_level"), *sums(fv.WEEKLY_SUMS), *more).select(
         "week_start",
         F.when(is_total, fv.TOTAL).otherwise(F.col("channel")).alias("channel"),
         is_total.alias("is_total"),
         F.coalesce(F.col("channel").isin(*paid) & ~is_total, F.lit(False)).alias("is_paid"),
         *fv.WEEKLY_SUMS,
-    )
-
-
-def week_totals(daily: DataFrame) -> DataFrame:
-    """One row per week: days present over all channels, sessions and revenue.
-
-    The days are a bit set of weekdays. Bit sets combine by OR, which needs no distinct count.
-    """
-    weekday = F.call_function("shiftleft", F.lit(1), F.weekday("date"))
-    present = F.bit_count(F.bit_or(weekday)).cast("bigint")
-    return daily.groupBy(monday_of(F.col("date")).alias("week_start")).agg(
-        present.alias("days"),
-        *[total.alias(f"_{c}") for c, total in zip(TOTALS, sums(TOTALS), strict=True)],
+        "days",
+        "spend_is_simulated",
     )
 
 
 def weekly_metrics(daily: DataFrame, spend: DataFrame, paid: Sequence[str]) -> DataFrame:
     """Weekly KPIs per channel and for each week's total, without the changes.
 
-    The week's own totals are one row per week and are joined to its channels, so no task has to
-    hold all channels of a week.
+    The week's total row carries its days, sessions and revenue and hands them to its channels by a
+    window over the summed rows, one for each channel of a week: the daily table is read once.
     """
     rows = weekly_sums(join_spend(daily, spend, paid), paid)
-    rated = with_ratios(rows.join(week_totals(daily), "week_start"))
+    of_total = F.when(F.col("is_total"), F.struct("days", *TOTALS))
+    total = F.first(of_total, ignorenulls=True).over(Window.partitionBy("week_start"))
+    with_total = rows.withColumn("_total", total).withColumns(
+        {"days": F.col("_total.days"), **{f"_{c}": F.col(f"_total.{c}") for c in TOTALS}}
+    )
+    rated = with_ratios(with_total.drop("_total"))
     is_total = F.col("is_total")
     return rated.withColumns(
         {
@@ -108,7 +111,7 @@ def weekly_metrics(daily: DataFrame, spend: DataFrame, paid: Sequence[str]) -> D
         }
     ).select(
         "week", "week_start", "channel", "is_total", "is_paid", "days", "is_complete",
-        *fv.WEEKLY_SUMS, *fv.RATIOS, *fv.SHARES,
+        *fv.WEEKLY_SUMS, *fv.RATIOS, *fv.SHARES, "spend_is_simulated",
     )
 
 

@@ -107,8 +107,10 @@ def _move(pct: Column) -> Column:
     )
 
 
-def _finding(a: Column) -> Column:
+def _finding(a: Column, simulated: Column) -> Column:
+    """One sentence about a finding; `simulated` says whether the document's spend is."""
     channel = words(a["channel"])
+    metric = lookup(a["metric"], fv.METRIC_WORDS, words(a["metric"]))
     season = a["seasonal_context"]
     context = (
         F.when(season.startswith("baseline"), fv.FINDING_DAY_BASELINE)
@@ -118,7 +120,8 @@ def _finding(a: Column) -> Column:
     parts = {
         "channel": channel,
         "Channel": capitalised(channel),
-        "metric": lookup(a["metric"], fv.METRIC_WORDS, words(a["metric"])),
+        "metric": metric,
+        "Metric": F.concat(F.upper(F.left(metric, F.lit(1))), F.substr(metric, F.lit(2))),
         "simulated": F.when(a["simulated"], fv.FINDING_DAY_SIMULATED).otherwise(""),
         "when": a["when"],
         "value": decimals(a["value"], 1),
@@ -131,8 +134,10 @@ def _finding(a: Column) -> Column:
     rule = a["rule"]
     return (
         F.when(rule == "tracking_gap", sentence(fv.FINDING_GAP, **parts))
-        .when(rule == "paid_spend_no_purchases", sentence(fv.FINDING_NO_PURCHASES, **parts))
-        .when(rule == "cost_increase", sentence(fv.FINDING_COST, **parts))
+        .when((rule == "paid_spend_no_purchases") & simulated, sentence(fv.FINDING_NO_PURCHASES, **parts))
+        .when(rule == "paid_spend_no_purchases", sentence(fv.FINDING_NO_PURCHASES_REAL, **parts))
+        .when((rule == "cost_increase") & simulated, sentence(fv.FINDING_COST, **parts))
+        .when(rule == "cost_increase", sentence(fv.FINDING_COST_REAL, **parts))
         .when(rule == "conversion_drop", sentence(fv.FINDING_CONVERSION, **parts))
         .when(rule == "revenue_share_shift", sentence(fv.FINDING_SHIFT, **parts))
         .otherwise(sentence(fv.FINDING_DAY, **parts))
@@ -146,7 +151,7 @@ def _signed(pct: Column) -> Column:
 
 def template_narratives(facts: DataFrame) -> DataFrame:
     """(week, narrative): a deterministic narrative that states only values of the facts."""
-    totals, quality = F.col("totals"), F.col("data_quality")
+    totals, quality, simulated = F.col("totals"), F.col("data_quality"), F.col("simulated_spend")
     move, sessions_move = totals["wow_revenue_pct"], totals["wow_sessions_pct"]
     missing = quality["missing_revenue_share_pct"]
 
@@ -178,7 +183,7 @@ def template_narratives(facts: DataFrame) -> DataFrame:
             opening,
             F.when(has_previous, compared).otherwise(fv.SENTENCE_NO_PREVIOUS),
             conversion,
-            F.lit(fv.SENTENCE_SIMULATED),
+            F.when(simulated, fv.SENTENCE_SIMULATED),
             F.when(missing >= fv.GAP_SENTENCE_FROM_PCT, gap),
         ),
         " ",
@@ -202,12 +207,17 @@ def template_narratives(facts: DataFrame) -> DataFrame:
         )
 
     findings = F.concat(
-        F.transform(F.slice("anomalies", 1, 2), _finding),
+        F.transform(F.slice("anomalies", 1, 2), lambda a: _finding(a, simulated)),
         F.transform("top_movers", mover),
         F.transform("channels", contribution),
     )
     no_check = F.lit(None).cast("string")
-    by_rule = F.transform("anomalies", lambda a: lookup(a["rule"], fv.CHECK_BY_RULE, no_check))
+    by_rule = F.transform(
+        "anomalies",
+        lambda a: F.when(simulated, lookup(a["rule"], fv.CHECK_BY_RULE, no_check)).otherwise(
+            lookup(a["rule"], fv.CHECK_BY_RULE_REAL, no_check)
+        ),
+    )
     in_season = F.exists(
         "anomalies",
         lambda a: F.coalesce(
@@ -237,10 +247,13 @@ def template_narratives(facts: DataFrame) -> DataFrame:
 # --- choice --------------------------------------------------------------------------------
 
 
-def resolve_narratives(facts: DataFrame, responses: DataFrame, settings: Settings) -> DataFrame:
+def resolve_narratives(
+    facts: DataFrame, responses: DataFrame, settings: Settings, variant: tuple[str, ...] = ()
+) -> DataFrame:
     """The narrative to publish for each week, where it is from, and why not another.
 
-    ``responses`` has week, attempt (from 1) and response. The first well-formed attempt within
+    ``responses`` has week, attempt (from 1) and response. Several texts for a week are told apart by the
+    ``variant`` columns of the responses; each of them is chosen on its own. The first well-formed attempt within
     the retries counts; it must pass the number check, otherwise the template stands in. Attempts
     are reduced by MIN_BY / MAX_BY, so a week with very many rows combines before the shuffle.
     """
@@ -248,19 +261,16 @@ def resolve_narratives(facts: DataFrame, responses: DataFrame, settings: Setting
     parsed = parse_responses(tries)
     well_formed = F.col("problem").isNull()
     order = F.struct("attempt", "response")
-    chosen = parsed.groupBy("week").agg(
+    key = ["week", *variant]
+    chosen = parsed.groupBy(*key).agg(
         F.min_by("narrative", F.when(well_formed, order)).alias("narrative"),
         F.max_by("problem", order).alias("_last_problem"),
     )
-    texts = narrative_texts(chosen.where(F.col("narrative").isNotNull()), "week")
-    guard = check_numbers(
-        texts.withColumn("text_id", F.col("week")),
-        fact_numbers(facts),
-        ["text_id"],
-        settings.allowed_years,
-    ).select("week", F.col("ok").alias("_ok"), F.col("unmatched").alias("_unmatched"))
+    texts = narrative_texts(chosen.where(F.col("narrative").isNotNull()), *key)
+    guard = check_numbers(texts, fact_numbers(facts), key, settings.allowed_years)
+    guard = guard.withColumnsRenamed({"ok": "_ok", "unmatched": "_unmatched"})
     template = template_narratives(facts).withColumnRenamed("narrative", "_template")
-    rows = template.join(chosen, "week", "left").join(guard, "week", "left")
+    rows = template.join(chosen, "week", "left").join(guard, key, "left")
     accepted = F.coalesce(F.col("_ok"), F.lit(False))
     reason = (
         F.when(accepted, None)
@@ -273,7 +283,7 @@ def resolve_narratives(facts: DataFrame, responses: DataFrame, settings: Setting
     )
     unmatched = F.when(~accepted, F.col("_unmatched"))
     return rows.select(
-        "week",
+        *key,
         F.when(accepted, F.col("narrative")).otherwise(F.col("_template")).alias("narrative"),
         F.when(accepted, "response").otherwise("fallback").alias("source"),
         reason.alias("fallback_reason"),

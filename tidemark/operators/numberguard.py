@@ -14,17 +14,26 @@ from tidemark.functions.text import (
     number_tolerance,
     number_value,
 )
+from tidemark.plans.materialize import materialize
 
 # Slack on top of half a written unit (fixed value).
 SLACK = 1e-9
-# Tokens are matched on a grid of their own written unit; finer units share the finest grid.
-FINEST, COARSEST = -8, 6
+# Tokens are matched on a grid of their own written unit. Units below ten times the slack share one
+# grid, as the slack is then the larger part of the reach. For a number so large that doubles are
+# further apart than the unit, the grid is DIGITS places below its first digit.
+FINEST, DIGITS = -8, 14
+# The spacing of doubles is below this share of the number; rounding of a bound stays within it.
+SPACING = 2.0**-51
 
 
-def extract_numbers(texts: DataFrame, text: str = "text") -> DataFrame:
-    """One row per number in a text: position, token, value, tolerance, exponent."""
+def extract_numbers(texts: DataFrame, text: str = "text", keep_empty: bool = False) -> DataFrame:
+    """One row per number in a text: position, token, value, tolerance, exponent.
+
+    With ``keep_empty`` a text without numbers is one row of NULLs.
+    """
     keep = [c for c in texts.columns if c != text]
-    tokens = texts.select(*keep, F.posexplode(number_texts(F.col(text))).alias("position", "token"))
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    tokens = texts.select(*keep, explode(number_texts(F.col(text))).alias("position", "token"))
     token = F.col("token")
     return tokens.withColumns(
         {
@@ -69,54 +78,71 @@ def fact_numbers(facts: DataFrame) -> DataFrame:
     return exploded.select("week", "_leaf.*").where(F.col("value").isNotNull())
 
 
-def _cell(value: Column, unit: Column) -> Column:
-    return F.floor(value / unit).cast("double")
+def _grid(value: Column, exponent: Column) -> Column:
+    """Exponent of the grid on which a number of this size and written unit is matched."""
+    finite = value < float("inf")
+    first_digit = F.floor(F.log10(F.when(finite, value))).cast("int")
+    return F.when(finite, F.greatest(exponent, F.lit(FINEST), first_digit - DIGITS))
+
 
+def _cell(value: Column, grid: Column) -> Column:
+    return F.floor(value / F.pow(F.lit(10.0), grid))
 
-def fact_grid(numbers: DataFrame) -> DataFrame:
-    """Each fact on every grid cell where a token of that written unit could match it.
 
-    A token matches when it lies within half its unit of a fact, so on the grid of that unit
-    the fact has at most three cells. Division and floor are monotone, so the cells of the two
-    interval ends and of the fact itself cover every token in between, floating point included.
+def fact_grid(numbers: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Each fact on every grid cell where one of the tokens could match it.
+
+    Only the units that the tokens are written in get a grid; there are 15 at most. A token
+    matches when it lies within half its unit and the slack of a fact. The cells run from that of the lowest
+    number in reach to that of the highest one. Division and floor are monotone, so they hold all tokens
+    between, and no cell is smaller than about half the reach, so they are four at most.
     """
+    units = tokens.agg(F.collect_set(F.greatest("exponent", F.lit(FINEST)))).scalar()
     distinct = numbers.select("week", F.col("value").alias("fact")).distinct()
-    grids = F.array(*[F.lit(e) for e in range(FINEST, COARSEST + 1)])
-    on_grid = distinct.withColumn("exponent", F.explode(grids))
-    unit, fact = F.pow(F.lit(10.0), F.col("exponent")), F.col("fact")
-    reach = (unit / 2 + SLACK) * (1 + 1e-6) + fact * 1e-12
-    cells = F.array_distinct(
-        F.array(_cell(fact - reach, unit), _cell(fact, unit), _cell(fact + reach, unit))
+    on_grid = distinct.withColumn("_units", units).withColumn("exponent", F.explode("_units"))
+    fact, exponent = F.col("fact"), F.col("exponent")
+    reach = F.pow(F.lit(10.0), exponent) / 2 + SLACK + fact * SPACING
+    low, high = F.greatest(fact - reach, F.lit(0.0)), fact + reach
+    grids = F.array_distinct(F.array(_grid(low, exponent), _grid(high, exponent)))
+    each = on_grid.select("week", "fact", low.alias("_low"), high.alias("_high"), F.explode(grids).alias("grid"))
+    cells = F.sequence(_cell(F.col("_low"), F.col("grid")), _cell(F.col("_high"), F.col("grid")))
+    return each.select("week", "fact", "grid", F.explode(cells).alias("cell"))
+
+
+def _unbacked(tokens: DataFrame, numbers: DataFrame, allowed_years: Sequence[int]) -> DataFrame:
+    """Distinct (week, value, tolerance) of the tokens that no fact of the same week backs.
+
+    An equi anti join on (week, grid, cell) with the exact distance as residual: no pairing of
+    all numbers with all facts of a week. Copies of a token are one row, and the full key spreads
+    one busy week over its cells.
+    """
+    value, tolerance = F.col("value"), F.col("tolerance")
+    years = value.isin(*[float(y) for y in allowed_years]) & (tolerance == 0.5)
+    distinct = tokens.where(F.col("token").isNotNull() & ~years).select("week", "value", "tolerance", "exponent").distinct()
+    distinct = distinct.withColumn("_grid", _grid(value, F.col("exponent")))
+    t = distinct.withColumn("_cell", _cell(value, F.col("_grid"))).alias("t")
+    facts = fact_grid(numbers, distinct).alias("f")
+    backed = (
+        (F.col("t.week") == F.col("f.week"))
+        & (F.col("t._grid") == F.col("f.grid"))
+        & (F.col("t._cell") == F.col("f.cell"))
+        & (F.abs(F.col("t.value") - F.col("f.fact")) <= F.col("t.tolerance") + SLACK)
     )
-    return on_grid.withColumn("cell", F.explode(cells))
+    wrong = t.join(facts, backed, "left_anti").select("week", "value", "tolerance").distinct()
+    return wrong.select(*[F.col(c).alias(f"_{c}") for c in wrong.columns])
+
+
+def _same() -> Column:
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("week", "value", "tolerance")]
+    return same[0] & same[1] & same[2]
 
 
 def unmatched_numbers(
     texts: DataFrame, numbers: DataFrame, allowed_years: Sequence[int] = fv.ALLOWED_YEARS
 ) -> DataFrame:
-    """Tokens that no fact of the same week backs.
-
-    An equi anti join on (week, exponent, cell) with the exact distance as residual: no pairing
-    of all numbers with all facts of a week. The grid is small when the channels are few and is
-    then broadcast by size; otherwise both sides shuffle on the full key, which spreads one
-    busy week over its cells.
-    """
+    """Tokens that no fact of the same week backs."""
     tokens = extract_numbers(texts)
-    whole_number = F.col("tolerance") == 0.5
-    years = F.col("value").isin(*[float(y) for y in allowed_years]) & whole_number
-    grid = F.greatest(F.col("exponent"), F.lit(FINEST))
-    tokens = tokens.where(~years).withColumns(
-        {"_grid": grid, "_cell": _cell(F.col("value"), F.pow(F.lit(10.0), grid))}
-    )
-    facts = fact_grid(numbers).alias("f")
-    t = tokens.alias("t")
-    backed = (
-        (F.col("t.week") == F.col("f.week"))
-        & (F.col("t._grid") == F.col("f.exponent"))
-        & (F.col("t._cell") == F.col("f.cell"))
-        & (F.abs(F.col("t.value") - F.col("f.fact")) <= F.col("t.tolerance") + SLACK)
-    )
-    return t.join(facts, backed, "left_anti").drop("_grid", "_cell")
+    return tokens.join(_unbacked(tokens, numbers, allowed_years), _same(), "left_semi")
 
 
 def check_numbers(
@@ -125,18 +151,15 @@ def check_numbers(
     key: Sequence[str],
     allowed_years: Sequence[int] = fv.ALLOWED_YEARS,
 ) -> DataFrame:
-    """Per text: ok and the unmatched tokens in writing order.
+    """Per text (its key and week): ok and the unmatched tokens in writing order.
 
-    Only unmatched tokens are grouped; the list of a text is bounded by the text itself.
+    The texts are read once; their tokens are stored, checked as distinct numbers, and listed
+    again. The list of a text is bounded by the text itself.
     """
-    wrong = unmatched_numbers(texts, numbers, allowed_years)
-    listed = wrong.groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.struct("position", "token"))).alias("_wrong")
-    )
-    tokens = F.transform("_wrong", lambda x: x["token"])
-    unmatched = F.coalesce(tokens, F.array().cast("array<string>"))
-    return (
-        texts.select(*key, "week")
-        .join(listed, list(key), "left")
-        .select(*key, "week", unmatched.alias("unmatched"), F.col("_wrong").isNull().alias("ok"))
-    )
+    keys = list(dict.fromkeys([*key, "week"]))
+    tokens = materialize(extract_numbers(texts.select(*keys, "text"), keep_empty=True))
+    wrong = _unbacked(tokens, numbers, allowed_years).withColumn("_wrong", F.lit(True))
+    listed = F.collect_list(F.when(F.col("_wrong"), F.struct("position", "token")))
+    checked = tokens.join(wrong, _same(), "left").groupBy(*keys).agg(F.sort_array(listed).alias("_listed"))
+    unmatched = F.transform("_listed", lambda x: x["token"])
+    return checked.select(*keys, unmatched.alias("unmatched"), (F.size("_listed") == 0).alias("ok"))

@@ -22,29 +22,29 @@ KEY = ("date", "channel")
 
 @dataclass(frozen=True)
 class Rule:
-    """A row fails when the SQL condition is true; NULL is not a failure."""
+    """A row fails when the condition is true; NULL is not a failure."""
 
     reason: str
-    fails: str
+    fails: Column
 
 
 def _date_rule(start: date, end: date) -> Rule:
-    outside = f"date NOT BETWEEN DATE '{start}' AND DATE '{end}'"
+    outside = ~F.col("date").between(F.lit(start), F.lit(end))
     return Rule(fv.REASON_DATE.format(start=start, end=end), outside)
 
 
 def _negative(column: str) -> Rule:
-    return Rule(fv.REASON_NEGATIVE.format(column=column), f"{column} < 0")
+    return Rule(fv.REASON_NEGATIVE.format(column=column), F.col(column) < 0)
 
 
 def _missing(column: str) -> Rule:
-    return Rule(fv.REASON_MISSING.format(column=column), f"{column} IS NULL")
+    return Rule(fv.REASON_MISSING.format(column=column), F.col(column).isNull())
 
 
 def _not_among(reason: str, labels: Sequence[str]) -> Rule:
-    # NULL keeps the list valid when no label is allowed; a NULL channel is not a failure here.
-    listed = ", ".join(["NULL", *[f"'{label}'" for label in labels]])
-    return Rule(reason, f"NOT coalesce(channel IN ({listed}), false) AND channel IS NOT NULL")
+    """A NULL channel is not a failure here."""
+    channel = F.col("channel")
+    return Rule(reason, ~channel.isin(*labels) if labels else channel.isNotNull())
 
 
 def daily_rules(settings: Settings) -> list[Rule]:
@@ -55,7 +55,7 @@ def daily_rules(settings: Settings) -> list[Rule]:
         *[_negative(c) for c in measures],
         *[_missing(c) for c in (*KEY, *measures)],
         *[
-            Rule(fv.REASON_ABOVE_SESSIONS.format(column=c), f"{c} > sessions")
+            Rule(fv.REASON_ABOVE_SESSIONS.format(column=c), F.col(c) > F.col("sessions"))
             for c in fv.NEVER_ABOVE_SESSIONS
         ],
     ]
@@ -69,7 +69,7 @@ def spend_rules(settings: Settings) -> list[Rule]:
         *[_missing(c) for c in (*KEY, "spend")],
     ]
     if settings.require_simulated_spend:
-        rules += [Rule(fv.REASON_NOT_SIMULATED, "NOT is_simulated"), _missing("is_simulated")]
+        rules += [Rule(fv.REASON_NOT_SIMULATED, ~F.col("is_simulated")), _missing("is_simulated")]
     return rules
 
 
@@ -103,8 +103,9 @@ def flag_rows(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY) ->
     """Add ``reason``: the failed rules, sorted and joined, or NULL for a clean row.
 
     Copies of a key are counted by a partial aggregation and only the repeated keys come
-    back. They are joined, not windowed, so that one key with very many copies is never
-    gathered in a single task.
+    back, one row each. They are joined, not windowed: a join needs no rows of a key together, so
+    where the repeated keys are too many to broadcast, adaptive execution can split a key with
+    very many copies.
     """
     counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"))
     repeated = counted.where("_copies > 1").select(*[F.col(c).alias(f"_key_{c}") for c in key], "_copies")
@@ -112,8 +113,8 @@ def flag_rows(df: DataFrame, rules: Sequence[Rule], key: Sequence[str] = KEY) ->
         lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in key]
     )
     joined = df.join(repeated, same, "left")
-    every_rule = [*rules, Rule(fv.REASON_DUPLICATE, "_copies IS NOT NULL")]
-    failed = [F.expr(f"IF({rule.fails}, '{rule.reason}', NULL)") for rule in every_rule]
+    every_rule = [*rules, Rule(fv.REASON_DUPLICATE, F.col("_copies").isNotNull())]
+    failed = [F.when(rule.fails, F.lit(rule.reason)) for rule in every_rule]
     reasons = F.sort_array(F.array_distinct(F.array_compact(F.array(*failed))))
     reason = F.when(F.size(reasons) > 0, F.array_join(reasons, "; "))
     return joined.withColumn("reason", reason).select(*df.columns, "reason")
@@ -189,8 +190,8 @@ def channel_shares(daily: DataFrame) -> DataFrame:
     by_channel = daily.groupBy("channel").agg(
         *[_add(c).alias(c) for c in ("sessions", "revenue")]
     )
-    # The grand totals are scalar sub-queries: no join, no single-task window.
-    grand = {c: daily.agg(_add(c)).scalar() for c in ("sessions", "revenue")}
+    # The grand totals add up the rows of channels, whose shuffle is reused: the table is read once.
+    grand = by_channel.agg(F.struct(_add("sessions").alias("sessions"), _add("revenue").alias("revenue"))).scalar()
     return by_channel.withColumns(
         {
             "session_share": safe_divide(F.col("sessions"), grand["sessions"]),

@@ -30,6 +30,7 @@ PRIORITY_CHANNELS = {
     "5-LOW": "unknown",
 }
 MONEY = "decimal(18,4)"
+ASCII, ARABIC_INDIC, DEVANAGARI = ("".join(chr(zero + i) for i in range(10)) for zero in (0x30, 0x660, 0x966))
 
 
 def _pick(column: Column, mapping: dict[str, str], otherwise: Column) -> Column:
@@ -206,38 +207,55 @@ def dirty_spend(spend: DataFrame) -> DataFrame:
     ).drop("_copy")
 
 
+def written(spark: SparkSession, folder: str) -> DataFrame:
+    """``documents`` with the digits of some texts in other scripts."""
+    text, k = F.col("text"), F.col("doc_id") % 50
+    other = F.when(k == 7, F.translate(text, ASCII, ARABIC_INDIC)).when(k == 8, F.translate(text, ASCII, DEVANAGARI))
+    return table(spark, folder, "documents").withColumn("text", other.otherwise(text))
+
+
 def texts_by_week(spark: SparkSession, folder: str, first_monday: date, weeks: int) -> DataFrame:
     """Every document as a written text about one of ``weeks`` consecutive weeks."""
     monday = F.date_add(F.lit(first_monday), ((F.col("doc_id") % weeks) * 7).cast("int"))
-    return table(spark, folder, "documents").select(
+    return written(spark, folder).select(
         F.col("doc_id").alias("text_id"), iso_week_label(monday).alias("week"), "text"
     )
 
 
 def responses(spark: SparkSession, folder: str, first_monday: date, weeks: int) -> DataFrame:
-    """Every document as one attempt at answering for a week.
+    """Every document as an attempt at answering: two attempts for each week and variant.
 
-    By document number: a plain answer, an answer that states the document's length, the bare
-    text without JSON, and an answer whose summary is the whole text.
+    By document number modulo 9: a plain answer (0), one that states the document's length (1), the
+    bare text without JSON (2), an answer whose summary is the whole text (3), an unknown member
+    (4), a missing member (5), a number for the summary (6), too few findings (7), a blank check (8).
     """
     n = F.col("doc_id")
+    kind, pair = n % 9, F.floor(n / 2)
     length = F.concat(F.lit("The text has "), F.col("n_chars"), F.lit(" characters."))
     plain = F.lit("Traffic was steady. Revenue held. Paid spend is simulated.")
-    answer = F.struct(
-        F.when(n % 4 == 3, F.col("text")).otherwise(plain).alias("summary"),
-        F.array(
-            F.concat(F.lit("Written in "), F.col("lang"), F.lit(".")),
-            F.when(n % 4 == 1, length).otherwise("Referral held its share."),
-            F.lit("Direct was flat."),
-        ).alias("findings"),
-        F.array(
-            F.lit("Check tagging."), F.lit("Check checkout."), F.lit("Check attribution.")
-        ).alias("checks"),
-    )
-    fenced = F.concat(F.lit("```json\n"), F.to_json(answer), F.lit("\n```"))
-    return table(spark, folder, "documents").select(
-        iso_week_label(F.date_add(F.lit(first_monday), ((n % weeks) * 7).cast("int"))).alias("week"),
-        (F.floor(n / weeks) + 1).alias("attempt"),
+    findings = F.array(
+        F.concat(F.lit("Written in "), F.col("lang"), F.lit(".")),
+        F.when(kind == 1, length).otherwise("Referral held its share."),
+        F.lit("Direct was flat."),
+    )
+    checks = F.array(
+        F.lit("Check tagging."), F.when(kind == 8, " ").otherwise("Check checkout."), F.lit("Check attribution.")
+    )
+    # A member that is null is left out of the text.
+    members = [
+        F.when(kind == 7, F.slice(findings, 1, 2)).otherwise(findings).alias("findings"),
+        F.when(kind != 5, checks).alias("checks"),
+        F.when(kind == 4, "unasked").alias("note"),
+    ]
+    summary = F.when(kind == 3, F.col("text")).otherwise(plain)
+    worded = F.to_json(F.struct(summary.alias("summary"), *members))
+    counted = F.to_json(F.struct(F.col("n_chars").alias("summary"), *members))
+    fenced = F.concat(F.lit("```json\n"), F.when(kind == 6, counted).otherwise(worded), F.lit("\n```"))
+    monday = F.date_add(F.lit(first_monday), ((pair % weeks) * 7).cast("int"))
+    return written(spark, folder).select(
+        iso_week_label(monday).alias("week"),
+        F.floor(pair / weeks).alias("variant"),
+        (n % 2 + 1).alias("attempt"),
         "doc_id",
-        F.when(n % 4 == 2, F.col("text")).otherwise(fenced).alias("response"),
+        F.when(kind == 2, F.col("text")).otherwise(fenced).alias("response"),
     )

@@ -61,8 +61,19 @@ def write_quarantine(quarantined: DataFrame, name: str, directory: str) -> str:
     return path
 
 
-def write_facts(facts: DataFrame, directory: str) -> None:
-    """One folder per week that holds the week's document as JSON."""
-    facts.write.mode("overwrite").partitionBy("week").json(
-        directory, ignoreNullFields=False
-    )
+def write_facts(documents: DataFrame, directory: str) -> None:
+    """One folder per week that holds the week's JSON text (week, facts_json). Weeks of an earlier run
+    that this one does not have stay as they are."""
+    texts = documents.select("week", "facts_json").write.mode("overwrite")
+    texts.option("partitionOverwriteMode", "dynamic").partitionBy("week").text(directory)
+
+
+def read_facts(spark: SparkSession, directory: str, schema: T.StructType) -> DataFrame:
+    """The stored documents of all weeks; members that a document lacks are NULL."""
+    return spark.read.schema(schema).json(directory).select(*schema.names)
+
+
+def write_weekly(weekly: DataFrame, path: str) -> None:
+    """The weekly table in files that each hold a span of weeks, in week and channel order."""
+    clustered = weekly.repartitionByRange("week_start").sortWithinPartitions("week_start", "channel")
+    clustered.write.mode("overwrite").parquet(path)
