@@ -142,6 +142,19 @@ def test_calibration_recovers_probabilities():
     assert slope == pytest.approx(2, abs=0.1) and shift == pytest.approx(-1, abs=0.1)
 
 
+@pytest.mark.parametrize("width", [0.01, 1, 12, 500])
+def test_calibration_of_margins_that_separate(width):
+    """Wide margins, as of a model that fits its rows perfectly, with a few wrong ones."""
+    rng = np.random.default_rng(6)
+    y = (rng.random(3000) < 0.86).astype(float)
+    margin = width * (2 * y - 1 + 0.2 * rng.normal(size=3000))
+    margin[:30] *= -1
+    slope, shift = nq._calibrate(margin, y)
+    p = 1 / (1 + np.exp(-(slope * margin + shift)))
+    assert slope > 0 and ((p >= 0.5) == y)[30:].mean() > 0.99
+    assert abs(p.mean() - y.mean()) < 0.02
+
+
 def test_rules_on_awkward_rows(documents, clashing, none, labels):
     model = nq.train(documents, labels)
     rows = nq.judge(documents, model).collect()
@@ -162,4 +175,5 @@ def test_rules_agree_with_unseen_labels(spark):
     rows = entry.queries()["op6_quality_rules"](spark, FOLDER).collect()
     seen = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 and r["doc_id"] in truth]
     judged = [r for r in seen if not r["base_failed"]]
+    assert 0.5 < sum(r["kept"] for r in rows) / len(rows) < 1
     assert sum(r["kept"] == truth[r["doc_id"]] for r in judged) >= 0.95 * len(judged)

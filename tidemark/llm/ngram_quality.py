@@ -129,19 +129,33 @@ def _fit(columns, values, owner, y) -> tuple[np.ndarray, float]:
 
 
 def _calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Platt scaling: slope and shift by Newton steps, targets smoothed by one pseudo-count."""
+    """Platt scaling: slope and shift of least log loss, targets smoothed by pseudo-counts.
+
+    The loss is convex. Margins may be so wide that a full Newton step overshoots into a flat region,
+    so they are scaled first, the start is a slope of 0, and a step is halved until the loss falls.
+    """
     good = y.sum()
     target = np.where(y == 1, (good + 1) / (good + 2), 1 / (len(y) - good + 2))
-    x = np.column_stack([margin, np.ones(len(y))])
-    found = np.array([1.0, 0.0])
-    for _ in range(50):
+    width = max(float(np.abs(margin).max()), 1e-12)
+    x = np.column_stack([margin / width, np.ones(len(y))])
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - target * z).sum())
+
+    found = np.array([0.0, np.log((good + 1) / (len(y) - good + 1))])
+    for _ in range(100):
         p = _sigmoid(x @ found)
-        bend = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(bend, x.T @ (p - target))
-        found -= np.clip(step, -1, 1)
-        if np.abs(step).max() < 1e-9:
+        slope = x.T @ (p - target)
+        bend = (x * (p * (1 - p))[:, None]).T @ x + 1e-9 * np.eye(2)
+        step = np.linalg.solve(bend, slope)
+        size, before = 1.0, loss(found)
+        while size > 1e-10 and loss(found - size * step) > before - 1e-4 * size * float(slope @ step):
+            size /= 2
+        if size <= 1e-10 or np.abs(size * step).max() < 1e-9:
             break
-    return float(found[0]), float(found[1])
+        found = found - size * step
+    return float(found[0] / width), float(found[1])
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model | None:
