@@ -32,6 +32,7 @@ from tidemark.sources import samples, tables
 SMOKE = "/root/testdata/sf0.001"
 PAID = ("paid_search",)
 EVENT_RANGE = (date(2024, 1, 8), date(2024, 1, 21))
+ALL_EVENTS = (date(2000, 1, 1), date(2099, 12, 31))
 # The daily volumes of the sample orders are small, so the volume gate is open by default.
 OPEN = Settings(start_date=date(1995, 1, 8), end_date=date(2001, 7, 31), min_daily_volume=0)
 GATED = Settings(min_daily_volume=3)
@@ -56,7 +57,7 @@ def _daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _kpis(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return _daily(spark, folder), materialize(samples.orders_spend(spark, folder))
+    return samples.orders_daily(spark, folder), samples.orders_spend(spark, folder)
 
 
 def _daily_kpis(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,7 +71,7 @@ def _weekly(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, folder: str) -> Report:
-    daily, spend = _kpis(spark, folder)
+    daily, spend = _daily(spark, folder), samples.orders_spend(spark, folder)
     return prepare(samples.dirty_daily(daily), samples.dirty_spend(spend), OPEN)
 
 
@@ -78,6 +79,10 @@ def _facts(spark: SparkSession, folder: str) -> DataFrame:
     return materialize(_report(spark, folder).facts())
 
 
+def _place(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 # --- events, sessions, daily rollup -------------------------------------------------------------
 
 
@@ -129,17 +134,26 @@ def weekly_from_events(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(kpis.with_changes(kpis.weekly_metrics(daily, spend, PAID)).drop(SIMULATED))
 
 
+def rollup_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested events in folders by date, read, flattened and rolled up: the way in for real exports."""
+    path = _place(spark, "events")
+    nested = samples.nested_events(samples.events(spark, folder))
+    nested.repartition("event_date").write.partitionBy("event_date").parquet(path)
+    read = event_source.read_events(spark, path, *ALL_EVENTS)
+    return rounded(sessions.daily_rollup(event_source.flatten_events(read)), 4)
+
+
 # --- tables, validation, profile ----------------------------------------------------------------
 
 
 def scan_daily(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/daily-{uuid.uuid4().hex}"
+    path = _place(spark, "daily")
     tables.write_daily(samples.orders_daily(spark, folder), path)
     return tables.read_daily(spark, path)
 
 
 def scan_spend(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/spend-{uuid.uuid4().hex}"
+    path = _place(spark, "spend")
     tables.write_spend(samples.orders_spend(spark, folder), path)
     return tables.read_spend(spark, path)
 
@@ -182,8 +196,17 @@ def profile_channel_shares(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(quality.channel_shares(_daily(spark, folder)), 4)
 
 
+def sink_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The quarantined rows written as CSV and read back."""
+    bad = quarantine_daily(spark, folder)
+    path = tables.write_quarantine(bad, "daily.csv", _place(spark, "quarantine"))
+    return spark.read.schema(bad.schema).option("header", True).csv(path)
+
+
 def weekly_spend(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(quality.weekly_spend(samples.orders_spend(spark, folder)), 2)
+    planted = F.when(F.unix_date("date") % 10 == 0, 2.0).otherwise(1.0)
+    spend = samples.orders_spend(spark, folder).withColumn("planted_multiplier", planted)
+    return rounded(quality.weekly_spend(spend), 2)
 
 
 # --- calendar -------------------------------------------------------------------------------------
@@ -249,6 +272,12 @@ def weekly_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(kpis.weekly_metrics(*_kpis(spark, folder), PAID).drop(SIMULATED))
 
 
+def sink_weekly(spark: SparkSession, folder: str) -> DataFrame:
+    path = _place(spark, "weekly")
+    tables.write_weekly(weekly_metrics(spark, folder), path)
+    return spark.read.parquet(path)
+
+
 def weekly_shares(spark: SparkSession, folder: str) -> DataFrame:
     weekly = kpis.weekly_metrics(*_kpis(spark, folder), PAID)
     return rounded(weekly.select("week", "channel", "session_share", "revenue_share"))
@@ -358,7 +387,17 @@ def facts_data_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, folder: str) -> DataFrame:
-    return _report(spark, folder).facts()
+    """The leaves of every document."""
+    return fa.document_leaves(_report(spark, folder).facts())
+
+
+def sink_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """The leaves of the documents after writing them, the last week twice, and reading them back."""
+    documents = _facts(spark, folder)
+    texts, path = fa.with_facts_hash(documents), _place(spark, "facts")
+    tables.write_facts(texts, path)
+    tables.write_facts(texts.orderBy(F.desc("week")).limit(1), path)
+    return fa.document_leaves(tables.read_facts(spark, path, documents.schema))
 
 
 def facts_hash(spark: SparkSession, folder: str) -> DataFrame:
@@ -477,7 +516,7 @@ QUERIES: dict[str, Query] = {
         daily_dense, metric_series, baseline_stats, volume_gate, robust_z, daily_anomalies,
         weekly_rule_anomalies, anomalies, anomalies_by_week, top_anomalies, facts_totals,
         facts_funnel, facts_channels, top_movers, facts_anomalies, facts_data_quality, facts,
-        facts_hash, extract_numbers, fact_numbers, number_guard, parse_narratives,
+        facts_hash, rollup_from_files, sink_quarantine, sink_weekly, sink_facts, extract_numbers, fact_numbers, number_guard, parse_narratives,
         validate_narratives, template_narrative, resolve_narrative, kpi_deltas,
         report_channel_table, report_paid_table, report_anomaly_table, report_kpi_tiles,
         series_revenue_trend, series_channel_mix, series_funnel, series_kpi_changes,

@@ -3,12 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.compare import compare, connect
 from tidemark.operators import anomalies as an
 from tidemark.operators import facts as fa
-from tidemark.operators import kpis, sessions
+from tidemark.operators import kpis, quality, sessions
 from tidemark.sources import samples
 
 FOLDER = "/root/testdata/sf0.01"
@@ -36,13 +37,45 @@ def test_sessions_stay_a_hash_aggregate(events):
     assert "value" not in re.search(r"ReadSchema: (.*)", text).group(1)
 
 
+def final_plan(df) -> str:
+    """The plan that ran, with what adaptive execution shared."""
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def below_first_exchange(text: str) -> str:
+    """What runs on the raw rows: the lines from the deepest exchange down to the scan."""
+    lines = text.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+    start = max(i for i in range(scan) if "Exchange" in lines[i])
+    return "\n".join(lines[start : scan + 1])
+
+
+@pytest.mark.parametrize("operator", [sessions.daily_rollup, sessions.purchases_by_session, sessions.purchase_firings, sessions.first_touch])
+def test_events_are_read_once_and_hashed(events, operator):
+    text = final_plan(operator(events.withColumn("user_pseudo_id", F.col("user_pseudo_id").cast("string"))))
+    assert text.count("FileScan") == 1
+    raw = below_first_exchange(text)
+    assert "HashAggregate" in raw and "SortAggregate" not in raw
+    assert "Window" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
 def test_rollup_joins_where_the_sessions_already_are(events):
-    text = plan(sessions.daily_rollup(events))
-    assert "Window" not in text
-    on_session = re.findall(r"Exchange hashpartitioning\(user_pseudo_id#\d+L?, ga_session_id", text)
+    text = final_plan(sessions.daily_rollup(events))
+    assert text.count("ReusedExchange") == 1
+    on_session = re.findall(r"Exchange hashpartitioning\(user_pseudo_id#\d+L?, ga_session_id#\d+L?, \d", text)
     # Sessions and first firings; the join itself adds no shuffle.
     assert len(on_session) <= 2
-    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_weekly_metrics_read_the_daily_table_once(run):
+    text = final_plan(kpis.weekly_metrics(run.flagged_daily, run.flagged_spend, entry.PAID))
+    assert text.count("FileScan") == 2  # daily and spend
+
+
+def test_profiles_and_calendars_read_their_table_once(run):
+    for df in (quality.channel_shares(run.flagged_daily), an.densify(run.flagged_daily)):
+        assert final_plan(df).count("FileScan") <= 2
 
 
 def test_event_range_reaches_the_scan(spark):

@@ -232,6 +232,40 @@ def facts_of_week(facts: DataFrame, week: str) -> DataFrame:
     return one
 
 
+def document_leaves(facts: DataFrame) -> DataFrame:
+    """(week, path, number, text): every leaf with a value; numbers as doubles, the rest as text."""
+
+    def leaf(kind: T.DataType, path: Column, value: Column) -> Column:
+        numeric = isinstance(kind, T.NumericType)
+        number = value.cast("double") if numeric else F.lit(None).cast("double")
+        text = F.lit(None).cast("string") if numeric else value.cast("string")
+        return F.struct(path.alias("path"), number.alias("number"), text.alias("text"))
+
+    def below(kind: T.StructType, prefix: Column, value: Column) -> Column:
+        """Array of the leaves of one struct."""
+        flat, nested = [], []
+        for field in kind:
+            path, child = F.concat(prefix, F.lit(field.name)), value[field.name]
+            if isinstance(field.dataType, T.StructType):
+                nested.append(below(field.dataType, F.concat(path, F.lit(".")), child))
+            elif isinstance(field.dataType, T.ArrayType):
+                nested.append(elements(field.dataType.elementType, path, child))
+            else:
+                flat.append(leaf(field.dataType, path, child))
+        return F.concat(F.array(*flat), *nested) if flat else F.concat(*nested)
+
+    def elements(kind: T.DataType, path: Column, items: Column) -> Column:
+        def one(item: Column, i: Column) -> Column:
+            return below(kind, F.concat(path, F.lit("["), i.cast("string"), F.lit("].")), item)
+
+        return F.flatten(F.transform(items, one))
+
+    names = [c for c in facts.columns if c != "week"]
+    leaves = below(facts.select(*names).schema, F.lit(""), F.struct(*names))
+    each = facts.select("week", F.explode(leaves).alias("_leaf")).select("week", "_leaf.*")
+    return each.where(F.col("number").isNotNull() | F.col("text").isNotNull())
+
+
 def _by_name(kind: T.DataType, value: Column) -> Column:
     """The same value with the members of all structs in the order of their names."""
     if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):

@@ -14,6 +14,7 @@ from tidemark.functions.text import (
     number_tolerance,
     number_value,
 )
+from tidemark.operators.facts import document_leaves
 from tidemark.plans.materialize import materialize
 
 # Slack on top of half a written unit (fixed value).
@@ -46,36 +47,8 @@ def extract_numbers(texts: DataFrame, text: str = "text", keep_empty: bool = Fal
 
 def fact_numbers(facts: DataFrame) -> DataFrame:
     """(week, path, value): every numeric leaf of the facts documents, as absolute values."""
-
-    def leaf(path: Column, value: Column) -> Column:
-        return F.struct(path.alias("path"), F.abs(value.cast("double")).alias("value"))
-
-    def leaves(kind, prefix: Column, value: Column) -> Column:
-        """Array of the numeric leaves below one struct Column."""
-        flat, nested = [], []
-        for field in kind:
-            path, child = F.concat(prefix, F.lit(field.name)), value[field.name]
-            if field.dataType.typeName() == "struct":
-                nested.append(leaves(field.dataType, F.concat(path, F.lit(".")), child))
-            elif field.dataType.typeName() == "array":
-                nested.append(elements(field.dataType.elementType, path, child))
-            elif field.dataType.typeName() in ("integer", "long", "double"):
-                flat.append(leaf(path, child))
-        return F.concat(F.array(*flat), *nested) if flat else F.concat(*nested)
-
-    def elements(kind, path: Column, items: Column) -> Column:
-        if kind.typeName() != "struct":
-            return F.transform(items, lambda x, i: leaf(path, x))
-
-        def below(item: Column, i: Column) -> Column:
-            return leaves(kind, F.concat(path, F.lit("["), i.cast("string"), F.lit("].")), item)
-
-        return F.flatten(F.transform(items, below))
-
-    names = [c for c in facts.columns if c != "week"]
-    numeric = leaves(facts.select(*names).schema, F.lit(""), F.struct(*names))
-    exploded = facts.select("week", F.explode(numeric).alias("_leaf"))
-    return exploded.select("week", "_leaf.*").where(F.col("value").isNotNull())
+    numbers = document_leaves(facts).where(F.col("number").isNotNull())
+    return numbers.select("week", "path", F.abs("number").alias("value"))
 
 
 def _grid(value: Column, exponent: Column) -> Column:

@@ -1,9 +1,10 @@
 """Sessions, first-touch attribution, purchase de-duplication and the daily rollup.
 
-Shuffle plan of ``daily_rollup``: the events go once to (user, session) behind a partial
-hash aggregation; purchase events alone go once to transaction_id, again pre-aggregated, so a
-placeholder id shared by a third of all rows is one row per map task. The two meet on
-(user, session), where the sessions already are, and both sides are unique on that key.
+Shuffle plan of ``daily_rollup``: the events are read once and go to (user, session, transaction id)
+behind a partial hash aggregation; a NULL id stands for everything but purchases with a usable id. Both
+the sessions and the first firings of ids are made from those rows, whose shuffle they
+share. A placeholder id shared by a third of all rows is one row per map task on its way to its
+minimum. The two meet on (user, session), where both sides are unique.
 """
 
 from __future__ import annotations
@@ -13,12 +14,16 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions.channels import channel_code, channel_name, channel_of
-from tidemark.functions.numbers import money_sum
+from tidemark.functions.numbers import computed_once, money_sum
 
 SESSION = ["user_pseudo_id", "ga_session_id"]
 
-# A timestamp in microseconds leaves room for a small code in the low digits of a bigint.
-_CODES = 8
+# Epoch microseconds are below this until the year 2255; a timestamp times the number of codes,
+# plus a code, must be a bigint.
+_LAST_MICROSECOND = 9 * 10**15
+_CODES = len(fv.CHANNELS)
+if _LAST_MICROSECOND * _CODES >= 2**63:
+    raise ValueError(f"{_CODES} channels leave no room for a timestamp beside the channel")
 
 
 def _has_touch() -> Column:
@@ -34,46 +39,46 @@ def _usable_id() -> Column:
     return F.coalesce(usable, F.lit(False))
 
 
-def session_totals(events: DataFrame) -> DataFrame:
-    """One row per session with its channel, funnel flags and id-less purchase counts.
+def _session_measures() -> list[Column]:
+    """Date, first touch and funnel flags of a group of events.
 
-    The first touch is the smallest ``timestamp * 8 + channel code`` over events that carry
+    The first touch is the smallest ``timestamp * channels + channel code`` over events that carry
     a source or a medium. That is one bigint instead of two strings and an ordering struct:
     the whole aggregation stays a hash aggregate, the shuffle stays narrow, and equal
-    timestamps resolve the same way in every run. Unused columns are pruned by the optimizer.
+    timestamps resolve the same way in every run.
     """
-    name, revenue = F.col("event_name"), F.col("purchase_revenue")
+    name = F.col("event_name")
     touch = F.col("event_timestamp") * _CODES + channel_code(_event_channel())
-    is_purchase, keyed = name == "purchase", _usable_id()
-    flags = [F.bool_or(name == event).alias(f"has_{event}") for event in fv.FUNNEL_EVENTS]
-    totals = events.groupBy(*SESSION).agg(
+    return [
         F.min_by("event_date", "event_timestamp").alias("session_date"),
         F.min(F.when(_has_touch(), touch)).alias("_touch"),
-        *flags,
-        F.count_if(is_purchase & revenue.isNull()).alias("missing_revenue"),
-        F.count_if(is_purchase & keyed).alias("keyed_firings"),
-        F.count_if(is_purchase & ~keyed & revenue.isNotNull()).alias("open_purchases"),
-        money_sum(F.when(is_purchase & ~keyed, revenue)).alias("open_revenue"),
-    )
+        *[F.bool_or(name == event).alias(f"has_{event}") for event in fv.FUNNEL_EVENTS],
+    ]
+
+
+def _with_channel(sessions: DataFrame) -> DataFrame:
     channel = F.coalesce(channel_name(F.col("_touch") % _CODES), F.lit(fv.UNKNOWN))
-    return totals.withColumn("channel", channel).drop("_touch")
+    return sessions.withColumn("channel", channel).drop("_touch")
 
 
 def sessionize(events: DataFrame) -> DataFrame:
     """Sessions with first-day date, channel and four funnel flags."""
     flags = [f"has_{event}" for event in fv.FUNNEL_EVENTS]
-    return session_totals(events).select(*SESSION, "session_date", "channel", *flags)
+    sessions = _with_channel(events.groupBy(*SESSION).agg(*_session_measures()))
+    return sessions.select(*SESSION, "session_date", "channel", *flags)
 
 
 def first_touch(events: DataFrame) -> DataFrame:
     """The (source, medium) pair of each session's first event that has either of them.
 
     The pair is taken together, so its source may be NULL. Equal timestamps resolve by
-    channel first, which agrees with ``session_totals``.
+    channel first, which agrees with ``sessionize``. The events are reduced to the earliest time of
+    each pair by a hash aggregate; only those few rows are compared as structs.
     """
-    order = F.struct("event_timestamp", channel_code(_event_channel()), "source", "medium")
+    pairs = events.groupBy(*SESSION, "source", "medium").agg(F.min("event_timestamp").alias("_first"))
+    order = F.struct("_first", channel_code(_event_channel()), "source", "medium")
     pair = F.min_by(F.struct("source", "medium"), F.when(_has_touch(), order))
-    touched = events.groupBy(*SESSION).agg(pair.alias("_pair"))
+    touched = pairs.groupBy(*SESSION).agg(pair.alias("_pair"))
     out = touched.select(*SESSION, "_pair.source", "_pair.medium")
     return out.withColumn("channel", _event_channel())
 
@@ -82,15 +87,37 @@ def purchase_events(events: DataFrame) -> DataFrame:
     return events.where(F.col("event_name") == "purchase")
 
 
-def first_firings(events: DataFrame) -> DataFrame:
-    """The earliest purchase event of every usable transaction id, over all sessions.
+def by_transaction(events: DataFrame, measures: list[Column] | None = None) -> DataFrame:
+    """One row per (session, usable transaction id), and one with a NULL id for the rest of a session.
+
+    All buffers have a fixed width, so this is a hash aggregate that combines before the shuffle.
+    Firings of an id in one session at the same microsecond resolve by a hash of their revenue.
+    """
+    is_purchase, revenue, time = F.col("event_name") == "purchase", F.col("purchase_revenue"), F.col("event_timestamp")
+    apart = F.lit(str(2**64)).cast("decimal(20,0)")  # further than two hashes can be
+    order = time.cast("decimal(18,0)") * apart + F.xxhash64(revenue).cast("decimal(20,0)")
+    used = F.when(is_purchase & _usable_id(), F.col("transaction_id"))
+    grouped = events.withColumn("transaction_id", used).groupBy(*SESSION, "transaction_id")
+    return grouped.agg(
+        *(measures or []),
+        F.min("event_timestamp").alias("first_time"),
+        F.min_by(revenue, order).alias("first_revenue"),
+        F.count_if(is_purchase).alias("firings"),
+        F.count_if(is_purchase & revenue.isNull()).alias("missing_revenue"),
+        F.count(F.when(is_purchase, revenue)).alias("with_revenue"),
+        money_sum(F.when(is_purchase, revenue)).alias("revenue"),
+    )
+
+
+def first_firings(transactions: DataFrame) -> DataFrame:
+    """The session, time and revenue of the earliest firing of every usable id, over all sessions.
 
     This is rank 1 of a ranking by time within the id, found by a minimum: a minimum
     combines before the shuffle, a ranking would sort all copies of a hot id in one task.
     Equal timestamps resolve by the content of the row.
     """
-    order = F.struct("event_timestamp", *SESSION, "purchase_revenue")
-    keyed = purchase_events(events).where(_usable_id())
+    order = F.struct("first_time", *SESSION, "first_revenue")
+    keyed = transactions.where(F.col("transaction_id").isNotNull())
     first = keyed.groupBy("transaction_id").agg(F.min(order).alias("_first"))
     return first.select("transaction_id", "_first.*")
 
@@ -100,22 +127,11 @@ def purchase_firings(events: DataFrame) -> DataFrame:
 
     Events without a usable id share one row per session, and all of them count.
     """
-    keyed, revenue = _usable_id(), F.col("purchase_revenue")
-    groups = (
-        purchase_events(events)
-        .withColumn("transaction_id", F.when(keyed, F.col("transaction_id")))
-        .groupBy(*SESSION, "transaction_id")
-        .agg(
-            F.count(F.lit(1)).alias("firings"),
-            F.count_if(revenue.isNull()).alias("missing_revenue"),
-            F.count(revenue).alias("_with_revenue"),
-            money_sum(revenue).alias("_revenue"),
-        )
-    )
-    firsts = first_firings(events).select(
+    groups = _shared(by_transaction(purchase_events(events)))
+    firsts = first_firings(groups).select(
         F.col("transaction_id").alias("_id"),
         *[F.col(c).alias(f"_{c}") for c in SESSION],
-        F.col("purchase_revenue").alias("_first_revenue"),
+        F.col("first_revenue").alias("_first_revenue"),
     )
     # The join key is unique on both sides, whatever the number of firings of an id.
     same = (F.col("transaction_id") == F.col("_id")) & F.col(SESSION[0]).eqNullSafe(
@@ -123,26 +139,43 @@ def purchase_firings(events: DataFrame) -> DataFrame:
     )
     same &= F.col(SESSION[1]).eqNullSafe(F.col(f"_{SESSION[1]}"))
     has_id, is_first = F.col("transaction_id").isNotNull(), F.col("_id").isNotNull()
-    kept = F.when(~has_id, F.col("_with_revenue")).otherwise(
+    kept = F.when(~has_id, F.col("with_revenue")).otherwise(
         (is_first & F.col("_first_revenue").isNotNull()).cast("bigint")
     )
+    duplicates = F.when(has_id, F.col("firings") - is_first.cast("bigint")).otherwise(F.lit(0))
     return groups.join(firsts, same, "left").select(
         *SESSION,
         "transaction_id",
         "firings",
-        F.when(has_id, F.col("firings") - is_first.cast("bigint"))
-        .otherwise(F.lit(0))
-        .cast("bigint")
-        .alias("duplicates"),
+        duplicates.cast("bigint").alias("duplicates"),
         "missing_revenue",
         kept.alias("kept"),
-        F.when(has_id, F.col("_first_revenue")).otherwise(F.col("_revenue")).alias("kept_revenue"),
+        F.when(has_id, F.col("_first_revenue")).otherwise(F.col("revenue")).alias("kept_revenue"),
+    )
+
+
+def _shared(df: DataFrame) -> DataFrame:
+    """The same rows as the output of a generator, which keeps all columns together: two readers then
+    have the same plan below it and share its shuffle, where pruning would give each its own."""
+    whole = computed_once(df.select(F.struct(*df.columns).alias("_row")), _kept=F.col("_row"))
+    return whole.select("_kept.*")
+
+
+def session_totals(transactions: DataFrame, measures: list[Column] | None = None) -> DataFrame:
+    """Per session the given measures and what its rows of ``by_transaction`` add up to."""
+    keyed = F.col("transaction_id").isNotNull()
+    return transactions.groupBy(*SESSION).agg(
+        *(measures or []),
+        F.sum("missing_revenue").alias("missing_revenue"),
+        F.coalesce(F.sum(F.when(keyed, F.col("firings"))), F.lit(0)).alias("keyed_firings"),
+        F.coalesce(F.sum(F.when(~keyed, F.col("with_revenue"))), F.lit(0)).alias("open_purchases"),
+        money_sum(F.when(~keyed, F.col("revenue"))).alias("open_revenue"),
     )
 
 
-def _first_firings_by_session(events: DataFrame) -> DataFrame:
-    revenue = F.col("purchase_revenue")
-    return first_firings(events).groupBy(*SESSION).agg(
+def _first_firings_by_session(transactions: DataFrame) -> DataFrame:
+    revenue = F.col("first_revenue")
+    return first_firings(transactions).groupBy(*SESSION).agg(
         F.count(F.lit(1)).alias("_firsts"),
         F.count(revenue).alias("_first_purchases"),
         money_sum(revenue).alias("_first_revenue"),
@@ -183,15 +216,21 @@ PURCHASE_MEASURES = [
 
 def purchases_by_session(events: DataFrame) -> DataFrame:
     """Kept purchases, their revenue and the two data-quality counts of each session."""
-    totals = session_totals(purchase_events(events))
-    joined = _with_purchases(totals, _first_firings_by_session(events), null_safe=True)
+    transactions = _shared(by_transaction(purchase_events(events)))
+    joined = _with_purchases(session_totals(transactions), _first_firings_by_session(transactions), null_safe=True)
     return joined.select(*SESSION, *PURCHASE_MEASURES)
 
 
 def daily_rollup(events: DataFrame) -> DataFrame:
     """Daily channel table: every session measure on the session's first day and channel."""
-    sessions = session_totals(events)
-    joined = _with_purchases(sessions, _first_firings_by_session(events), null_safe=False)
+    transactions = _shared(by_transaction(events, _session_measures()))
+    measures = [
+        F.min_by("session_date", "first_time").alias("session_date"),
+        F.min("_touch").alias("_touch"),
+        *[F.bool_or(f"has_{event}").alias(f"has_{event}") for event in fv.FUNNEL_EVENTS],
+    ]
+    sessions = _with_channel(session_totals(transactions, measures))
+    joined = _with_purchases(sessions, _first_firings_by_session(transactions), null_safe=False)
     # A session without a full key has no purchases of its own: NULL keys never match.
     known = F.col(SESSION[0]).isNotNull() & F.col(SESSION[1]).isNotNull()
 

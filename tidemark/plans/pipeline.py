@@ -11,7 +11,7 @@ from tidemark.model import Settings
 from tidemark.operators import anomalies as an
 from tidemark.operators import facts as fa
 from tidemark.operators import kpis, quality
-from tidemark.plans.materialize import materialize
+from tidemark.plans.materialize import Scratch
 
 
 @dataclass(frozen=True)
@@ -19,6 +19,7 @@ class Report:
     """Tables of one run. The properties are lazy plans over the stored tables."""
 
     settings: Settings
+    scratch: Scratch
     flagged_daily: DataFrame
     flagged_spend: DataFrame
     daily: DataFrame
@@ -46,24 +47,33 @@ class Report:
 
     def facts(self) -> DataFrame:
         """Facts of every complete week. The findings feed two branches, so they are stored."""
-        found = materialize(self.anomalies)
+        found = self.scratch.keep(self.anomalies)
         return fa.weekly_facts(self.weekly, found, self.quarantined_rows, self.settings)
 
+    def close(self) -> None:
+        """Drop the stored tables; what was made from them must have been written before."""
+        self.scratch.close()
 
-def prepare(daily: DataFrame, spend: DataFrame, settings: Settings) -> Report:
+    def __enter__(self) -> Report:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+def prepare(
+    daily: DataFrame, spend: DataFrame, settings: Settings, scratch: Scratch | None = None
+) -> Report:
     """Validate both tables and derive the KPIs.
 
-    The flagged tables and the weekly table have several readers each, so they are written
-    once: without that, every reader would run the whole event rollup again. Quarantine comes
-    before the weeks, so a day whose rows all failed makes its week partial.
+    ``daily`` and ``spend`` should be stored tables, as ``read_daily`` and ``read_spend`` give them: they have
+    several readers. Flagging them again for each is cheap; the weekly table is stored once.
+    Quarantine comes before the weeks, so a day whose rows all failed makes its week partial.
     """
-    flagged_daily = materialize(
-        quality.flag_rows(quality.conform(daily, quality.DAILY), quality.daily_rules(settings))
-    )
-    flagged_spend = materialize(
-        quality.flag_rows(
-            quality.conform(spend, quality.spend_schema(settings)), quality.spend_rules(settings)
-        )
+    scratch = scratch or Scratch(daily.sparkSession)
+    flagged_daily = quality.flag_rows(quality.conform(daily, quality.DAILY), quality.daily_rules(settings))
+    flagged_spend = quality.flag_rows(
+        quality.conform(spend, quality.spend_schema(settings)), quality.spend_rules(settings)
     )
     valid_daily, _ = quality.split(flagged_daily)
     valid_spend, _ = quality.split(flagged_spend)
@@ -71,8 +81,9 @@ def prepare(daily: DataFrame, spend: DataFrame, settings: Settings) -> Report:
     weekly = kpis.with_changes(kpis.weekly_metrics(valid_daily, valid_spend, paid))
     return Report(
         settings=settings,
+        scratch=scratch,
         flagged_daily=flagged_daily,
         flagged_spend=flagged_spend,
         daily=kpis.daily_metrics(valid_daily, valid_spend, paid),
-        weekly=materialize(weekly),
+        weekly=scratch.keep(weekly),
     )
