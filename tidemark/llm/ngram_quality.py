@@ -26,7 +26,7 @@ from tidemark.llm.statistics import SYMBOLS, Scan
 
 BUCKETS = 1 << 15  # of each family of n-grams
 FAMILIES = 3
-FIT_ROWS, CALIBRATE_ROWS = 4000, 3000
+FIT_ROWS, CALIBRATE_ROWS = 3000, 2000
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; percent of words
 KEEP_FROM = 0.5
 SCALE, ROUNDS, RATE, DECAY = 20.0, 120, 0.5, 1e-5
@@ -107,10 +107,16 @@ def _rows(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
                 )
 
     rows = sorted(tuple(r) for r in map_batches(sample, "columns binary, values binary, label int", work).collect())
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) // 4 for r in rows])
+    y = np.array([r[2] for r in rows], float)
     columns = np.frombuffer(b"".join(r[0] for r in rows), np.int32)
     values = np.frombuffer(b"".join(r[1] for r in rows), np.float32)
-    owner = np.repeat(np.arange(len(rows)), [len(r[0]) // 4 for r in rows])
-    return columns, values, owner, np.array([r[2] for r in rows], float)
+    return columns, values, owner, y
+
+
+def _margins(weights: np.ndarray, columns, values, owner, rows: int) -> np.ndarray:
+    """Sum of weight times value in each row, in single precision but for the sums."""
+    return np.bincount(owner, weights.astype(np.float32)[columns] * values, rows)
 
 
 def _fit(columns, values, owner, y) -> tuple[np.ndarray, float]:
@@ -118,9 +124,9 @@ def _fit(columns, values, owner, y) -> tuple[np.ndarray, float]:
     size = FAMILIES * BUCKETS
     weights, square, bias, bias_square = np.zeros(size), np.full(size, 1e-8), 0.0, 1e-8
     for _ in range(ROUNDS):
-        margin = bias + np.bincount(owner, weights[columns] * values, len(y))
+        margin = bias + _margins(weights, columns, values, owner, len(y))
         error = (_sigmoid(margin) - y) / len(y)
-        slope = np.bincount(columns, error[owner] * values, size) + DECAY * weights
+        slope = np.bincount(columns, error.astype(np.float32)[owner] * values, size) + DECAY * weights
         square += slope**2
         weights -= RATE * slope / np.sqrt(square)
         bias_square += error.sum() ** 2
@@ -165,10 +171,11 @@ def train(documents: DataFrame, labels: DataFrame) -> Model | None:
     if not 0 < y.sum() < len(y):
         return None
     weights, bias = _fit(columns, values, owner, y)
+    del columns, values, owner
     columns, values, owner, y = _rows(labelled_sample(documents, labels, (calibrate_fold,), CALIBRATE_ROWS))
     if not 0 < y.sum() < len(y):
         return Model(weights.astype(np.float32), bias, 1.0, 0.0)
-    margin = bias + np.bincount(owner, weights[columns] * values, len(y))
+    margin = bias + _margins(weights, columns, values, owner, len(y))
     return Model(weights.astype(np.float32), bias, *_calibrate(margin, y))
 
 
