@@ -81,6 +81,6 @@ def test_plan_has_no_python(spark):
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
 
 
-@pytest.mark.parametrize("name", ["op2_chat_format", "op7_warc", "op10_url_filter"])
+@pytest.mark.parametrize("name", ["op2_chat_format", "op7_warc", "op8_ngram_join", "op10_url_filter"])
 def test_queries_agree_with_sql(spark, name):
     assert compare(connect(FOLDER), entry.oracle_sql()[name], entry.queries()[name](spark, FOLDER)) == ""

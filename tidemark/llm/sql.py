@@ -85,4 +85,30 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM best
 """
 
-STATEMENTS = {"op2_chat_format": OP2, "op7_warc": OP7, "op10_url_filter": OP10}
+OP8 = f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
+  FROM documents
+), elements AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4
+    THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM worded
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM elements GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM elements a JOIN elements b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+  WHERE 100 * c >= 85 * (s.n + t.n - c)
+), both_ways AS (
+  SELECT x, y FROM links UNION SELECT y, x FROM links
+), reach AS (
+  SELECT x, y FROM both_ways UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x
+)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, least(d.doc_id, min(r.y)) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id
+"""
+
+STATEMENTS = {"op2_chat_format": OP2, "op7_warc": OP7, "op8_ngram_join": OP8, "op10_url_filter": OP10}
