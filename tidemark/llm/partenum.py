@@ -40,10 +40,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tidemark.llm.batches import field, map_batches
-from tidemark.llm.bytescan import Texts, Words, keyed, mix, slices, windows
+from tidemark.llm.bytescan import Texts, Words, mix, repeated, slices, windows
 from tidemark.llm.components import connected_components
 from tidemark.plans.materialize import materialize
 
@@ -52,7 +51,7 @@ GUARANTEED = 128
 WORDS, PERCENT = 5, 80
 LARGEST = 1 << 40
 SKETCH = 1024  # bits
-#: Classes whose fingerprints are broadcast to pick their texts; more are joined by a shuffle.
+#: Rows of two or three numbers that are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_CLASSES = 200_000
 
 
@@ -161,41 +160,79 @@ def signatures(found: np.ndarray, owner: np.ndarray, size: np.ndarray, wanted: n
     return np.concatenate(out), np.concatenate(of)
 
 
+def _lists(values: np.ndarray, row: np.ndarray, rows: int) -> pa.ListArray:
+    """One list of 64-bit numbers for each row."""
+    order = np.argsort(row, kind="stable")
+    edge = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=rows)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(edge), pa.array(values[order].view(np.int64)))
+
+
 def _profiles(documents: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, class, signatures, sketch). A batch's copies of a class give its signatures once."""
+    """(doc_id, text_key, n_shingles, class, signatures, shared, sketch).
+
+    A batch's copies of a class give its signatures once. Of the classes in a batch that have a signature in
+    common, `shared` lists it for all, and only the first has it in `signatures`: that is the combining step
+    before the shuffle, after which a signature has one row a batch however many classes have it.
+    """
 
     def work(batches):
         for b in batches:
-            ids = field(b, "doc_id")
+            sizes, prints, marks, sigs, owners, at = [], [], [], [], [], 0
+            seen = np.empty(0, np.int64)
             for texts in slices(field(b, "text")):
                 found, owner = sets_of(texts, n)
                 size, print_ = fingerprints(found, owner, len(texts))
                 wanted = np.zeros(len(texts), bool)
                 wanted[np.unique(print_, return_index=True)[1]] = True
-                sigs, of = signatures(found, owner, size, wanted & (size > 0), percent)
-                order = np.argsort(of, kind="stable")
-                edge = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=len(texts))))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(texts.first, len(texts)),
-                        pa.array(size.astype(np.int64)),
-                        pa.array(print_, mask=size == 0),
-                        pa.ListArray.from_arrays(pa.array(edge), pa.array(sigs[order].view(np.int64))),
-                        pa.array(list(sketches(found, owner, len(texts))), pa.list_(pa.int64())),
-                    ],
-                    ["doc_id", "n_shingles", "class", "signatures", "sketch"],
-                )
-
-    schema = "doc_id bigint, n_shingles bigint, class bigint, signatures array<bigint>, sketch array<bigint>"
-    return map_batches(documents.select(F.col("doc_id").cast("bigint"), "text"), schema, work)
+                wanted &= (size > 0) & ~np.isin(print_, seen)
+                seen = np.union1d(seen, print_)
+                sig, of = signatures(found, owner, size, wanted, percent)
+                sizes.append(size)
+                prints.append(print_)
+                marks += list(sketches(found, owner, len(texts)))
+                sigs.append(sig)
+                owners.append(of + at)
+                at += len(texts)
+            if not at:
+                continue
+            size, print_, sig, of = (np.concatenate(x) for x in (sizes, prints, sigs, owners))
+            again = repeated(sig)
+            first = np.zeros(len(sig), bool)
+            first[np.unique(sig, return_index=True)[1]] = True
+            yield pa.RecordBatch.from_arrays(
+                [
+                    field(b, "doc_id"),
+                    field(b, "text_key"),
+                    pa.array(size.astype(np.int64)),
+                    pa.array(print_, mask=size == 0),
+                    _lists(sig[first], of[first], at),
+                    _lists(sig[again], of[again], at),
+                    pa.array(marks, pa.list_(pa.int64())),
+                ],
+                ["doc_id", "text_key", "n_shingles", "class", "signatures", "shared", "sketch"],
+            )
+
+    schema = (
+        "doc_id bigint, text_key bigint, n_shingles bigint, class bigint, "
+        "signatures array<bigint>, shared array<bigint>, sketch array<bigint>"
+    )
+    rows = documents.select(F.col("doc_id").cast("bigint"), _text_key().alias("text_key"), "text")
+    return map_batches(rows, schema, work)
+
+
+def _text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _broadcast_if_small(stored: DataFrame) -> DataFrame:
+    return F.broadcast(stored) if stored.count() <= BROADCAST_CLASSES else stored
 
 
 def _sets(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """(class, shingles): the sorted shingle hashes of one text of each class in the pairs, as bytes."""
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
     wanted = materialize(ends.join(info, "class").select(F.col("class").alias("_class"), F.col("doc_id").alias("_doc")))
-    if wanted.count() <= BROADCAST_CLASSES:
-        wanted = F.broadcast(wanted)
+    wanted = _broadcast_if_small(wanted)
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("_class", "text")
 
@@ -240,9 +277,12 @@ def _verified(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int, p
 
 def class_links(documents: DataFrame, profiles: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b): verified links between classes, enough of them to give the components of all links."""
-    rows = profiles.where("class is not null").select("class", F.explode("signatures").alias("sig"))
-    shared = rows.groupBy("sig").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    shared = materialize(rows.join(shared.select("sig"), "sig").distinct())
+    classed = profiles.where("class is not null")
+    # One shuffle by signature serves the aggregation and the join back: both read it as it is.
+    rows = classed.select(F.explode("signatures").alias("sig"), "class").repartition("sig")
+    several = rows.groupBy("sig").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
+    found = rows.join(several.select("sig"), "sig")
+    shared = materialize(found.unionByName(classed.select(F.explode("shared").alias("sig"), "class")).distinct())
     held = shared.groupBy("class").agg(F.count(F.lit(1)).alias("weight"))
     about = profiles.join(held.select("class"), "class", "left_semi").groupBy("class")
     info = materialize(about.agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sketch").alias("sketch")))
@@ -298,34 +338,30 @@ def near_duplicates(documents: DataFrame, n: int = WORDS, percent: int = PERCENT
 
 def keep_one(documents: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each group of linked documents, with its own columns: that with the smallest
-    doc_id, and of several with that id the smallest row. Documents without words all stay."""
+    doc_id, and of several with that id the smallest row. Documents without words all stay.
+
+    What goes is taken out by an anti join on (doc_id, hash of the text). Its keys, two numbers each, are
+    broadcast up to BROADCAST_CLASSES of them, so that texts need no shuffle; beyond, the join shuffles.
+    """
     columns = documents.columns
     profiles = materialize(_profiles(documents, n, percent))
     named = _named(documents, profiles, n, percent)
-    slim = profiles.where("class is not null").select("class", "doc_id").join(named, "class")
-    first = slim.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    several = materialize(first.where("n > 1").select("group"))
-
-    rows = documents.select(F.struct(*columns).alias("_row"), "doc_id", "text")
-    schema = StructType([rows.schema["_row"]]).add("doc_id", "long").add("_class", "long")
-
-    def tag(batches):
-        for b in batches:
-            for texts in slices(field(b, "text")):
-                size, print_ = fingerprints(*sets_of(texts, n), len(texts))
-                part = b.slice(texts.first, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [field(part, "_row"), field(part, "doc_id").cast(pa.int64()), pa.array(print_, mask=size == 0)], ["_row", "doc_id", "_class"]
-                )
-
-    tagged = map_batches(rows, schema, tag)
-    empty = tagged.where("_class is null").select("_row")
-    found = tagged.join(named, F.col("_class") == F.col("class"))
-    found = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("group", "_row")
-    if several.isEmpty():
-        kept = found.select("_row")
-    else:
-        single = found.join(several, "group", "left_anti").select("_row")
-        of_several = found.join(several, "group", "left_semi").groupBy("group").agg(F.min("_row").alias("_row"))
-        kept = single.unionByName(of_several.select("_row"))
-    return kept.unionByName(empty).select("_row.*")
+    slim = profiles.where("class is not null").select("class", "doc_id", "text_key").join(named, "class")
+    is_first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    first = slim.where(is_first).select("group", "doc_id", "text_key")
+    several = materialize(first.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group"))
+    twins = materialize(first.join(several, "group").distinct())
+    gone = slim.where(~is_first).select("doc_id", "text_key").union(twins.select("doc_id", "text_key")).distinct()
+
+    rows = documents.select(F.struct(*columns).alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), _text_key().alias("_key"))
+
+    def same(keys: DataFrame):
+        return F.col("_id").eqNullSafe(keys["doc_id"]) & (F.col("_key") == keys["text_key"])
+
+    gone = _broadcast_if_small(materialize(gone))
+    kept = rows.join(gone, same(gone), "left_anti").select("_row")
+    if not several.isEmpty():
+        small = _broadcast_if_small(twins)
+        of_several = rows.join(small, same(small)).groupBy("group").agg(F.min("_row").alias("_row"))
+        kept = kept.unionByName(of_several.select("_row"))
+    return kept.select("_row.*")
