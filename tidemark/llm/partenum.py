@@ -160,24 +160,36 @@ def signatures(found: np.ndarray, owner: np.ndarray, size: np.ndarray, wanted: n
     return np.concatenate(out), np.concatenate(of)
 
 
-def _lists(values: np.ndarray, row: np.ndarray, rows: int) -> pa.ListArray:
-    """One list of 64-bit numbers for each row."""
-    order = np.argsort(row, kind="stable")
-    edge = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=rows)))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(edge), pa.array(values[order].view(np.int64)))
+def _profiles(documents: DataFrame, n: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, class, sketch) of every document."""
 
+    def work(batches):
+        for b in batches:
+            for texts in slices(field(b, "text")):
+                found, owner = sets_of(texts, n)
+                size, print_ = fingerprints(found, owner, len(texts))
+                part = b.slice(texts.first, len(texts))
+                marks = pa.array(list(sketches(found, owner, len(texts))), pa.list_(pa.int64()))
+                columns = [field(part, "doc_id"), field(part, "text_key"), pa.array(size.astype(np.int64)), pa.array(print_, mask=size == 0), marks]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n_shingles", "class", "sketch"])
 
-def _profiles(documents: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, text_key, n_shingles, class, signatures, shared, sketch).
+    schema = "doc_id bigint, text_key bigint, n_shingles bigint, class bigint, sketch array<bigint>"
+    rows = documents.select(F.col("doc_id").cast("bigint"), _text_key().alias("text_key"), "text")
+    return map_batches(rows, schema, work)
 
-    A batch's copies of a class give its signatures once. Of the classes in a batch that have a signature in
-    common, `shared` lists it for all, and only the first has it in `signatures`: that is the combining step
-    before the shuffle, after which a signature has one row a batch however many classes have it.
+
+def _signature_rows(documents: DataFrame, n: int, percent: int) -> DataFrame:
+    """(key, other, settled): the signatures of all classes, combined in batches before the shuffle.
+
+    A batch's copies of a class give its signatures once. The first class of a batch with a signature is a row
+    (signature, class, false). Where several classes of a batch have it in common, each of them is also a row
+    (class, signature, true): settled, so it needs no look at other batches, and keyed by the class. A
+    signature thus has one row a batch under its key, however many classes have it.
     """
 
     def work(batches):
         for b in batches:
-            sizes, prints, marks, sigs, owners, at = [], [], [], [], [], 0
+            sigs, classes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             seen = np.empty(0, np.int64)
             for texts in slices(field(b, "text")):
                 found, owner = sets_of(texts, n)
@@ -187,37 +199,22 @@ def _profiles(documents: DataFrame, n: int, percent: int) -> DataFrame:
                 wanted &= (size > 0) & ~np.isin(print_, seen)
                 seen = np.union1d(seen, print_)
                 sig, of = signatures(found, owner, size, wanted, percent)
-                sizes.append(size)
-                prints.append(print_)
-                marks += list(sketches(found, owner, len(texts)))
                 sigs.append(sig)
-                owners.append(of + at)
-                at += len(texts)
-            if not at:
-                continue
-            size, print_, sig, of = (np.concatenate(x) for x in (sizes, prints, sigs, owners))
-            again = repeated(sig)
-            first = np.zeros(len(sig), bool)
-            first[np.unique(sig, return_index=True)[1]] = True
+                classes.append(print_[of])
+            sig, class_ = np.concatenate(sigs), np.concatenate(classes)
+            first = np.sort(np.unique(sig, return_index=True)[1])
+            again = np.flatnonzero(repeated(sig))
+            sig = sig.view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    field(b, "doc_id"),
-                    field(b, "text_key"),
-                    pa.array(size.astype(np.int64)),
-                    pa.array(print_, mask=size == 0),
-                    _lists(sig[first], of[first], at),
-                    _lists(sig[again], of[again], at),
-                    pa.array(marks, pa.list_(pa.int64())),
+                    pa.array(np.concatenate([sig[first], class_[again]])),
+                    pa.array(np.concatenate([class_[first], sig[again]])),
+                    pa.array(np.arange(len(first) + len(again)) >= len(first)),
                 ],
-                ["doc_id", "text_key", "n_shingles", "class", "signatures", "shared", "sketch"],
+                ["key", "other", "settled"],
             )
 
-    schema = (
-        "doc_id bigint, text_key bigint, n_shingles bigint, class bigint, "
-        "signatures array<bigint>, shared array<bigint>, sketch array<bigint>"
-    )
-    rows = documents.select(F.col("doc_id").cast("bigint"), _text_key().alias("text_key"), "text")
-    return map_batches(rows, schema, work)
+    return map_batches(documents.select("text"), "key bigint, other bigint, settled boolean", work)
 
 
 def _text_key() -> Column:
@@ -277,12 +274,14 @@ def _verified(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int, p
 
 def class_links(documents: DataFrame, profiles: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b): verified links between classes, enough of them to give the components of all links."""
-    classed = profiles.where("class is not null")
-    # One shuffle by signature serves the aggregation and the join back: both read it as it is.
-    rows = classed.select(F.explode("signatures").alias("sig"), "class").repartition("sig")
-    several = rows.groupBy("sig").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    found = rows.join(several.select("sig"), "sig")
-    shared = materialize(found.unionByName(classed.select(F.explode("shared").alias("sig"), "class")).distinct())
+    # One shuffle serves the aggregation and the join back: both read all its columns, so it is reused.
+    rows = _signature_rows(documents, n, percent).repartition("key")
+    several = rows.groupBy("key").agg(
+        F.min("other").alias("low"), F.max("other").alias("high"), F.bool_or("settled").alias("settled")
+    )
+    found = rows.join(several.where("low < high or settled").select("key"), "key")
+    sig, class_ = (F.when(F.col("settled"), F.col(a)).otherwise(F.col(b)) for a, b in (("other", "key"), ("key", "other")))
+    shared = materialize(found.select(sig.alias("sig"), class_.alias("class")).distinct())
     held = shared.groupBy("class").agg(F.count(F.lit(1)).alias("weight"))
     about = profiles.join(held.select("class"), "class", "left_semi").groupBy("class")
     info = materialize(about.agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sketch").alias("sketch")))
@@ -329,7 +328,7 @@ def _named(documents: DataFrame, profiles: DataFrame, n: int, percent: int) -> D
 def near_duplicates(documents: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document (doc_id, text): the size of its set and the
     smallest doc_id that links reach, with 100 * intersection >= percent * union for each link."""
-    profiles = materialize(_profiles(documents, n, percent))
+    profiles = materialize(_profiles(documents, n))
     named = _named(documents, profiles, n, percent).drop("group")
     rows = profiles.select("doc_id", "n_shingles", "class").join(named, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -344,7 +343,7 @@ def keep_one(documents: DataFrame, n: int = WORDS, percent: int = PERCENT) -> Da
     broadcast up to BROADCAST_CLASSES of them, so that texts need no shuffle; beyond, the join shuffles.
     """
     columns = documents.columns
-    profiles = materialize(_profiles(documents, n, percent))
+    profiles = materialize(_profiles(documents, n))
     named = _named(documents, profiles, n, percent)
     slim = profiles.where("class is not null").select("class", "doc_id", "text_key").join(named, "class")
     is_first = F.col("doc_id").eqNullSafe(F.col("component_id"))
