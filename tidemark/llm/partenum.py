@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.batches import field, map_batches
 from tidemark.llm.bytescan import Texts, Words, mix, repeated, slices, windows
 from tidemark.llm.components import connected_components
-from tidemark.plans.materialize import materialize
+from tidemark.plans.materialize import Scratch, materialize
 
 RATIO = 1.5  # of the sizes of neighbouring bands
 GUARANTEED = 128
@@ -225,10 +225,10 @@ def _broadcast_if_small(stored: DataFrame) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= BROADCAST_CLASSES else stored
 
 
-def _sets(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+def _sets(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int, scratch: Scratch) -> DataFrame:
     """(class, shingles): the sorted shingle hashes of one text of each class in the pairs, as bytes."""
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    wanted = materialize(ends.join(info, "class").select(F.col("class").alias("_class"), F.col("doc_id").alias("_doc")))
+    wanted = scratch.keep(ends.join(info, "class").select(F.col("class").alias("_class"), F.col("doc_id").alias("_doc")))
     wanted = _broadcast_if_small(wanted)
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("_class", "text")
@@ -247,15 +247,12 @@ def _sets(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int) -> Da
                     ["class", "shingles"],
                 )
 
-    return materialize(map_batches(texts, "class bigint, shingles binary", work).dropDuplicates(["class"]))
+    return scratch.keep(map_batches(texts, "class bigint, shingles binary", work).dropDuplicates(["class"]))
 
 
-def _verified(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+def _verified(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity. `a` may be a hub, so its set is joined to
-    the slim pairs first."""
-    sets = _sets(documents, info, pairs, n)
-    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("right"))
+    the slim pairs first. The sets are dropped as soon as the pairs are stored."""
 
     def work(batches):
         for b in batches:
@@ -268,12 +265,17 @@ def _verified(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int, p
                 keep.append(100 * common >= percent * (len(both) - common))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(left, "a").join(right, "b")
-    return materialize(map_batches(joined.select("a", "b", "left", "right"), "a bigint, b bigint", work))
+    with Scratch(documents.sparkSession) as own:
+        sets = _sets(documents, info, pairs, n, own)
+        left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
+        right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("right"))
+        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+        return scratch.keep(map_batches(joined, "a bigint, b bigint", work))
 
 
-def class_links(documents: DataFrame, profiles: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b): verified links between classes, enough of them to give the components of all links."""
+def class_links(documents: DataFrame, profiles: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(a, b): verified links between classes, enough of them to give the components of all links. They
+    are read from tables of `scratch`."""
     # One shuffle serves the aggregation and the join back: both read all its columns, so it is reused.
     rows = _signature_rows(documents, n, percent).repartition("key")
     several = rows.groupBy("key").agg(
@@ -281,43 +283,44 @@ def class_links(documents: DataFrame, profiles: DataFrame, n: int, percent: int)
     )
     found = rows.join(several.where("low < high or settled").select("key"), "key")
     sig, class_ = (F.when(F.col("settled"), F.col(a)).otherwise(F.col(b)) for a, b in (("other", "key"), ("key", "other")))
-    shared = materialize(found.select(sig.alias("sig"), class_.alias("class")).distinct())
+    shared = scratch.keep(found.select(sig.alias("sig"), class_.alias("class")).distinct())
     held = shared.groupBy("class").agg(F.count(F.lit(1)).alias("weight"))
     about = profiles.join(held.select("class"), "class", "left_semi").groupBy("class")
-    info = materialize(about.agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sketch").alias("sketch")))
+    info = scratch.keep(about.agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sketch").alias("sketch")))
 
     def known(name: str) -> DataFrame:
         return info.select(F.col("class").alias(name), F.struct("n_shingles", "sketch").alias(f"{name}_info"))
 
     best = F.max(F.struct("weight", "class")).getField("class")
     pivots = shared.join(held, "class").groupBy("sig").agg(best.alias("pivot"), F.count(F.lit(1)).alias("members"))
-    pivots = materialize(pivots)
+    pivots = scratch.keep(pivots)
     star = shared.join(pivots, "sig").where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b"))
     star = star.distinct().join(known("a"), "a").join(known("b"), "b").where(may_link("a_info", "b_info", percent))
-    links = _verified(documents, info, materialize(star.select("a", "b")), n, percent)
+    links = _verified(documents, info, scratch.keep(star.select("a", "b")), n, percent, scratch)
 
     # Of a bucket of two, the one pair has been compared.
     groups = connected_components(links, "a", "b").withColumnRenamed("node", "class")
     wide = shared.join(pivots.where("members > 2"), "sig").join(groups, "class", "left")
-    placed = materialize(wide.select("sig", "class", "pivot", F.coalesce("component", "class").alias("component")))
+    placed = scratch.keep(wide.select("sig", "class", "pivot", F.coalesce("component", "class").alias("component")))
     counts = placed.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = F.max(F.struct("n", "component")).getField("component")
     torn = counts.groupBy("sig").agg(largest.alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     # The pivot has been compared with all the others.
     open_ = placed.where("class <> pivot").join(torn.select("sig", "main"), "sig").select("sig", "class", "component", "main")
-    open_ = materialize(open_.join(info.select("class", F.struct("n_shingles", "sketch").alias("info")), "class"))
+    open_ = scratch.keep(open_.join(info.select("class", F.struct("n_shingles", "sketch").alias("info")), "class"))
     odd = open_.where("component <> main").select("sig", F.col("class").alias("a"), F.col("component").alias("own"), F.col("info").alias("a_info"))
     other = open_.select("sig", F.col("class").alias("b"), "component", "main", F.col("info").alias("b_info"))
     across = (odd.sig == other.sig) & (F.col("own") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("b")))
     rest = odd.join(other, across & may_link("a_info", "b_info", percent))
-    rest = materialize(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return links.unionByName(_verified(documents, info, rest, n, percent))
+    rest = scratch.keep(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return links.unionByName(_verified(documents, info, rest, n, percent, scratch))
 
 
 def _named(documents: DataFrame, profiles: DataFrame, n: int, percent: int) -> DataFrame:
     """(class, group, component_id) of every class: the smallest class and doc_id that links reach."""
-    links = class_links(documents, profiles, n, percent)
-    groups = connected_components(links, "a", "b").withColumnRenamed("node", "class")
+    with Scratch(documents.sparkSession) as scratch:
+        links = class_links(documents, profiles, n, percent, scratch)
+        groups = materialize(connected_components(links, "a", "b").withColumnRenamed("node", "class"))
     classes = profiles.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     placed = classes.join(groups, "class", "left").select("class", "doc_id", F.coalesce("component", "class").alias("group"))
     placed = materialize(placed)
