@@ -235,3 +235,52 @@ def test_recall_is_audited_and_mended(spark, monkeypatch):
     monkeypatch.setattr(vg, "audit", lambda *a: tries.append(1) or (0.5 if len(tries) < 2 else 1.0))
     vg.link_vectors(spark.createDataFrame(vectors(5)[:80], "vec_id bigint, embedding array<float>"))
     assert len(tries) == 2
+
+
+def spread_with_pairs(pairs: int, singles: int, hot: int = 0) -> list[tuple]:
+    """Scattered vectors, some of them with one other just in range, and one group of near copies."""
+    rnd = np.random.default_rng(11)
+    x = rnd.normal(size=(pairs + singles + 1, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    aside = rnd.normal(size=(pairs, 24))
+    aside -= (aside * x[:pairs]).sum(1, keepdims=True) * x[:pairs]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    other = 0.955 * x[:pairs] + np.sqrt(1 - 0.955**2) * aside
+    group = x[-1] + 0.01 * rnd.normal(size=(hot, 24))
+    return [(i, v.tolist()) for i, v in enumerate(np.concatenate([x[:-1], other, group]))]
+
+
+def classes_of(spark, rows):
+    table = vg._unit_rows(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    return table.select("class", F.lit(1).cast("bigint").alias("copies"), "unit").localCheckpoint()
+
+
+def test_audit_sees_few_links(spark, monkeypatch):
+    monkeypatch.setattr(vg, "AUDIT_ROWS", 500)
+    classes = classes_of(spark, spread_with_pairs(2, 1996))
+    sample = vg.audit_sample(classes, vg.COSINE)
+    assert [n for _, n in sample] == [1] * 4
+    assert vg.audit(sample, classes.select("class", F.lit(0).alias("linked"))) == 0
+
+
+def test_audit_is_not_hidden_by_a_hot_group(spark):
+    rows = spread_with_pairs(50, 0, hot=300)
+    classes = classes_of(spark, rows)
+    sample = vg.audit_sample(classes, vg.COSINE)
+    assert sorted(n for _, n in sample) == [1] * 100 + [299] * 300
+    exact = spark.createDataFrame(sample, "class bigint, exact bigint")
+    # All links of the group and none of the pairs: 0.9989 of all links.
+    links = exact.select("class", F.when(F.col("exact") > 1, F.col("exact")).otherwise(0).alias("linked"))
+    assert vg.audit(sample, links) == 0.75
+
+
+def test_the_last_try_is_audited_and_mended(spark, monkeypatch):
+    for name, value in {"SHARD_ROWS": 16, "MOST_PROBES": 1, "COMPARE_ROWS": 150, "RECALL": 0.99}.items():
+        monkeypatch.setattr(vg, name, value)
+    shares, audit = [], vg.audit
+    monkeypatch.setattr(vg, "audit", lambda *a: shares.append(audit(*a)) or shares[-1])
+    rows = spread_with_pairs(100, 200, hot=40)
+    got = {r["vec_id"]: r for r in vg.link_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), probes=1).collect()}
+    degree, label = brute_vectors(rows)
+    assert shares[0] < vg.RECALL and shares[1:] == [1.0]
+    assert {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == {i: (degree[i], label[i]) for i in degree}

@@ -12,8 +12,10 @@ So a group of near copies of any size is searched whole, in tasks of bounded siz
 A task counts, for each class, the linked vectors, and sends a spanning forest of its links; pairs
 are never rows. A pair that shares several shards counts in the first of them.
 
-Recall is audited: the links of AUDIT_ROWS classes, chosen by hash, are counted against all vectors by brute force,
-and if less than RECALL of them were found, the search is repeated with twice the probes.
+Recall is audited: slices of some AUDIT_ROWS classes, chosen by hash, are compared with all vectors until they
+hold AUDIT_LINKED classes with links (or AUDIT_SLICES slices or the table are used up). Every try is audited: if
+the linked classes among them found less than RECALL of their linked classes on average, the search is repeated
+with twice the probes, and after MOST_PROBES all pairs of vectors are compared, which loses none.
 
 Defined cases: vectors that are null, empty, zero, or have null or non-finite components link with
 nothing; vectors of different lengths do not link; rows with one id and different vectors are searched
@@ -38,7 +40,8 @@ FIT_ROWS, SHARD_ROWS, BLOCK_ROWS, ROUNDS = 20_000, 1024, 2048, 6
 DEGREE, BEAM, WIDTH, ALPHA, INCOMING = 24, 32, 4, 1.2, 32
 BATCH = 128
 PROBES, MOST_PROBES = 2, 8
-AUDIT_ROWS, RECALL = 200, 0.95
+AUDIT_ROWS, AUDIT_SLICES, AUDIT_LINKED, RECALL = 4000, 50, 100, 0.95
+COMPARE_ROWS = 16_384  # of a block when all pairs are compared
 
 
 def beam_search(graph: np.ndarray, x: np.ndarray, queries: np.ndarray, start: int, size: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
@@ -213,7 +216,7 @@ def fit_centres(classes: DataFrame) -> dict[int, np.ndarray]:
     return centres
 
 
-def _placed(classes: DataFrame, centres: dict[int, np.ndarray], probes: int) -> DataFrame:
+def _placed(classes: DataFrame, centres: dict[int, np.ndarray], probes: int, block_rows: int) -> DataFrame:
     """(class, copies, unit, shards, shard, block): a row for each shard of a class."""
     order = {length: i for i, length in enumerate(sorted(centres))}
 
@@ -233,7 +236,7 @@ def _placed(classes: DataFrame, centres: dict[int, np.ndarray], probes: int) ->
     schema = "class bigint, copies bigint, unit binary, shards array<bigint>"
     placed = materialize(map_batches(classes.select("class", "copies", "unit"), schema, work))
     each = placed.withColumn("shard", F.explode("shards"))
-    blocks = each.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    blocks = each.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
     each = each.join(materialize(blocks), "shard")
     return each.withColumn("block", F.pmod(F.xxhash64("class", "shard"), F.col("blocks")).cast("int"))
 
@@ -278,40 +281,43 @@ def _local_graph(classes: np.ndarray, near: list) -> np.ndarray:
 
 
 def search_blocks(table: pa.Table, first: int, second: int, shard: int, cosine: float) -> pa.Table:
-    """Links between two blocks of a shard (or inside one): for each class the number of vectors that it
-    links with, and the smallest class of its local component."""
-    sides = []
+    """Links between two blocks of a shard (or inside one): for each class the number of vectors and of classes
+    that it links with, and the smallest class of its local component. Without a column `near`, all pairs are
+    compared."""
+    sides, walked = [], "near" in table.column_names
     for block in dict.fromkeys((first, second)):
         own = table.filter(pa.array(np.array(table["block"]) == block)).sort_by("class")
         if not own.num_rows:
-            return pa.table({"class": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
+            return pa.table({name: pa.array([], pa.int64()) for name in ("class", "links", "linked", "root")})
         classes, exact = np.array(own["class"]), _matrix(own["unit"])
-        graph = _local_graph(classes, [np.array(n, np.int64) for n in own["near"].to_pylist()])
+        graph = _local_graph(classes, [np.array(n, np.int64) for n in own["near"].to_pylist()]) if walked else None
         shards = own["shards"].to_pylist()
         width = max(map(len, shards))
         shards = np.array([s + [-1] * (width - len(s)) for s in shards])
         sides.append((classes, np.array(own["copies"]), exact, exact.astype(np.float32), graph, shards))
     one, two = sides[0], sides[-1]
     same = len(sides) == 1
-    linked = np.zeros((len(one[0]), len(two[0])), bool)
     floor = cosine - 1e-4  # single precision while searching
-    for queries, target, flip in [(one, two, False)] if same else [(one, two, False), (two, one, True)]:
-        start = medoid(target[3])
-        for lo in range(0, len(queries[0]), BATCH):
-            q, node = range_search(target[4], target[3], queries[3][lo : lo + BATCH], start, floor)
-            linked[(node, q + lo) if flip else (q + lo, node)] = True
-    if same:
-        linked |= linked.T
-        np.fill_diagonal(linked, False)
+    if walked:
+        linked = np.zeros((len(one[0]), len(two[0])), bool)
+        for queries, target, flip in [(one, two, False)] if same else [(one, two, False), (two, one, True)]:
+            start = medoid(target[3])
+            for lo in range(0, len(queries[0]), BATCH):
+                q, node = range_search(target[4], target[3], queries[3][lo : lo + BATCH], start, floor)
+                linked[(node, q + lo) if flip else (q + lo, node)] = True
+        if same:
+            linked |= linked.T
     classes = one[0] if same else np.concatenate([one[0], two[0]])
     order = np.argsort(classes, kind="stable")
     place = np.empty(len(classes), np.int64)
     place[order] = np.arange(len(classes))
     shift = 0 if same else len(one[0])
-    links, root = np.zeros(len(classes), np.int64), np.arange(len(classes))
+    links, partners, root = np.zeros(len(classes), np.int64), np.zeros(len(classes), np.int64), np.arange(len(classes))
     for lo in range(0, len(one[0]), BATCH):
-        a, b = np.nonzero(linked[lo : lo + BATCH])
+        a, b = np.nonzero(linked[lo : lo + BATCH] if walked else one[3][lo : lo + BATCH] @ two[3].T >= floor)
         a = a + lo
+        if same:
+            a, b = a[a != b], b[a != b]
         for cut in range(0, len(a), 1 << 16):
             i, j = a[cut : cut + (1 << 16)], b[cut : cut + (1 << 16)]
             good = np.einsum("ij,ij->i", one[2][i], two[2][j]) >= cosine
@@ -320,17 +326,21 @@ def search_blocks(table: pa.Table, first: int, second: int, shard: int, cosine:
             common = (one[5][i][:, :, None] == two[5][j][:, None, :]) & (one[5][i][:, :, None] >= 0)
             lowest = np.where(common.any(2), one[5][i], np.iinfo(np.int64).max).min(1)
             counted = (lowest == shard) | (shard < 0)
-            links += np.bincount(i[counted], two[1][j[counted]], len(links)).astype(np.int64)
+            i, j = i[counted], j[counted]
+            links += np.bincount(i, two[1][j], len(links)).astype(np.int64)
+            partners += np.bincount(i, minlength=len(links))
             if not same:
-                links += np.bincount(j[counted] + shift, one[1][i[counted]], len(links)).astype(np.int64)
-    return pa.table({"class": classes, "links": links, "root": classes[order][root[place]]})
+                links += np.bincount(j + shift, one[1][i], len(links)).astype(np.int64)
+                partners += np.bincount(j + shift, minlength=len(links))
+    return pa.table({"class": classes, "links": links, "linked": partners, "root": classes[order][root[place]]})
 
 
-def _searched(placed: DataFrame, near: DataFrame, cosine: float) -> DataFrame:
-    """(class, links, root) from all tasks; a class is in many, each with a share of its links."""
-    rows = placed.join(near, "class")
+def _searched(placed: DataFrame, near: DataFrame | None, cosine: float) -> DataFrame:
+    """(class, links, linked, root) from all tasks; a class is in many, each with a share of its links."""
+    rows = placed if near is None else placed.join(near, "class")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = rows.select("class", "copies", "unit", "shards", "shard", "block", "near", other)
+    lists = [] if near is None else ["near"]
+    pairs = rows.select("class", "copies", "unit", "shards", "shard", "block", *lists, other)
     pairs = pairs.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
 
     def work(key: tuple, table: pa.Table) -> pa.Table:
@@ -338,37 +348,59 @@ def _searched(placed: DataFrame, near: DataFrame, cosine: float) -> DataFrame:
         return search_blocks(table, first, second, shard, cosine)
 
     grouped = pairs.groupBy("shard", "first", "second")
-    return materialize(grouped.applyInArrow(work, "class bigint, links bigint, root bigint"))
+    return materialize(grouped.applyInArrow(work, "class bigint, links bigint, linked bigint, root bigint"))
 
 
-def audit(classes: DataFrame, links: DataFrame, cosine: float, rows: int = AUDIT_ROWS) -> float:
-    """Found links of at most `rows` classes, as a share of those that brute force finds among all vectors."""
-    total = classes.count()
-    every = max(1, total // rows)
-    asked = classes.where(F.pmod(F.xxhash64("class"), F.lit(every)) == 0).orderBy(F.xxhash64("class")).limit(rows)
-    asked = [(r["class"], bytes(r["unit"])) for r in asked.collect()]
-    ids = np.array([a[0] for a in asked], np.int64)
+def _exact_links(classes: DataFrame, asked: list[tuple[int, bytes]], cosine: float) -> list[tuple[int, int]]:
+    """(class, number of classes that it links with) of those among `asked` that link, by brute force."""
+    by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    for length in {len(u) for _, u in asked}:
+        own = [a for a in asked if len(a[1]) == length]
+        q = np.frombuffer(b"".join(u for _, u in own)).reshape(len(own), -1)
+        by_length[length] = np.array([c for c, _ in own], np.int64), q, q.astype(np.float32)
 
     def work(batches):
         for b in batches:
-            found = np.zeros(len(asked), np.int64)
-            copies, classes_ = np.array(field(b, "copies")), np.array(field(b, "class"))
-            units = field(b, "unit").to_pylist()
-            for length in {len(u) for u in units}:
+            names, units = np.array(field(b, "class")), field(b, "unit").to_pylist()
+            for length in {len(u) for u in units} & set(by_length):
+                ids, q, single = by_length[length]
                 at = np.array([i for i, u in enumerate(units) if len(u) == length])
-                own = np.array([i for i, a in enumerate(asked) if len(a[1]) == length], np.int64)
-                if len(own):
-                    x = np.frombuffer(b"".join(units[i] for i in at)).reshape(len(at), -1)
-                    q = np.frombuffer(b"".join(asked[i][1] for i in own)).reshape(len(own), -1)
-                    near = (q @ x.T >= cosine) & (ids[own][:, None] != classes_[at])
-                    found[own] += near @ copies[at]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(found)], ["class", "exact"])
-
-    exact = map_batches(classes.select("class", "copies", "unit"), "class bigint, exact bigint", work)
-    exact = exact.groupBy("class").agg(F.sum("exact").alias("exact"))
+                x = np.frombuffer(b"".join(units[i] for i in at)).reshape(len(at), -1)
+                row, column = np.nonzero(single @ x.astype(np.float32).T >= cosine - 1e-4)
+                found = np.zeros(len(ids), np.int64)
+                for cut in range(0, len(row), 1 << 16):
+                    i, j = row[cut : cut + (1 << 16)], column[cut : cut + (1 << 16)]
+                    good = (np.einsum("ij,ij->i", q[i], x[j]) >= cosine) & (ids[i] != names[at[j]])
+                    found += np.bincount(i[good], minlength=len(ids))
+                some = np.flatnonzero(found)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(found[some])], ["class", "exact"])
+
+    exact = map_batches(classes.select("class", "unit"), "class bigint, exact bigint", work)
+    return [tuple(r) for r in exact.groupBy("class").agg(F.sum("exact")).collect()]
+
+
+def audit_sample(classes: DataFrame, cosine: float) -> list[tuple[int, int]]:
+    """(class, number of classes that it links with) of audited classes that have links.
+
+    Classes are taken in slices by hash, whatever the shards, until AUDIT_LINKED of them have links."""
+    slices = max(1, -(-classes.count() // AUDIT_ROWS))
+    linked: list[tuple[int, int]] = []
+    for part in range(min(slices, AUDIT_SLICES)):
+        asked = classes.where(F.pmod(F.xxhash64("class"), F.lit(slices)) == part).select("class", "unit").collect()
+        linked += _exact_links(classes, [(c, bytes(u)) for c, u in asked], cosine)
+        if len(linked) >= AUDIT_LINKED:
+            break
+    return linked
+
+
+def audit(sample: list[tuple[int, int]], links: DataFrame) -> float:
+    """The share of its linked classes that an audited class found, on average; 1 if none has any."""
+    if not sample:
+        return 1.0
+    exact = links.sparkSession.createDataFrame(sample, "class bigint, exact bigint")
     # Links are exact where found, so a class cannot have more than brute force counts.
-    both = exact.join(links, "class").agg(F.sum("exact").alias("exact"), F.sum("links").alias("found")).first()
-    return 1.0 if not both["exact"] else both["found"] / both["exact"]
+    share = F.coalesce("linked", F.lit(0)) / F.col("exact")
+    return exact.join(links, "class", "left").agg(F.avg(share)).first()[0]
 
 
 def link_vectors(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBES) -> DataFrame:
@@ -378,16 +410,24 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBE
         F.count(F.lit(1)).alias("copies"), F.any_value("unit").alias("unit"), F.min("vec_id").alias("vec_id")
     )
     classes = materialize(classes)
-    centres = fit_centres(classes)
+    centres, sample = fit_centres(classes), audit_sample(classes, cosine)
+    walked = True
     while True:
-        placed = materialize(_placed(classes, centres, probes))
-        found = _searched(placed, materialize(_adjacency(placed)), cosine)
-        links = materialize(found.groupBy("class").agg(F.sum("links").alias("links")))
-        if probes >= MOST_PROBES or audit(classes, links, cosine) >= RECALL:
+        if walked:
+            placed = materialize(_placed(classes, centres, probes, BLOCK_ROWS))
+            found = _searched(placed, materialize(_adjacency(placed)), cosine)
+        else:
+            found = _searched(materialize(_placed(classes, {}, 1, COMPARE_ROWS)), None, cosine)
+        links = materialize(found.groupBy("class").agg(F.sum("links").alias("links"), F.sum("linked").alias("linked")))
+        recall = audit(sample, links)
+        if recall >= RECALL:
             break
+        if not walked:
+            raise RuntimeError(f"comparing all pairs found {recall:.3f} of the audited links")
+        walked = probes < MOST_PROBES
         probes *= 2
     groups = connected_components(found.select("class", "root").distinct(), "class", "root").withColumnRenamed("node", "class")
-    named = classes.join(links, "class").join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    named = classes.join(links.drop("linked"), "class").join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
     named = materialize(named.select("class", "copies", "links", "vec_id", "component"))
     least = named.groupBy("component").agg(F.min("vec_id").alias("component_id"))
     named = named.join(least, "component").select("class", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id")
