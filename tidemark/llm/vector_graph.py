@@ -7,7 +7,8 @@ hash. In each block a graph is built by beam search and robust pruning, and the
 a class gets in its shards are united. Then every pair of blocks of a shard is one task: the members
 of either block search the other's graph from its medoid, the search grows over the graph as
 long as it finds vectors in range, and what it finds is verified with the cosine in double precision.
-So a group of near copies of any size is searched whole, in tasks of bounded size.
+So a group of near copies of any size is searched in tasks of bounded size. A search does not leave its
+shard: edges of the united lists to other blocks are not followed, and a pair without a common shard is not found.
 
 A task counts, for each class, the linked vectors, and sends a spanning forest of its links; pairs
 are never rows. A pair that shares several shards counts in the first of them.
