@@ -217,6 +217,25 @@ def test_urls_against_a_plain_judge(spark):
     assert url_filter.judge_urls(table.where("false"), RULES).count() == 0
 
 
+def test_all_links_of_a_page_and_empty_paths(spark):
+    bad, fine = "http://b.net/x", "http://fine.io/x"
+    cases = {  # html and whether it makes the page an alias of a blocked one
+        f'<link rel="canonical" href="{fine}"><link rel="canonical" href="{bad}">': True,
+        f'<meta http-equiv="refresh" content="9; url={fine}"><meta http-equiv="refresh" content="9; url={bad}">': True,
+        f'<link rel="shortlink canonical" href="{bad}">': True,
+        f"<link href={bad} rel=' me\ncanonical next'>": True,
+        f"<link href={fine} rel=canonical><link href={bad} rel=canonical>": True,
+        f'<link rel="not-canonical canonicals" href="{bad}">': False,
+        '<link rel="canonical" href="http://b.net">': True,
+    }
+    pages = [(i, f"http://own{i}.io/p", html) for i, html in enumerate(cases)]
+    pages += [(50, "http://Old.io", ""), (51, "http://moved.io/", f'<link rel="canonical" href="{bad}">'), (52, "http://moved.io", "")]
+    pages += [(53, "http://b.net", ""), (54, "http://b.net?q", ""), (55, "http://c.org", "")]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(spark.createDataFrame(pages, PAGE), RULES).collect()}
+    want = {i: "block" if hit else "allow" for i, hit in enumerate(cases.values())}
+    assert got == want | {50: "allow", 51: "block", 52: "block", 53: "block", 54: "allow", 55: "allow"}
+
+
 def test_redirect_tables_and_rule_limits(spark):
     table = spark.createDataFrame(URLS, PAGE)
     moved = spark.createDataFrame([("http://clean.io/c", "http://old.net/"), (None, "x")], "from_url string, to_url string")

@@ -3,7 +3,8 @@
 A rule (host, path, verdict) fits a URL on its host or a subdomain whose path starts with the rule's
 path; of several, the longest (host and path together, then by text) decides. Redirects (meta refresh, or a
 table of them) and canonical links join URLs into groups of aliases: connected components,
-computed by joins. A URL without a rule is blocked if a rule blocks any alias in its group. An
+computed by joins. Every canonical link and refresh of a page counts, and a URL with an empty path is
+the same node as with ``/`` (rules are matched with the path as written). A URL without a rule is blocked if a rule blocks any alias in its group. An
 explicit allow always wins for the URL that it fits, and shields no other alias.
 
 Rules are configuration and become one CASE expression, so their number is checked (MAX_RULES).
@@ -28,7 +29,7 @@ MAX_RULES = 500
 RESULTS = ("host", "path", "rule", "verdict")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_LINK = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical[\"'\s/>][^>]*>|<link\b[^>]*\brel\s*=\s*canonical>"
+_LINK = r"(?is)<link\b[^>]*\brel\s*=\s*(?:\"(?:[^\">]*\s)?canonical(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'|[\"']?canonical(?=[\"'\s/>]))[^>]*>"
 _HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 _META = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
 _GOTO = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
@@ -91,18 +92,20 @@ def _resolved(link: Column, base: Column) -> Column:
 
 
 def node_of(url: Column) -> Column:
-    """The URL as a node of the alias graph: host in lower case, no fragment."""
+    """The URL as a node of the alias graph: host in lower case, an empty path as /, no fragment."""
     bare = F.substring_index(url, "#", 1)
     head = F.regexp_extract(bare, r"^(?s).*?://[^/?#]*", 0)
-    return F.concat(F.translate(head, _UPPER, _LOWER), F.substr(bare, F.length(head) + F.lit(1)))
+    rest = F.substr(bare, F.length(head) + F.lit(1))
+    root = F.when((head != "") & ~F.startswith(rest, F.lit("/")), F.lit("/")).otherwise("")
+    return F.concat(F.translate(head, _UPPER, _LOWER), root, rest)
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
     """(from_url, to_url) for every canonical link and meta refresh of the pages."""
     html = F.col("html")
-    tags = F.array(
-        F.regexp_extract(F.regexp_extract(html, _LINK, 0), _HREF, 1),
-        F.regexp_extract(F.regexp_extract(html, _META, 0), _GOTO, 1),
+    tags = F.concat(
+        F.transform(F.regexp_extract_all(html, F.lit(_LINK), F.lit(0)), lambda tag: F.regexp_extract(tag, _HREF, 1)),
+        F.transform(F.regexp_extract_all(html, F.lit(_META), F.lit(0)), lambda tag: F.regexp_extract(tag, _GOTO, 1)),
     )
     has_tag = html.rlike(r"(?i)canonical|http-equiv")
     links = pages.where(has_tag).select("url", F.explode(tags).alias("link"))
