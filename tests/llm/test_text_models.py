@@ -177,3 +177,13 @@ def test_rules_agree_with_unseen_labels(spark):
     judged = [r for r in seen if not r["base_failed"]]
     assert 0.5 < sum(r["kept"] for r in rows) / len(rows) < 1
     assert sum(r["kept"] == truth[r["doc_id"]] for r in judged) >= 0.95 * len(judged)
+
+
+def test_quality_samples_are_whole_and_summed_in_slices(monkeypatch):
+    assert (nq.FIT_ROWS, nq.CALIBRATE_ROWS) == (4000, 3000)
+    rnd = np.random.default_rng(4)
+    columns, owner = rnd.integers(0, 500, 5000).astype(np.int32), np.sort(rnd.integers(0, 60, 5000)).astype(np.int32)
+    values, weights = rnd.random(5000).astype(np.float32), rnd.normal(size=500)
+    want = np.bincount(owner, weights[columns] * values, 60)
+    monkeypatch.setattr(nq, "SLICE", 999)
+    assert np.allclose(nq._margins(weights, columns, values, owner, 60), want, atol=1e-5)

@@ -26,7 +26,8 @@ from tidemark.llm.statistics import SYMBOLS, Scan
 
 BUCKETS = 1 << 15  # of each family of n-grams
 FAMILIES = 3
-FIT_ROWS, CALIBRATE_ROWS = 3000, 2000
+FIT_ROWS, CALIBRATE_ROWS = 4000, 3000
+SLICE = 1 << 20  # entries summed at once
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; percent of words
 KEEP_FROM = 0.5
 SCALE, ROUNDS, RATE, DECAY = 20.0, 120, 0.5, 1e-5
@@ -110,13 +111,23 @@ def _rows(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) // 4 for r in rows])
     y = np.array([r[2] for r in rows], float)
     columns = np.frombuffer(b"".join(r[0] for r in rows), np.int32)
-    values = np.frombuffer(b"".join(r[1] for r in rows), np.float32)
+    rows = [r[1] for r in rows]  # frees the bytes of the columns
+    values = np.frombuffer(b"".join(rows), np.float32)
     return columns, values, owner, y
 
 
 def _margins(weights: np.ndarray, columns, values, owner, rows: int) -> np.ndarray:
     """Sum of weight times value in each row, in single precision but for the sums."""
-    return np.bincount(owner, weights.astype(np.float32)[columns] * values, rows)
+    return _sums(owner, weights, columns, values, rows)
+
+
+def _sums(to: np.ndarray, factors: np.ndarray, of: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of factors[of] * values by `to`, in slices, as bincount widens its arguments."""
+    single, out = factors.astype(np.float32), np.zeros(size)
+    for lo in range(0, len(to), SLICE):
+        hi = lo + SLICE
+        out += np.bincount(to[lo:hi], single[of[lo:hi]] * values[lo:hi], size)
+    return out
 
 
 def _fit(columns, values, owner, y) -> tuple[np.ndarray, float]:
@@ -126,7 +137,7 @@ def _fit(columns, values, owner, y) -> tuple[np.ndarray, float]:
     for _ in range(ROUNDS):
         margin = bias + _margins(weights, columns, values, owner, len(y))
         error = (_sigmoid(margin) - y) / len(y)
-        slope = np.bincount(columns, error.astype(np.float32)[owner] * values, size) + DECAY * weights
+        slope = _sums(columns, error, owner, values, size) + DECAY * weights
         square += slope**2
         weights -= RATE * slope / np.sqrt(square)
         bias_square += error.sum() ** 2
