@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import boosted_quality, chat, files, mixture, ngram_quality, partenum, pieces, token_store, url_filter, vector_graph, warc
+from tidemark.llm import boosted_quality, centroids, chat, files, language_id, mixture, ngram_quality, partenum, phrases, pieces, token_store, url_filter, vector_graph, warc
 from tidemark.llm.labelled import HELD_OUT, fold
 from tidemark.llm.sql import STATEMENTS  # noqa: F401  registered beside the queries
 from tidemark.plans.materialize import materialize
@@ -120,10 +120,31 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every text, learnt from the languages outside one fold."""
+    documents = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = language_id.fold(F.col("doc_id")) == language_id.HELD_OUT
+    model = language_id.train(documents.where(~held_out))
+    found = language_id.identify(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The best 2000 collocations of each language, of phrases with 100 occurrences."""
+    return phrases.mine_phrases(_table(spark, folder, "documents"), least=100, top=2000)
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings in 8 clusters after 10 rounds in integers."""
+    found = centroids.cluster_vectors(_table(spark, folder, "embeddings"), clusters=8, rounds=10, seed=3)
+    return found.drop("centroid")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_store, op2_chat_format, op3_mixture, op4_vector_graph,
         op5_quality_classifier, op6_quality_rules, op7_warc, op8_ngram_join, op9_sentencepiece, op10_url_filter,
+        op11_language_id, op12_phrases, op13_centroids,
     )
 }

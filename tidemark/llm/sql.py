@@ -111,4 +111,78 @@ SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, least(d.doc_id, min(
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id
 """
 
-STATEMENTS = {"op2_chat_format": OP2, "op7_warc": OP7, "op8_ngram_join": OP8, "op10_url_filter": OP10}
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w)) AS n FROM worded GROUP BY lang
+), counts AS (
+  SELECT lang, size, p, count(*) AS f FROM (
+    SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: w[i:i + size - 1])) AS p
+    FROM worded CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE len(w) >= size
+  ) GROUP BY ALL
+), candidates AS (
+  SELECT * FROM counts WHERE size >= 2 AND f >= 100
+), inner_phrases AS (
+  SELECT c.lang, c.p[i.at:i.at + s.size - 1] AS p, max(c.f) AS longer
+  FROM candidates c, (SELECT unnest([2, 3, 4]) AS size) s, (SELECT unnest([1, 2, 3, 4]) AS at) i
+  WHERE s.size < c.size AND i.at + s.size - 1 <= c.size GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN inner_phrases i ON i.lang = c.lang AND i.p = c.p
+  WHERE i.longer IS NULL OR 100 * i.longer < 100 * c.f
+), cuts AS (
+  SELECT c.lang, c.p, c.f AS a, k.k, l.f AS l, r.f AS r, t.n,
+    (1000::HUGEINT * c.f * t.n) // (l.f::HUGEINT * r.f) AS score
+  FROM kept c JOIN (SELECT unnest([1, 2, 3, 4]) AS k) k ON k.k < c.size
+  JOIN counts l ON l.lang = c.lang AND l.p = c.p[1:k.k]
+  JOIN counts r ON r.lang = c.lang AND r.p = c.p[k.k + 1:c.size]
+  JOIN totals t ON t.lang = c.lang
+), scored AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER best AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM scored WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY rank <= 2000
+"""
+
+
+def _op13(clusters: int = 8, rounds: int = 10, components: int = 64) -> str:
+    """One step after the other; a centroid is a row (cluster, c)."""
+    nearest = """SELECT vec_id, v, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance, row FROM (
+      SELECT k.*, c.cluster, list_sum(list_transform(list_zip(k.v, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+      FROM kept k CROSS JOIN centroids{0} c) GROUP BY vec_id, v, row"""
+    steps = []
+    for i in range(rounds):
+        steps.append(f"nearest{i} AS MATERIALIZED ({nearest.format(i)})")
+        # A quotient cut towards zero is one too large where it is negative and not whole.
+        means = ", ".join(f"(sum(v[{j}]) // count(*) - CASE WHEN sum(v[{j}]) < 0 AND sum(v[{j}]) % count(*) <> 0 THEN 1 ELSE 0 END)::BIGINT" for j in range(1, components + 1))
+        steps.append(f"""centroids{i + 1} AS MATERIALIZED (
+  SELECT o.cluster, coalesce(m.c, o.c) AS c FROM centroids{i} o
+  LEFT JOIN (SELECT cluster, [{means}] AS c FROM nearest{i} GROUP BY cluster) m ON m.cluster = o.cluster)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v, row_number() OVER () AS row
+  FROM embeddings WHERE len(embedding) = {components} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {components}
+), centroids0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS INTEGER) AS cluster, v AS c
+  FROM kept QUALIFY cluster < {clusters}
+), {", ".join(steps)}, final AS ({nearest.format(rounds)})
+SELECT f.vec_id, f.cluster, f.distance, CAST(sum(f.distance) OVER (PARTITION BY f.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(f.distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM final f JOIN centroids{rounds} c ON c.cluster = f.cluster
+"""
+
+
+STATEMENTS = {
+    "op2_chat_format": OP2,
+    "op7_warc": OP7,
+    "op8_ngram_join": OP8,
+    "op10_url_filter": OP10,
+    "op12_phrases": OP12,
+    "op13_centroids": _op13(),
+}
