@@ -9,6 +9,7 @@ queries run on ``documents``. The adapters are in ``tidemark.sources.samples``.
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Callable
 from datetime import date
 from importlib import import_module
@@ -19,24 +20,29 @@ from pyspark.sql import types as T
 
 from tidemark.functions import calendar as cal
 from tidemark.functions.channels import channel_of
+from tidemark.functions.numbers import money_sum
 from tidemark.functions.text import sentence_count
-from tidemark.model import Settings
+from tidemark.model import DAILY, Settings
 from tidemark.operators import anomalies as an
 from tidemark.operators import facts as fa
-from tidemark.operators import kpis, narratives, numberguard, quality, report, sessions
+from tidemark.operators import firings, kpis, narratives, numberguard, quality, report, sessions
 from tidemark.plans.materialize import materialize, shared_folder
 from tidemark.plans.pipeline import Report, prepare
 from tidemark.sources import events as event_source
 from tidemark.sources import samples, tables
+from tidemark.sources.ranged import RangedTable
 
 SMOKE = "/root/testdata/sf0.001"
 PAID = ("paid_search",)
 EVENT_RANGE = (date(2024, 1, 8), date(2024, 1, 21))
+HALVES = ((date(2000, 1, 1), date(2024, 1, 14)), (date(2024, 1, 15), date(2099, 12, 31)))
+SHARD_RANGE = (date(2024, 1, 24), date(2024, 2, 6))
 ALL_EVENTS = (date(2000, 1, 1), date(2099, 12, 31))
 # The daily volumes of the sample orders are small, so the volume gate is open by default.
 OPEN = Settings(start_date=date(1995, 1, 8), end_date=date(2001, 7, 31), min_daily_volume=0)
 GATED = Settings(min_daily_volume=3)
 SIMULATED = "spend_is_simulated"  # of the tables, not of the published KPIs
+REWRITTEN = (date(1996, 3, 4), date(1996, 3, 17))
 FIRST_MONDAY, TEXT_WEEKS = date(1995, 1, 9), 300
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,7 +77,7 @@ def _weekly(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, folder: str) -> Report:
-    daily, spend = _daily(spark, folder), samples.orders_spend(spark, folder)
+    daily, spend = samples.orders_daily(spark, folder), samples.orders_spend(spark, folder)
     return prepare(samples.dirty_daily(daily), samples.dirty_spend(spend), OPEN)
 
 
@@ -120,6 +126,28 @@ def purchase_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(sessions.purchase_firings(samples.events(spark, folder)), 4)
 
 
+def _firing_index(spark: SparkSession, folder: str) -> tuple[DataFrame, RangedTable]:
+    """Events, and an index that has been filled by runs over parts of the days, the later part first."""
+    events, index = samples.events(spark, folder), RangedTable(spark, _place(spark, "firings"), "first_date")
+    for start, end in HALVES[::-1]:
+        firings.index_firings(index, events, start, end)
+    return events, index
+
+
+def first_firing_index(spark: SparkSession, folder: str) -> DataFrame:
+    index = _firing_index(spark, folder)[1]
+    return rounded(firings.first_firings(index).drop("first_date"), 4)
+
+
+def purchase_dedup_by_range(spark: SparkSession, folder: str) -> DataFrame:
+    """Each part of the days de-duplicated against the index; parts of a session are added up."""
+    events, index = _firing_index(spark, folder)
+    parts = [firings.firings_in_range(index, events, start, end) for start, end in HALVES]
+    sums = ["firings", "duplicates", "missing_revenue", "kept", "kept_revenue"]
+    both = parts[0].unionByName(parts[1]).groupBy("user_pseudo_id", "ga_session_id", "transaction_id")
+    return rounded(both.agg(*[(money_sum(F.col(c)) if c == "kept_revenue" else F.sum(c)).alias(c) for c in sums]), 4)
+
+
 def purchases_by_session(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(sessions.purchases_by_session(samples.events(spark, folder)), 4)
 
@@ -143,6 +171,17 @@ def rollup_from_files(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(sessions.daily_rollup(event_source.flatten_events(read)), 4)
 
 
+def event_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in a folder a day, and what reading two weeks of them finds, the days without a folder too."""
+    path = _place(spark, "shards")
+    event_source.write_event_shards(samples.nested_events(samples.events(spark, folder)), path)
+    shards = event_source.read_event_shards(spark, path, *SHARD_RANGE)
+    flat = event_source.flatten_events(shards.events)
+    counted = flat.groupBy("event_date").agg(F.count(F.lit(1)).alias("events"), F.count("transaction_id").alias("with_id"))
+    absent = spark.createDataFrame([(d, None, None) for d in shards.missing], "event_date date, events bigint, with_id bigint")
+    return counted.unionByName(absent)
+
+
 # --- tables, validation, profile ----------------------------------------------------------------
 
 
@@ -163,6 +202,11 @@ def validate_daily(spark: SparkSession, folder: str) -> DataFrame:
     return quality.validate_daily(dirty, OPEN)[0]
 
 
+def structure_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """What a table in text columns, one of them missing, has against the daily schema."""
+    return quality.structure_faults(samples.written_daily(samples.orders_daily(spark, folder)), DAILY)
+
+
 def quarantine_daily(spark: SparkSession, folder: str) -> DataFrame:
     dirty = samples.dirty_daily(_daily(spark, folder))
     return quality.validate_daily(dirty, OPEN)[1]
@@ -192,6 +236,11 @@ def profile_null_rates(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(quality.null_rates(samples.dirty_daily(samples.orders_daily(spark, folder))))
 
 
+def profile_report(spark: SparkSession, folder: str) -> DataFrame:
+    dirty = samples.dirty_daily(samples.orders_daily(spark, folder))
+    return rounded(quality.profile_report(dirty, OPEN.start_date, OPEN.end_date), 4)
+
+
 def profile_channel_shares(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(quality.channel_shares(_daily(spark, folder)), 4)
 
@@ -275,7 +324,15 @@ def weekly_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def sink_weekly(spark: SparkSession, folder: str) -> DataFrame:
     path = _place(spark, "weekly")
     tables.write_weekly(weekly_metrics(spark, folder), path)
-    return spark.read.parquet(path)
+    return tables.read_weekly(spark, path)
+
+
+def sink_range(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily table written whole, then two weeks of it again with a tenth of the revenue less."""
+    path, daily = _place(spark, "daily"), _daily(spark, folder)
+    tables.write_daily(daily, path)
+    tables.write_daily(daily.withColumn("revenue", F.round(F.col("revenue") * 0.9, 4)), path, *REWRITTEN)
+    return rounded(tables.read_daily(spark, path), 4)
 
 
 def weekly_shares(spark: SparkSession, folder: str) -> DataFrame:
@@ -507,16 +564,16 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         scan_events_range, extract_event_params, channel_mapping, session_funnel_flags,
-        first_touch_attribution, purchase_dedup, purchases_by_session, daily_channel_rollup,
-        weekly_from_events, scan_daily, scan_spend, validate_daily, quarantine_daily,
+        first_touch_attribution, purchase_dedup, first_firing_index, purchase_dedup_by_range, purchases_by_session, daily_channel_rollup,
+        weekly_from_events, scan_daily, scan_spend, validate_daily, structure_faults, quarantine_daily,
         quarantine_duplicates, quarantine_spend, quarantine_summary, profile_summary,
-        profile_null_rates, profile_channel_shares, weekly_spend, iso_week, iso_week_start,
+        profile_null_rates, profile_channel_shares, profile_report, weekly_spend, iso_week, iso_week_start,
         calendar, seasonal_context_day, seasonal_context_week, daily_with_spend, daily_metrics,
         weekly_sums, weekly_metrics, weekly_shares, complete_weeks, weekly_wow, daily_total,
         daily_dense, metric_series, baseline_stats, volume_gate, robust_z, daily_anomalies,
         weekly_rule_anomalies, anomalies, anomalies_by_week, top_anomalies, facts_totals,
         facts_funnel, facts_channels, top_movers, facts_anomalies, facts_data_quality, facts,
-        facts_hash, rollup_from_files, sink_quarantine, sink_weekly, sink_facts, extract_numbers, fact_numbers, number_guard, parse_narratives,
+        facts_hash, rollup_from_files, event_shards, sink_quarantine, sink_weekly, sink_range, sink_facts, extract_numbers, fact_numbers, number_guard, parse_narratives,
         validate_narratives, template_narrative, resolve_narrative, kpi_deltas,
         report_channel_table, report_paid_table, report_anomaly_table, report_kpi_tiles,
         series_revenue_trend, series_channel_mix, series_funnel, series_kpi_changes,
@@ -532,12 +589,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _optional(name: str):
-    """A module of the training-data part, or None if that part has been taken out."""
+    """A module of the training-data part, or None if that part, or a library that it needs, is not there."""
     try:
         return import_module(name)
-    except ModuleNotFoundError as error:
+    except ImportError as error:
         if not (error.name or "").startswith(("tidemark.llm", "corpus_pipeline")):
-            raise
+            warnings.warn(f"without {name}: {error}", stacklevel=2)
         return None
 
 

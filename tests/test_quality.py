@@ -79,10 +79,29 @@ def test_text_columns_are_coerced(spark):
     assert valid.count() == 2
 
 
-def test_text_that_is_no_number_raises(spark):
-    broken = daily(spark).withColumn("sessions", F.lit("many"))
-    with pytest.raises(Exception, match="sessions: not a bigint"):
-        q.validate_daily(broken, SETTINGS)[0].collect()
+def test_all_faults_of_a_table_are_raised_at_once(spark):
+    text = daily(spark).select(*[F.col(c).cast("string").alias(c) for c in DAILY.fieldNames()])
+    broken = text.drop("users").withColumns(
+        {"sessions": F.lit("many"), "date": F.when(F.col("channel") == "direct", "2020-13-01").otherwise(F.col("date")), "revenue": F.array("revenue")}
+    )
+    found = {r["column"]: tuple(r)[1:] for r in q.structure_faults(broken, DAILY).collect()}
+    assert found == {
+        "users": ("missing column", None, None), "revenue": ("array<string> is not a column type", None, None),
+        "sessions": ("not a bigint", 2, "many"), "date": ("not a date", 1, "2020-13-01"),
+    }
+    with pytest.raises(tables.StructureError) as raised:
+        q.validate_daily(broken, SETTINGS)
+    said = str(raised.value)
+    assert said.startswith("daily: date: not a date (1 cells, such as '2020-13-01'); sessions: not a bigint (2 cells, such as 'many')")
+    assert "users: missing column" in said and "revenue: array<string> is not a column type" in said
+
+
+def test_readable_text_has_no_faults(spark):
+    text = daily(spark, revenue=None).select(*[F.col(c).cast("string").alias(c) for c in DAILY.fieldNames()])
+    assert q.structure_faults(text, DAILY).collect() == []
+    assert q.structure_faults(text.limit(0), DAILY).collect() == []
+    valid, bad = q.validate_daily(text, SETTINGS)
+    assert (valid.count(), [r["reason"] for r in bad.collect()]) == (1, ["revenue: missing value"])
 
 
 def test_missing_or_nested_columns_raise_at_once(spark):
@@ -92,6 +111,46 @@ def test_missing_or_nested_columns_raise_at_once(spark):
         q.validate_daily(daily(spark).withColumn("users", F.array("users")), SETTINGS)
 
 
+@pytest.mark.parametrize("copies", [1, 2, 500])
+def test_rows_are_read_once_and_come_back_as_often_as_they_were(spark, tmp_path, copies):
+    """Equal copies, different rows of one key, and null keys, in extra columns too."""
+    many = daily(spark).unionByName(daily(spark).where("channel = 'direct'").withColumn("users", F.lit(7).cast("long")))
+    for _ in range(2):
+        many = many.unionByName(daily(spark).withColumn("date", F.lit(None).cast("date")).where("channel = 'direct'"))
+    equal = daily(spark).where("channel = 'direct'").withColumns({"date": F.lit(date(2020, 11, 5)), "_i": F.explode(F.sequence(F.lit(1), F.lit(copies)))})
+    many = many.unionByName(equal.drop("_i")).withColumns({"note": F.lit(None).cast("string"), "tags": F.array(F.lit("x"))})
+    many.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    flagged = q.flag_rows(q.conform(stored, DAILY), q.daily_rules(SETTINGS))
+    rows = flagged.collect()
+    assert flagged.columns == [*stored.columns, "reason"] and len(rows) == stored.count()
+    assert sorted(str(r[:-1]) for r in rows) == sorted(str(tuple(r)) for r in stored.collect())
+    twice = [r for r in rows if r["reason"] and "duplicate" in r["reason"]]
+    assert len(twice) == 4 + (copies if copies > 1 else 0)
+    text = flagged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert text.count("FileScan") == 1 and "Window" not in text
+
+
+def test_profile_report_reads_once_and_agrees(spark, tmp_path):
+    daily(spark, revenue=None, channel=None).unionByName(daily(spark)).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    report = q.profile_report(stored, date(2020, 11, 1), date(2020, 11, 3))
+    got = {(r["section"], r["name"], r["measure"]): r["value"] for r in report.collect()}
+    text = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert text.count("FileScan") == 1
+    summary = q.profile(stored, date(2020, 11, 1), date(2020, 11, 3)).first().asDict()
+    for name, value in summary.items():
+        number = (value - date(1970, 1, 1)).days if isinstance(value, date) else value
+        assert got["summary", name, "value"] == number, name
+    for r in q.null_rates(stored).collect():
+        assert got["nulls", r["column"], "null_rate"] == r["null_rate"]
+    for r in q.channel_shares(stored).collect():
+        for c in ("sessions", "revenue", "session_share", "revenue_share"):
+            assert got["channels", r["channel"] or "", c.replace("session_", "sessions_")] == r[c]
+    empty = {(r["section"], r["name"]): r["value"] for r in q.profile_report(stored.limit(0), date(2020, 11, 1), date(2020, 11, 3)).collect()}
+    assert empty["summary", "rows"] == 0 and empty["summary", "expected_days"] == 3 and empty["nulls", "users"] is None
+
+
 def spend(spark, **broken):
     first = (date(2020, 11, 2), "paid_search", 50.0, True)
     row = {"date": date(2020, 11, 3), "channel": "paid_search", "spend": 48.2, "is_simulated": True}

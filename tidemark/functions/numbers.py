@@ -82,3 +82,10 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     named = [column.alias(name) for name, column in columns.items()]
     return df.select("*", F.inline(F.array(F.struct(*named))))
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """The same rows as the output of a generator, which keeps all columns together: two readers then
+    have the same plan below it and share its shuffle, where pruning would give each its own."""
+    whole = computed_once(df.select(F.struct(*df.columns).alias("_row")), _kept=F.col("_row"))
+    return whole.select("_kept.*")

@@ -257,21 +257,22 @@ def anomaly_counts(anomalies: DataFrame) -> DataFrame:
     return anomalies.groupBy("week").agg(F.count(F.lit(1)).alias("anomaly_count"))
 
 
+def severity_order() -> list[Column]:
+    """The most severe findings first, weekly ones before days; ties resolve by content."""
+    return [
+        F.when(F.col("severity") == "high", 0).otherwise(1),
+        F.when(F.col("granularity") == "week", 0).otherwise(1),
+        -F.abs(F.coalesce(F.col("score"), F.lit(0.0))),
+        *[F.col(c) for c in ("date_or_week", "channel", "metric", "rule")],
+    ]
+
+
 def rank_anomalies(anomalies: DataFrame, limit: int | None) -> DataFrame:
     """The ``limit`` most severe findings of each week (None: all of them), numbered from 1.
 
     The number is filtered right above the ranking, so Spark keeps at most ``limit`` rows per
     week in each map task before the shuffle (WindowGroupLimit).
     """
-    order = [
-        F.when(F.col("severity") == "high", 0).otherwise(1),
-        F.when(F.col("granularity") == "week", 0).otherwise(1),
-        F.abs(F.coalesce(F.col("score"), F.lit(0.0))).desc(),
-        "date_or_week",
-        "channel",
-        "metric",
-        "rule",
-    ]
-    place = F.row_number().over(Window.partitionBy("week").orderBy(*order))
+    place = F.row_number().over(Window.partitionBy("week").orderBy(*severity_order()))
     ranked = anomalies.withColumn("place", place)
     return ranked if limit is None else ranked.where(F.col("place") <= limit)

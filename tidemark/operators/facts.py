@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from tidemark import fixed_values as fv
 from tidemark.functions.calendar import previous_week
+from tidemark.functions.jsontext import array_sql, struct_sql
 from tidemark.functions.numbers import percent, round_even, whole
 from tidemark.model import Settings
-from tidemark.operators.anomalies import anomaly_counts, rank_anomalies
+from tidemark.operators.anomalies import severity_order
 
 
 def fact_value(metric: str, value: str) -> Column:
@@ -92,6 +93,17 @@ def channel_facts(weekly: DataFrame) -> DataFrame:
     return _reported(weekly, totals=False).select("week", *_named(_channel_columns()))
 
 
+def _mover_columns() -> dict[str, Column]:
+    return {
+        "channel": F.col("channel"),
+        "metric": F.lit("revenue"),
+        "from": round_even("prev_revenue", 2),
+        "to": round_even("revenue", 2),
+        "change": round_even("revenue - prev_revenue", 2),
+        "change_pct": percent("wow_revenue"),
+    }
+
+
 def top_movers(weekly: DataFrame, limit: int | None) -> DataFrame:
     """The channels of each week whose revenue moved most (None: all of them), numbered from 1."""
     change = F.col("revenue") - F.col("prev_revenue")
@@ -100,39 +112,33 @@ def top_movers(weekly: DataFrame, limit: int | None) -> DataFrame:
     ranked = moved.withColumn("place", F.row_number().over(order))
     if limit is not None:
         ranked = ranked.where(F.col("place") <= limit)
-    return ranked.select(
-        "week",
-        "place",
-        "channel",
-        F.lit("revenue").alias("metric"),
-        round_even("prev_revenue", 2).alias("from"),
-        round_even("revenue", 2).alias("to"),
-        round_even("revenue - prev_revenue", 2).alias("change"),
-        percent("wow_revenue").alias("change_pct"),
-    )
+    return ranked.select("week", "place", *_named(_mover_columns()))
 
 
-def anomaly_facts(ranked: DataFrame) -> DataFrame:
-    """Display values of ranked findings; the change field depends on the rule."""
+def _finding_columns() -> dict[str, Column]:
+    """Display values of a finding; the change field depends on the rule."""
     rule, metric = F.col("rule"), F.col("metric")
-    return ranked.select(
-        "week",
-        "place",
-        "channel",
-        "metric",
-        F.col("date_or_week").alias("when"),
-        "rule",
-        fact_value("metric", "value").alias("value"),
-        fact_value("metric", "baseline").alias("baseline"),
-        F.when(metric.isin(*fv.PERCENT_METRICS), "%").alias("unit"),
-        "direction",
-        "severity",
-        "seasonal_context",
-        F.col("is_simulated").alias("simulated"),
-        F.when(rule == "robust_z", round_even("score", 1)).alias("z_score"),
-        F.when(rule == "revenue_share_shift", round_even("score", 1)).alias("change_pp"),
-        F.when(rule.isin("cost_increase", "conversion_drop"), percent("score")).alias("change_pct"),
-    )
+    return {
+        "channel": F.col("channel"),
+        "metric": metric,
+        "when": F.col("date_or_week"),
+        "rule": rule,
+        "value": fact_value("metric", "value"),
+        "baseline": fact_value("metric", "baseline"),
+        "unit": F.when(metric.isin(*fv.PERCENT_METRICS), "%"),
+        "direction": F.col("direction"),
+        "severity": F.col("severity"),
+        "seasonal_context": F.col("seasonal_context"),
+        "simulated": F.col("is_simulated"),
+        "z_score": F.when(rule == "robust_z", round_even("score", 1)),
+        "change_pp": F.when(rule == "revenue_share_shift", round_even("score", 1)),
+        "change_pct": F.when(rule.isin("cost_increase", "conversion_drop"), percent("score")),
+    }
+
+
+def anomaly_facts(ranked: DataFrame) -> DataFrame:
+    """Display values of ranked findings."""
+    return ranked.select("week", "place", *_named(_finding_columns()))
 
 
 def _quality(quarantined_rows: Column) -> dict[str, Column]:
@@ -164,13 +170,15 @@ def data_quality_facts(weekly: DataFrame, quarantined_rows: Column) -> DataFrame
     return rows.select("week", *_named(_quality(quarantined_rows)))
 
 
-def _listed(rows: DataFrame, name: str, order: list[Column]) -> DataFrame:
-    """One ordered array of structs per week; callers bound the rows of a week."""
-    shown = [c for c in rows.columns if c not in ("week", "place") and not c.startswith("_")]
-    body = F.struct(*shown)
-    keyed = F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)], body.alias("body"))
-    listed = rows.groupBy("week").agg(F.sort_array(F.collect_list(keyed)).alias("_list"))
-    return listed.select("week", F.transform("_list", lambda x: x["body"]).alias(name))
+def _entry(order: list[Column], columns: dict[str, Column]) -> Column:
+    """A struct that sorts by `order` and has the shown columns in ``body``."""
+    return F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)], F.struct(*_named(columns)).alias("body"))
+
+
+def _bodies(entries: str, limit: int | None = None) -> Column:
+    """The bodies of the first `limit` entries."""
+    ordered = F.sort_array(entries)
+    return F.transform(ordered if limit is None else F.slice(ordered, 1, limit), lambda e: e["body"])
 
 
 def weekly_facts(
@@ -178,15 +186,28 @@ def weekly_facts(
 ) -> DataFrame:
     """The nested facts document of every complete week, one row each.
 
-    The arrays are bounded: channels by the fixed channel list that validation enforces,
-    movers and findings by their limits.
+    Totals, channels and findings come as rows of one union and meet in one grouping by week; there is no join.
+    Lists are sorted and cut inside the row. They are bounded: channels and movers by the
+    channel list that validation enforces, findings by channels, metrics and the days of a week.
     """
-    totals = _reported(weekly, totals=True)
-    channels = _reported(weekly, totals=False).select(
-        "week", F.col("revenue").alias("_revenue"), *_named(_channel_columns())
+    is_total, change = F.col("is_total"), F.col("revenue") - F.col("prev_revenue")
+    of_channel = F.when(~is_total, _entry([-F.col("revenue"), F.col("channel")], _channel_columns()))
+    moved = ~is_total & F.col("prev_revenue").isNotNull()
+    of_weeks = weekly.where("is_complete").select(
+        "week",
+        F.when(is_total, F.struct(*[c for c in weekly.columns if c != "week"])).alias("_total"),
+        F.when(~is_total & (F.col("channel") == fv.UNKNOWN), F.col("session_share")).alias("_unknown_share"),
+        of_channel.alias("channels"),
+        F.when(moved, _entry([-F.abs(change), F.col("channel")], _mover_columns())).alias("top_movers"),
     )
-    movers = top_movers(weekly, settings.top_movers)
-    findings = anomaly_facts(rank_anomalies(anomalies, settings.max_anomalies))
+    findings = anomalies.select("week", _entry(severity_order(), _finding_columns()).alias("anomalies"))
+    lists = ["channels", "top_movers", "anomalies"]
+    one_a_week = of_weeks.unionByName(findings, allowMissingColumns=True).groupBy("week").agg(
+        F.any_value("_total", ignoreNulls=F.lit(True)).alias("_total"),
+        F.max("_unknown_share").alias("_unknown_share"),
+        *[F.collect_list(name).alias(f"_{name}") for name in lists],
+    )
+    rows = one_a_week.where(F.col("_total").isNotNull()).select("week", "_total.*", *[c for c in one_a_week.columns if c not in ("week", "_total")])
     week, has_previous = F.col("week"), F.col("prev_sessions").isNotNull()
     document = {
         "schema_version": F.lit(fv.FACTS_VERSION),
@@ -203,25 +224,12 @@ def weekly_facts(
             F.lit(fv.FUNNEL_NOTE).alias("note"),
         ),
         "data_quality": F.struct(*_named(_quality(quarantined_rows))),
+        "channels": _bodies("_channels"),
+        "top_movers": _bodies("_top_movers", settings.top_movers),
+        "anomalies": _bodies("_anomalies", settings.max_anomalies),
+        "anomaly_count": F.size("_anomalies").cast("bigint"),
     }
-    base = totals.join(_unknown_share(weekly), "week", "left").select(
-        "week", *_named(document)
-    )
-    by_revenue = [-F.col("_revenue"), F.col("channel")]
-    parts = [
-        _listed(channels, "channels", by_revenue),
-        _listed(movers, "top_movers", [F.col("place")]),
-        _listed(findings, "anomalies", [F.col("place")]),
-        anomaly_counts(anomalies),
-    ]
-    for part in parts:
-        base = base.join(part, "week", "left")
-    return base.withColumns(
-        {
-            **{name: F.coalesce(name, F.array()) for name in ("channels", "top_movers", "anomalies")},
-            "anomaly_count": F.coalesce("anomaly_count", F.lit(0)),
-        }
-    )
+    return rows.select("week", *_named(document))
 
 
 def facts_of_week(facts: DataFrame, week: str) -> DataFrame:
@@ -266,26 +274,6 @@ def document_leaves(facts: DataFrame) -> DataFrame:
     return each.where(F.col("number").isNotNull() | F.col("text").isNotNull())
 
 
-def _by_name(kind: T.DataType, value: Column) -> Column:
-    """The same value with the members of all structs in the order of their names."""
-    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
-        return F.transform(value, lambda x: _by_name(kind.elementType, x))
-    if not isinstance(kind, T.StructType):
-        return value
-    members = [_by_name(f.dataType, value[f.name]).alias(f.name) for f in sorted(kind, key=lambda f: f.name)]
-    return F.when(value.isNotNull(), F.struct(*members))
-
-
-def _json(kind: T.StructType, value: Column, without: Sequence[str] = ()) -> Column:
-    """JSON text of a struct; members without a value are null, those in `without` are left out."""
-    members = T.StructType([f for f in kind if f.name not in without])
-    return F.to_json(_by_name(members, value), {"ignoreNullFields": "false"})
-
-
-def _json_list(texts: Column) -> Column:
-    return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
-
-
 # The member that holds the change of a finding, by rule; other rules have none.
 CHANGE_MEMBER = {
     "robust_z": "z_score",
@@ -296,32 +284,28 @@ CHANGE_MEMBER = {
 
 
 def with_facts_hash(facts: DataFrame) -> DataFrame:
-    """Add the document as JSON, names sorted at every level, and its SHA-256.
+    """Add the document as canonical JSON (``functions.jsontext``) and its SHA-256.
 
     Only paid channels have ``simulated_spend``, and a finding has the change member of its rule
-    only; every other member is there, if need be as null.
+    only; every other member is there, if need be as null. The same facts give the same bytes in every run
+    and in every writer that follows the same rules.
     """
-    schema = facts.schema
-    channel, finding = schema["channels"].dataType.elementType, schema["anomalies"].dataType.elementType
-
-    def channel_text(c: Column) -> Column:
-        return F.when(c["is_paid"], _json(channel, c)).otherwise(_json(channel, c, ["simulated_spend"]))
-
-    def finding_text(a: Column) -> Column:
-        changes = set(CHANGE_MEMBER.values())
-        text = _json(finding, a, changes)
-        for rule, member in CHANGE_MEMBER.items():
-            text = F.when(a["rule"] == rule, _json(finding, a, changes - {member})).otherwise(text)
-        return text
-
-    plain = T.StructType([f for f in schema if f.name not in ("week", "channels", "anomalies", "anomaly_count")])
-    # These three come first by name.
-    text = F.concat(
-        F.lit('{"anomalies":'), _json_list(F.transform("anomalies", finding_text)),
-        F.lit(',"anomaly_count":'), F.col("anomaly_count").cast("string"),
-        F.lit(',"channels":'), _json_list(F.transform("channels", channel_text)),
-        F.lit(","), F.substr(_json(plain, F.struct(*plain.names)), F.lit(2)),
-    )
-    return facts.withColumn("facts_json", text).withColumn(
-        "facts_hash", F.sha2(F.col("facts_json"), 256)
-    )
+    document = T.StructType([f for f in facts.schema if f.name != "week"])
+    channels, findings = document["channels"].dataType, document["anomalies"].dataType
+    changes = set(CHANGE_MEMBER.values())
+
+    def channel(item: str) -> str:
+        paid, other = (struct_sql(channels.elementType, item, without, depth=1) for without in ((), ("simulated_spend",)))
+        return f"CASE WHEN {item}.is_paid THEN {paid} ELSE {other} END"
+
+    def finding(item: str) -> str:
+        by_rule = [
+            f"WHEN '{rule}' THEN {struct_sql(findings.elementType, item, changes - {member}, depth=1)}"
+            for rule, member in CHANGE_MEMBER.items()
+        ]
+        return f"CASE {item}.rule {' '.join(by_rule)} ELSE {struct_sql(findings.elementType, item, changes, depth=1)} END"
+
+    own = {"channels": array_sql(channels, "_d.channels", channel), "anomalies": array_sql(findings, "_d.anomalies", finding)}
+    text = F.expr(struct_sql(document, "_d", own=own))
+    whole_document = facts.withColumn("_d", F.struct(*document.names))
+    return whole_document.withColumn("facts_json", text).drop("_d").withColumn("facts_hash", F.sha2(F.col("facts_json"), 256))

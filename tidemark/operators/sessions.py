@@ -4,7 +4,9 @@ Shuffle plan of ``daily_rollup``: the events are read once and go to (user, sess
 behind a partial hash aggregation; a NULL id stands for everything but purchases with a usable id. Both
 the sessions and the first firings of ids are made from those rows, whose shuffle they
 share. A placeholder id shared by a third of all rows is one row per map task on its way to its
-minimum. The two meet on (user, session), where both sides are unique.
+minimum. The two meet as rows of one grouping by (user, session). Users are counted after that, from a
+row for each (user, day, channel) of a task; shuffling by the user alone would spare that step, and would put a
+user with a third of all sessions into one task.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions.channels import channel_code, channel_name, channel_of
-from tidemark.functions.numbers import computed_once, money_sum
+from tidemark.functions.numbers import money_sum, shared
 
 SESSION = ["user_pseudo_id", "ga_session_id"]
 
@@ -127,7 +129,7 @@ def purchase_firings(events: DataFrame) -> DataFrame:
 
     Events without a usable id share one row per session, and all of them count.
     """
-    groups = _shared(by_transaction(purchase_events(events)))
+    groups = shared(by_transaction(purchase_events(events)))
     firsts = first_firings(groups).select(
         F.col("transaction_id").alias("_id"),
         *[F.col(c).alias(f"_{c}") for c in SESSION],
@@ -154,13 +156,6 @@ def purchase_firings(events: DataFrame) -> DataFrame:
     )
 
 
-def _shared(df: DataFrame) -> DataFrame:
-    """The same rows as the output of a generator, which keeps all columns together: two readers then
-    have the same plan below it and share its shuffle, where pruning would give each its own."""
-    whole = computed_once(df.select(F.struct(*df.columns).alias("_row")), _kept=F.col("_row"))
-    return whole.select("_kept.*")
-
-
 def session_totals(transactions: DataFrame, measures: list[Column] | None = None) -> DataFrame:
     """Per session the given measures and what its rows of ``by_transaction`` add up to."""
     keyed = F.col("transaction_id").isNotNull()
@@ -173,37 +168,37 @@ def session_totals(transactions: DataFrame, measures: list[Column] | None = None
     )
 
 
-def _first_firings_by_session(transactions: DataFrame) -> DataFrame:
-    revenue = F.col("first_revenue")
-    return first_firings(transactions).groupBy(*SESSION).agg(
-        F.count(F.lit(1)).alias("_firsts"),
-        F.count(revenue).alias("_first_purchases"),
-        money_sum(revenue).alias("_first_revenue"),
-    )
-
+def _with_purchases(transactions: DataFrame, measures: list[Column] | None = None) -> DataFrame:
+    """``session_totals`` with purchases, revenue, purchases_missing_revenue and duplicate_purchase_events.
 
-def _with_purchases(totals: DataFrame, firsts: DataFrame, null_safe: bool) -> DataFrame:
-    """Add purchases, revenue, purchases_missing_revenue, duplicate_purchase_events."""
-    left, right = totals.alias("s"), firsts.alias("f")
-    pairs = [(F.col(f"s.{c}"), F.col(f"f.{c}")) for c in SESSION]
-    matches = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
-    joined = left.join(right, matches[0] & matches[1], "left")
+    A first firing is one more row of its session, so one grouping by session does for both and nothing is
+    joined. Rows of one kind have NULL where the other kind has its measures.
+    """
+    revenue = F.col("first_revenue")
+    firsts = first_firings(transactions).select(*SESSION, F.lit(1).cast("bigint").alias("_first"), revenue.alias("_first_revenue"))
+    both = transactions.unionByName(firsts, allowMissingColumns=True)
+    first_measures = [
+        F.count("_first").alias("_firsts"),
+        F.count("_first_revenue").alias("_first_purchases"),
+        money_sum(F.col("_first_revenue")).alias("_first_revenue"),
+    ]
+    totals = session_totals(both, [*(measures or []), *first_measures])
 
     def or_zero(column: str) -> Column:
         return F.coalesce(F.col(column), F.lit(0))
 
     # NULL + NULL stays NULL: a session without any kept revenue has no revenue.
-    revenue = F.when(
+    kept = F.when(
         F.col("open_revenue").isNotNull() | F.col("_first_revenue").isNotNull(),
         or_zero("open_revenue") + or_zero("_first_revenue"),
     )
     purchase = {
-        "purchases": F.col("open_purchases") + or_zero("_first_purchases"),
-        "revenue": revenue,
+        "purchases": F.col("open_purchases") + F.col("_first_purchases"),
+        "revenue": kept,
         "purchases_missing_revenue": F.col("missing_revenue"),
-        "duplicate_purchase_events": F.col("keyed_firings") - or_zero("_firsts"),
+        "duplicate_purchase_events": F.col("keyed_firings") - F.col("_firsts"),
     }
-    return joined.select("s.*", *[value.alias(name) for name, value in purchase.items()])
+    return totals.withColumns(purchase)
 
 
 PURCHASE_MEASURES = [
@@ -216,22 +211,20 @@ PURCHASE_MEASURES = [
 
 def purchases_by_session(events: DataFrame) -> DataFrame:
     """Kept purchases, their revenue and the two data-quality counts of each session."""
-    transactions = _shared(by_transaction(purchase_events(events)))
-    joined = _with_purchases(session_totals(transactions), _first_firings_by_session(transactions), null_safe=True)
-    return joined.select(*SESSION, *PURCHASE_MEASURES)
+    transactions = shared(by_transaction(purchase_events(events)))
+    return _with_purchases(transactions).select(*SESSION, *PURCHASE_MEASURES)
 
 
 def daily_rollup(events: DataFrame) -> DataFrame:
     """Daily channel table: every session measure on the session's first day and channel."""
-    transactions = _shared(by_transaction(events, _session_measures()))
+    transactions = shared(by_transaction(events, _session_measures()))
     measures = [
         F.min_by("session_date", "first_time").alias("session_date"),
         F.min("_touch").alias("_touch"),
         *[F.bool_or(f"has_{event}").alias(f"has_{event}") for event in fv.FUNNEL_EVENTS],
     ]
-    sessions = _with_channel(session_totals(transactions, measures))
-    joined = _with_purchases(sessions, _first_firings_by_session(transactions), null_safe=False)
-    # A session without a full key has no purchases of its own: NULL keys never match.
+    sessions = _with_channel(_with_purchases(transactions, measures))
+    # A session without a full key has no purchases of its own.
     known = F.col(SESSION[0]).isNotNull() & F.col(SESSION[1]).isNotNull()
 
     def total(column: str) -> Column:
@@ -239,7 +232,7 @@ def daily_rollup(events: DataFrame) -> DataFrame:
         return F.coalesce(add(F.when(known, F.col(column))), F.lit(zero)).alias(column)
 
     funnel = [F.count_if(f"has_{event}").alias(f"{event}_sessions") for event in fv.FUNNEL_EVENTS]
-    return joined.groupBy(F.col("session_date").alias("date"), "channel").agg(
+    return sessions.groupBy(F.col("session_date").alias("date"), "channel").agg(
         F.count(F.lit(1)).alias("sessions"),
         F.count_distinct(SESSION[0]).alias("users"),
         *funnel,

@@ -66,14 +66,13 @@ def prepare(
 ) -> Report:
     """Validate both tables and derive the KPIs.
 
-    ``daily`` and ``spend`` should be stored tables, as ``read_daily`` and ``read_spend`` give them: they have
-    several readers. Flagging them again for each is cheap; the weekly table is stored once.
-    Quarantine comes before the weeks, so a day whose rows all failed makes its week partial.
+    Each table is read once, to be flagged. The flagged rows and the weekly table have several readers, so they
+    are stored. Quarantine comes before the weeks, so a day whose rows all failed makes its week partial.
     """
     scratch = scratch or Scratch(daily.sparkSession)
-    flagged_daily = quality.flag_rows(quality.conform(daily, quality.DAILY), quality.daily_rules(settings))
-    flagged_spend = quality.flag_rows(
-        quality.conform(spend, quality.spend_schema(settings)), quality.spend_rules(settings)
+    flagged_daily = scratch.keep(quality.flag_rows(quality.conform(daily, quality.DAILY, "daily"), quality.daily_rules(settings)))
+    flagged_spend = scratch.keep(
+        quality.flag_rows(quality.conform(spend, quality.spend_schema(settings), "spend"), quality.spend_rules(settings))
     )
     valid_daily, _ = quality.split(flagged_daily)
     valid_spend, _ = quality.split(flagged_spend)

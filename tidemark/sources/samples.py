@@ -194,6 +194,18 @@ def dirty_daily(daily: DataFrame) -> DataFrame:
     ).drop("_copy")
 
 
+def written_daily(daily: DataFrame) -> DataFrame:
+    """The daily table as text, as a spreadsheet gives it, with cells planted that are no date or number."""
+    n = F.unix_date("date")
+    unreadable = {
+        "date": F.when(n % 211 == 0, F.concat(F.col("date").cast("string"), F.lit("?"))),
+        "sessions": F.when(n % 97 == 0, "n/a"),
+        "purchases": F.when(n % 103 == 0, F.concat(F.col("purchases").cast("string"), F.lit(" pcs"))),
+        "revenue": F.when(n % 109 == 0, F.concat(F.lit("about "), F.unix_date("date"))),
+    }
+    return daily.select(*[F.coalesce(unreadable.get(c, F.lit(None)), F.col(c).cast("string")).alias(c) for c in daily.columns if c != "users"])
+
+
 def dirty_spend(spend: DataFrame) -> DataFrame:
     n = F.unix_date("date")
     copies = F.when(n % 107 == 0, 2).otherwise(1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.numbers import null_if_nan
 from tidemark.model import DAILY
+from tidemark.sources.ranged import RangedTable
 
 
 class StructureError(ValueError):
@@ -29,29 +31,39 @@ def without_nan(df: DataFrame) -> DataFrame:
     return df.withColumns({c: null_if_nan(F.col(c)) for c in floats}) if floats else df
 
 
+def _read(spark: SparkSession, path: str, day: str = "date") -> DataFrame:
+    """A table written here, or a plain Parquet folder from elsewhere."""
+    ranged = RangedTable(spark, path, day)
+    return ranged.read() if ranged.exists() else spark.read.parquet(path)
+
+
+def _write(df: DataFrame, path: str, order: Iterable[str], start: date | None, end: date | None, day: str = "date") -> None:
+    """Without bounds the rows become the whole table."""
+    RangedTable(df.sparkSession, path, day).replace(df, start or date.min, end or date.max, tuple(order))
+
+
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    df = require_columns(spark.read.parquet(path), DAILY.fieldNames())
+    df = require_columns(_read(spark, path), DAILY.fieldNames())
     return without_nan(df.withColumn("date", F.to_date("date")))
 
 
-def write_daily(df: DataFrame, path: str) -> None:
-    """Files that each hold a span of dates, so a date filter skips the others by statistics.
+def write_daily(df: DataFrame, path: str, start: date | None = None, end: date | None = None) -> None:
+    """Replace the days from start to end (by default all) and leave the others (see ``RangedTable``).
 
-    Folders per date would leave one tiny file per day; adaptive execution picks the number of
-    files by size instead.
+    Files hold spans of dates. Folders per date would leave one tiny file per day; adaptive execution picks the
+    number of files by size instead.
     """
     rows = require_columns(df, DAILY.fieldNames()).select(*DAILY.fieldNames())
-    clustered = rows.repartitionByRange("date").sortWithinPartitions("date", "channel")
-    clustered.write.mode("overwrite").parquet(path)
+    _write(rows, path, ["channel"], start, end)
 
 
 def read_spend(spark: SparkSession, path: str) -> DataFrame:
-    df = require_columns(spark.read.parquet(path), ["date", "channel", "spend"])
+    df = require_columns(_read(spark, path), ["date", "channel", "spend"])
     return without_nan(df.withColumn("date", F.to_date("date")))
 
 
-def write_spend(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_spend(df: DataFrame, path: str, start: date | None = None, end: date | None = None) -> None:
+    _write(df, path, ["channel"], start, end)
 
 
 def write_quarantine(quarantined: DataFrame, name: str, directory: str) -> str:
@@ -73,7 +85,10 @@ def read_facts(spark: SparkSession, directory: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).json(directory).select(*schema.names)
 
 
-def write_weekly(weekly: DataFrame, path: str) -> None:
-    """The weekly table in files that each hold a span of weeks, in week and channel order."""
-    clustered = weekly.repartitionByRange("week_start").sortWithinPartitions("week_start", "channel")
-    clustered.write.mode("overwrite").parquet(path)
+def write_weekly(weekly: DataFrame, path: str, start: date | None = None, end: date | None = None) -> None:
+    """Replace the weeks that begin from start to end (by default all), in week and channel order."""
+    _write(weekly, path, ["channel"], start, end, day="week_start")
+
+
+def read_weekly(spark: SparkSession, path: str) -> DataFrame:
+    return _read(spark, path, "week_start")
