@@ -11,8 +11,8 @@ edges that begin with it weigh together (the flow out of its node, and what ends
    false hit costs an edge and changes no count.
 2. Tasks cut texts into edges, add up equal ones, and deal them by their first two words. A prefix that
    begins more than 1 / HOT_SHARE of all edges (so there are few of them) is dealt by one word more, up
-   to the whole edge; groups stay small however common a pair or a passage is. Edges travel as columns of many
-   edges a row.
+   to the whole edge; groups stay small however common a pair or a passage is. Edges travel packed, many in
+   a row, with the fingerprints of their words once for the row.
 3. Each group of edges is sorted once; runs of equal prefixes give all counts. Where the prefix is hot,
    groups hold parts of the sum and hand on all of them, else they hand on what reaches `least`.
 4. A unary path (a node whose whole weight flows through one edge) is compacted into the longer phrase: a
@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -151,8 +152,26 @@ def deal(edges: np.ndarray, hot: np.ndarray, groups: int) -> np.ndarray:
     return (mix(key) % np.uint64(groups)).astype(np.int64)
 
 
+def pack(edges: np.ndarray, n: np.ndarray) -> bytes:
+    """Edges and their numbers with their words in a table of their own, compressed."""
+    words, at = np.unique(edges, return_inverse=True)
+    at = at.reshape(edges.shape).T.astype("<u2" if len(words) <= 1 << 16 else "<u4")
+    n = n.astype("<u4" if n.max() < 1 << 32 else "<u8")
+    head = np.array([len(edges), len(words), at.itemsize, n.itemsize], "<u8")
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in (head, words.astype("<u8"), np.ascontiguousarray(at), n)))
+
+
+def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    rows, count, width, size = np.frombuffer(raw, "<u8", 4).tolist()
+    words = np.frombuffer(raw, "<u8", count, 32)
+    at = np.frombuffer(raw, f"<u{width}", rows * LONGEST, 32 + 8 * count)
+    n = np.frombuffer(raw, f"<u{size}", rows, 32 + 8 * count + width * rows * LONGEST)
+    return words[at.reshape(LONGEST, rows).T], n.astype(np.int64)
+
+
 def _added_up(edges: np.ndarray, hot: np.ndarray, groups: int) -> pa.RecordBatch:
-    """Equal edges as one, in rows of lists, a row for each group."""
+    """Equal edges as one, a packed row for each group."""
     group = deal(edges, hot, groups)
     # By group, then by a hash of the edge: equal edges become neighbours.
     key = _prefix_prints(edges, LONGEST)
@@ -163,12 +182,8 @@ def _added_up(edges: np.ndarray, hot: np.ndarray, groups: int) -> pa.RecordBatch
     first = np.flatnonzero(new)
     n, edges, group = np.diff(first, append=len(new)), edges[first], group[first]
     begin = np.flatnonzero(np.diff(group, prepend=-1))
-    offsets = pa.array(np.append(begin, len(group)).astype(np.int32))
-    columns = [pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(c))) for c in (*edges.T.view(np.int64), n)]
-    return pa.RecordBatch.from_arrays([pa.array(group[begin]), *columns], ["group", *_NAMES, "n"])
-
-
-_NAMES = [f"w{j}" for j in range(1, LONGEST + 1)]
+    packed = [pack(edges[lo:hi], n[lo:hi]) for lo, hi in zip(begin, [*begin[1:], len(group)], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(group[begin]), pa.array(packed, pa.binary())], ["group", "edges"])
 
 
 def _edge_rows(documents: DataFrame, bits: np.ndarray, hot: np.ndarray, groups: int) -> DataFrame:
@@ -193,8 +208,7 @@ def _edge_rows(documents: DataFrame, bits: np.ndarray, hot: np.ndarray, groups:
         if size:
             yield _added_up(np.concatenate(parts), hot, groups)
 
-    schema = "group bigint, " + ", ".join(f"{c} array<bigint>" for c in (*_NAMES, "n"))
-    return map_batches(documents, schema, work)
+    return map_batches(documents, "group bigint, edges binary", work)
 
 
 def prefix_counts(edges: np.ndarray, n: np.ndarray, hot: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -225,8 +239,8 @@ def _phrase_counts(rows: DataFrame, hot: np.ndarray, least: int) -> DataFrame:
     """(words, a): all phrases of two and more words that occur `least` times."""
 
     def work(table: pa.Table) -> pa.Table:
-        columns = [np.concatenate([np.array(c.flatten(), np.int64) for c in table[name].chunks]) for name in (*_NAMES, "n")]
-        found, n = prefix_counts(np.column_stack(columns[:-1]).view(np.uint64), columns[-1], hot, least)
+        edges, n = (np.concatenate(x) for x in zip(*map(unpack, table["edges"].to_pylist()), strict=True))
+        found, n = prefix_counts(edges, n, hot, least)
         size = np.count_nonzero(found, axis=1)
         offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
         words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[found != 0].view(np.int64)))
