@@ -97,13 +97,12 @@ def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    """All texts encoded, and whether decoding the stored ids gives the text back."""
+    """All texts encoded and stored, and whether decoding the stored ids gives the text back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    documents = _table(spark, folder, "documents").select("doc_id", "text")
-    encoded = pieces.encode_documents(documents, model)
     shown = F.replace(F.coalesce("text", F.lit("")), F.lit(pieces.MARK), F.lit(" "))
-    hashed = encoded.select("doc_id", "ids", "n_ids", "ids_crc32", F.xxhash64(shown).alias("_shown"))
-    back = pieces.decode_documents(hashed.withColumn("_ids", F.col("ids")), model, ids="_ids", text="_text")
+    documents = _table(spark, folder, "documents").select("doc_id", "text", F.xxhash64(shown).alias("_shown"))
+    stored = materialize(pieces.encode_documents(documents, model, drop_text=True))
+    back = pieces.decode_documents(stored.withColumn("_ids", F.col("ids")), model, ids="_ids", text="_text")
     return back.select("doc_id", "ids", "n_ids", "ids_crc32", (F.xxhash64("_text") == F.col("_shown")).alias("round_trips"))
 
 
