@@ -30,11 +30,12 @@ def running_totals(df: DataFrame, order: list[str], values: list[str], group: st
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = batch.column(batch.schema.get_field_index(group)).to_pylist() if group else None
-            cuts = [i for i in range(1, batch.num_rows) if keys[i] != keys[i - 1]] if keys else []
+            edges, keys = [batch.num_rows], [None]
+            if group:
+                runs = pc.run_end_encode(batch.column(batch.schema.get_field_index(group)))
+                edges, keys = runs.run_ends.to_pylist(), runs.values.to_pylist()
             columns = {v: [] for v in values}
-            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
-                key = keys[lo] if keys else None
+            for lo, hi, key in zip([0, *edges], edges, keys, strict=False):
                 if key != last:
                     last, held = key, dict.fromkeys(values, 0)
                 for v in values:
