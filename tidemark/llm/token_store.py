@@ -159,12 +159,19 @@ def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int,
                 name = f"shard-{shard:06d}.tok"
                 writer = _Writer(folder, name, digest, codec.width)
             ids = codec.batch(field(b, "text"), end_id)
-            writer.add(field(b, "doc_id"), ids, [compressor.compress(x) for x in ids])
+            frames, doc_ids, copies = [compressor.compress(x) for x in ids], field(b, "doc_id"), np.array(field(b, "_copies"))
+            if (copies > 1).any():
+                for i, n in enumerate(copies.tolist()):
+                    for lo in range(0, n, 1000):  # equal documents, a part at a time
+                        k = min(1000, n - lo)
+                        writer.add(pa.array([doc_ids[i].as_py()] * k, pa.int64()), [ids[i]] * k, [frames[i]] * k)
+            else:
+                writer.add(doc_ids, ids, frames)
         if writer:
             yield writer.close(shard)
 
     schema = "shard int, path string, documents bigint, tokens bigint, bytes bigint"
-    manifest = materialize(map_batches(ranged.select("doc_id", "text", "_shard"), schema, work))
+    manifest = materialize(map_batches(ranged.select("doc_id", "text", "_shard", "_copies"), schema, work))
     # One row a shard of SHARD_BYTES, so this window is a millionth of the input and less.
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     manifest = manifest.withColumn("first_token", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))

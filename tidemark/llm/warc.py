@@ -1,7 +1,7 @@
 """Deterministic sharded WARC archives.
 
-Records are range-sorted by page_id into shards whose bounds come from a sample chosen by hash, so
-the same table gives the same files, byte for byte. Within a shard, files roll when their
+Records are range-sorted by page_id into shards whose bounds come from a sample chosen by hash; records that tie are
+equal. So the same rows give the same files, byte for byte, in whatever files or partitions they come. Within a shard, files roll when their
 compressed size reaches FILE_BYTES. Every record is a gzip member of its own. Headers and digests are
 made anew from the payload; record ids derive from page id and payload. A file is written under a
 temporary name and moved to its final one; a manifest table, written last, lists what is committed.
@@ -115,18 +115,20 @@ def write_warc(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, fi
             if not b.num_rows:
                 continue
             writer = writer or _Writer(folder, field(b, "_shard")[0].as_py(), file_bytes)
-            columns = [field(b, n).to_pylist() for n in ("page_id", "url", "payload", "digest", "refers_to")]
-            for page_id, url, data, digest, refers_to in zip(*columns, strict=True):
+            columns = [field(b, n).to_pylist() for n in ("page_id", "url", "payload", "digest", "refers_to", "_copies")]
+            for page_id, url, data, digest, refers_to, copies in zip(*columns, strict=True):
                 if data is None:
                     decision = (page_id, digest, refers_to)
                 else:
                     target = decision[2] if decision[:2] == (page_id, digest) else None
-                    writer.add(record(page_id, url, data, target, target is not None))
+                    written = record(page_id, url, data, target, target is not None)
+                    for _ in range(copies):
+                        writer.add(written)
         if writer:
             yield writer.close()
 
     schema = "shard int, part int, path string, records bigint, bytes bigint, sha256 string"
-    return materialize(map_batches(ranged.select("page_id", "url", "payload", "digest", "refers_to", "_shard"), schema, work))
+    return materialize(map_batches(ranged.select("page_id", "url", "payload", "digest", "refers_to", "_shard", "_copies"), schema, work))
 
 
 class _Writer:
