@@ -35,39 +35,58 @@ _AFTER = "CASE WHEN strpos({0}, '://') > 0 THEN substr({0}, strpos({0}, '://') +
 _HOST = "translate(regexp_extract(coalesce({0}, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RULES = """(VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
   ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) AS r(host, path, verdict)"""
-_NODE = """concat(lower(regexp_extract(split_part({0}, '#', 1), '^[^:]*://[^/?#]*')),
-  regexp_replace(split_part({0}, '#', 1), '^[^:]*://[^/?#]*', ''))"""
+_BARE = "split_part({0}, '#', 1)"
+_HEAD = f"regexp_extract({_BARE}, '(?s)^.*?://[^/?#]*')"
+_REST = f"substr({_BARE}, length({_HEAD}) + 1)"
+_NODE = f"""concat(translate({_HEAD}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  CASE WHEN {_HEAD} <> '' AND NOT starts_with({_REST}, '/') THEN '/' ELSE '' END, {_REST})"""
+_REL = r"""(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|''(?:[^''>]*\s)?canonical(?:\s[^''>]*)?''|["'']?canonical(?:>|["''\s/][^>]*>))"""
+_LINKS = rf"""list_transform(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*{_REL}[^>]*>?'),
+      lambda t: regexp_extract(t, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1))"""
+_GOTOS = r"""list_transform(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'),
+      lambda t: regexp_extract(t, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1))"""
+
+
+def _ruled(source: str) -> str:
+    """(url, host, path, rule, verdict) of the URLs in `source` as they are written."""
+    return f"""SELECT u.url, u.host, u.path, arg_max(r.host || r.path, (length(r.host || r.path), r.host || r.path)) AS rule,
+    arg_max(r.verdict, (length(r.host || r.path), r.host || r.path)) AS verdict
+  FROM (SELECT url, {_HOST.format("rest")} AS host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
+        FROM (SELECT DISTINCT url, {_AFTER.format("url")} AS rest FROM {source})) u
+  LEFT JOIN {_RULES} ON (u.host = r.host OR u.host LIKE '%.' || r.host) AND starts_with(u.path, r.path)
+  GROUP BY u.url, u.host, u.path"""
+
 
 OP10 = f"""
 WITH RECURSIVE tags AS (
-  SELECT url, unnest([
-    regexp_extract(regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical["''\\s/>][^>]*>'), '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'), '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1)
-  ]) AS link FROM pages WHERE url LIKE '%://%' AND html IS NOT NULL
-), resolved AS (
+  SELECT url, unnest(list_concat({_LINKS}, {_GOTOS})) AS link FROM pages WHERE url IS NOT NULL AND html IS NOT NULL
+), plain AS (
+  SELECT url, split_part(replace(link, '&amp;', '&'), '#', 1) AS link, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS origin,
+    regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:/(?:[^?#]*/)?)?)', 1) AS folder FROM tags
+), links AS (
   SELECT url, CASE
-    WHEN link LIKE '%://%' THEN link
+    WHEN link = '' THEN NULL
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+    WHEN origin = '' THEN NULL
     WHEN link LIKE '//%' THEN split_part(url, '://', 1) || ':' || link
-    WHEN link LIKE '/%' THEN regexp_extract(url, '^[^:]*://[^/?#]*') || link
-    ELSE regexp_extract(split_part(split_part(url, '#', 1), '?', 1) || '/', '^[^:]*://[^/]*/(.*/)?') || link END AS target
-  FROM tags WHERE link <> ''
-), edges AS (
-  SELECT {_NODE.format("url")} AS a, {_NODE.format("replace(target, '&amp;', '&')")} AS b FROM resolved
+    WHEN link LIKE '/%' THEN origin || link
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    ELSE folder || CASE WHEN folder LIKE '%/' THEN '' ELSE '/' END || link END AS target
+  FROM plain
+), known AS (
+  SELECT url, target FROM links WHERE target IS NOT NULL
+), written AS (
+  SELECT url FROM known UNION SELECT target FROM known
 ), both_ways AS (
-  SELECT a, b FROM edges UNION SELECT b, a FROM edges
+  SELECT {_NODE.format("url")} AS a, {_NODE.format("target")} AS b FROM known
+  UNION SELECT {_NODE.format("target")}, {_NODE.format("url")} FROM known
 ), reach AS (
   SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a
-), ruled AS (
-  SELECT u.url, u.host, u.path, arg_max(r.host || r.path, (length(r.host || r.path), r.host || r.path)) AS rule,
-    arg_max(r.verdict, (length(r.host || r.path), r.host || r.path)) AS verdict
-  FROM (SELECT url, {_HOST.format("rest")} AS host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
-        FROM (SELECT DISTINCT url, {_AFTER.format("url")} AS rest
-              FROM (SELECT url FROM pages UNION SELECT b FROM both_ways))) u
-  LEFT JOIN {_RULES} ON (u.host = r.host OR u.host LIKE '%.' || r.host) AND starts_with(u.path, r.path)
-  GROUP BY u.url, u.host, u.path
+), blocked AS (
+  SELECT DISTINCT {_NODE.format("url")} AS node FROM ({_ruled("written")}) WHERE verdict = 'block'
 ), tainted AS (
-  SELECT DISTINCT r.a AS node FROM reach r JOIN ruled ON ruled.url = r.b WHERE ruled.verdict = 'block'
-)
+  SELECT DISTINCT r.a AS node FROM reach r JOIN blocked ON blocked.node = r.b WHERE r.a <> r.b
+), ruled AS ({_ruled("pages")})
 SELECT p.page_id, ruled.host, ruled.path, ruled.rule,
   coalesce(ruled.verdict, CASE WHEN {_NODE.format("p.url")} IN (SELECT node FROM tainted) THEN 'block' ELSE 'allow' END) AS verdict
 FROM pages p LEFT JOIN ruled ON ruled.url IS NOT DISTINCT FROM p.url
@@ -111,6 +130,27 @@ SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, least(d.doc_id, min(
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id
 """
 
+OP4 = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v, row_number() OVER () AS row FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.row AS a, a.vec_id AS vec_id, b.row AS b FROM usable a JOIN usable b ON a.row <> b.row AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT r.a, min(u.vec_id) AS vec_id FROM reach r JOIN usable u ON u.row = r.b GROUP BY r.a
+), counted AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, least(e.vec_id, l.vec_id) AS component_id,
+  e.vec_id = least(e.vec_id, l.vec_id) AS kept, 1.0::DOUBLE AS recall
+FROM (SELECT vec_id, row_number() OVER () AS at FROM embeddings) e
+LEFT JOIN usable u ON u.vec_id = e.vec_id LEFT JOIN counted c ON c.a = u.row LEFT JOIN least l ON l.a = u.row
+"""
+
 OP12 = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
@@ -180,6 +220,7 @@ FROM final f JOIN centroids{rounds} c ON c.cluster = f.cluster
 
 STATEMENTS = {
     "op2_chat_format": OP2,
+    "op4_vector_graph": OP4,
     "op7_warc": OP7,
     "op8_ngram_join": OP8,
     "op10_url_filter": OP10,

@@ -4,8 +4,10 @@ A rule (host, path, verdict) fits a URL on its host or a subdomain whose path st
 path; of several, the longest (host and path together, then by text) decides. Redirects (meta refresh, or a
 table of them) and canonical links join URLs into groups of aliases: connected components,
 computed by joins. Every canonical link and refresh of a page counts, and a URL with an empty path is
-the same node as with ``/`` (rules are matched with the path as written). A URL without a rule is blocked if a rule blocks any alias in its group. An
-explicit allow always wins for the URL that it fits, and shields no other alias.
+the same node as with ``/``. Rules are matched with URLs as they are written, on pages and in links. A URL without a rule
+is blocked if a rule blocks a written form of another node in its group; forms of its own node
+decide nothing, so its verdict does not depend on whether it has links. An explicit allow always wins
+for the URL that it fits, and shields no other alias.
 
 Rules are configuration and become one CASE expression, so their number is checked (MAX_RULES).
 
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
+from tidemark.plans.materialize import materialize
 
 BLOCK, ALLOW = "block", "allow"
 MAX_RULES = 500
@@ -100,8 +103,8 @@ def node_of(url: Column) -> Column:
     return F.concat(F.translate(head, _UPPER, _LOWER), root, rest)
 
 
-def alias_edges(pages: DataFrame) -> DataFrame:
-    """(from_url, to_url) for every canonical link and meta refresh of the pages."""
+def alias_links(pages: DataFrame) -> DataFrame:
+    """(from_url, to_url), as written, for every canonical link and meta refresh of the pages."""
     html = F.col("html")
     tags = F.concat(
         F.transform(F.regexp_extract_all(html, F.lit(_LINK), F.lit(0)), lambda tag: F.regexp_extract(tag, _HREF, 1)),
@@ -109,7 +112,23 @@ def alias_edges(pages: DataFrame) -> DataFrame:
     )
     has_tag = html.rlike(r"(?i)canonical|http-equiv")
     links = pages.where(has_tag).select("url", F.explode(tags).alias("link"))
-    return links.select(node_of(F.col("url")).alias("from_url"), node_of(_resolved(F.col("link"), F.col("url"))).alias("to_url"))
+    return links.select(F.col("url").alias("from_url"), _resolved(F.col("link"), F.col("url")).alias("to_url"))
+
+
+def _rule(url: Column, rules: list[Rule]) -> Column:
+    return rule_for(host_of(url), path_of(url), rules)
+
+
+def tainted_nodes(links: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Nodes that have another node among their aliases of which a written form is blocked."""
+    links = materialize(links.where("from_url is not null and to_url is not null"))
+    ends = links.select(node_of(F.col("from_url")).alias("a"), node_of(F.col("to_url")).alias("b"))
+    groups = materialize(connected_components(ends, "a", "b"))
+    written = links.select(F.col("from_url").alias("url")).unionByName(links.select(F.col("to_url").alias("url")))
+    blocked = written.where(_rule(F.col("url"), rules)["verdict"] == BLOCK).select(node_of(F.col("url")).alias("node")).distinct()
+    # The smallest and the largest blocked node of a group tell whether any other than a given one is.
+    ends_of = groups.join(blocked, "node", "left_semi").groupBy("component").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    return groups.join(ends_of, "component").where("low <> node or high <> node").select("node")
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = None) -> DataFrame:
@@ -117,21 +136,17 @@ def judge_urls(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None
 
     `redirects` (from_url, to_url) adds known redirects to those found in the pages.
     """
-    edges = alias_edges(pages)
+    links = alias_links(pages)
     if redirects is not None:
-        edges = edges.unionByName(redirects.select(node_of(F.col("from_url")).alias("from_url"), node_of(F.col("to_url")).alias("to_url")))
-    groups = connected_components(edges, "from_url", "to_url")
-    node = F.col("node")
-    blocked = groups.where(rule_for(host_of(node), path_of(node), rules)["verdict"] == BLOCK)
-    tainted = blocked.select("component").distinct()
-    aliases = groups.join(tainted, "component", "left_semi").select(F.col("node").alias("_alias"))
-
-    url = F.col("url")
+        links = links.unionByName(redirects.select("from_url", "to_url"))
+    tainted = tainted_nodes(links, rules).select(F.col("node").alias("_alias"))
+    url = F.col("_page.url")
     kept = [c for c in pages.columns if c not in RESULTS]
-    judged = pages.select(*kept, host_of(url).alias("host"), path_of(url).alias("path"))
-    judged = judged.withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules))
-    judged = judged.withColumn("_node", node_of(url)).join(aliases, F.col("_node") == F.col("_alias"), "left")
+    # The page's own columns stay apart in a struct, whatever their names are.
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_page"))
+    judged = rows.withColumns({"host": host_of(url), "path": path_of(url), "_rule": _rule(url, rules), "_node": node_of(url)})
+    judged = judged.join(tainted, F.col("_node") == F.col("_alias"), "left")
     by_group = F.when(F.col("_alias").isNotNull(), BLOCK).otherwise(ALLOW)
     return judged.select(
-        *kept, "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce("_rule.verdict", by_group).alias("verdict")
+        "_page.*", "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce("_rule.verdict", by_group).alias("verdict")
     )

@@ -1,7 +1,7 @@
 """Embedding near-duplicates through a robust-pruned flat graph.
 
-Equal vectors are one class. Classes are dealt to the shards of their `probes` nearest cluster
-centres, so shards overlap; centres are fitted on a bounded sample (FIT_ROWS vectors, chosen by
+Equal vectors are one class. Classes are dealt to the shards of all cluster centres that are nearly
+as near as the nearest one (MARGIN), and of the PROBES nearest, so shards overlap; centres are fitted on a bounded sample (FIT_ROWS vectors, chosen by
 hash), every class is indexed. A shard with more than BLOCK_ROWS members is dealt to blocks by
 hash. In each block a graph is built by beam search and robust pruning, and the adjacency lists that
 a class gets in its shards are united. Then every pair of blocks of a shard is one task: the members
@@ -14,9 +14,10 @@ A task counts, for each class, the linked vectors, and sends a spanning forest o
 are never rows. A pair that shares several shards counts in the first of them.
 
 Recall is audited: slices of some AUDIT_ROWS classes, chosen by hash, are compared with all vectors until they
-hold AUDIT_LINKED classes with links (or AUDIT_SLICES slices or the table are used up). Every try is audited: if
-the linked classes among them found less than RECALL of their linked classes on average, the search is repeated
-with twice the probes, and after MOST_PROBES all pairs of vectors are compared, which loses none.
+hold AUDIT_LINKED classes with links (or AUDIT_SLICES slices or the table are used up). If the linked classes among
+them found less than RECALL of their linked classes on average, the search is repeated with twice
+the margin; after TRIES tries it raises below LEAST_RECALL. The result says what was found. Without any audited
+link the recall is 1.
 
 Defined cases: vectors that are null, empty, zero, or have null or non-finite components link with
 nothing; vectors of different lengths do not link; rows with one id and different vectors are searched
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +42,9 @@ SLACK = 0.05  # the search walks on through vectors that miss the range by so mu
 FIT_ROWS, SHARD_ROWS, BLOCK_ROWS, ROUNDS = 20_000, 1024, 2048, 6
 DEGREE, BEAM, WIDTH, ALPHA, INCOMING = 24, 32, 4, 1.2, 32
 BATCH = 128
-PROBES, MOST_PROBES = 2, 8
-AUDIT_ROWS, AUDIT_SLICES, AUDIT_LINKED, RECALL = 4000, 50, 100, 0.95
-COMPARE_ROWS = 16_384  # of a block when all pairs are compared
+PROBES, MARGIN, TRIES = 2, 2.5, 3
+AUDIT_ROWS, AUDIT_SLICES, AUDIT_LINKED = 4000, 50, 200
+RECALL, LEAST_RECALL = 0.99, 0.9  # what a try should reach, and what the last one has to
 
 
 def beam_search(graph: np.ndarray, x: np.ndarray, queries: np.ndarray, start: int, size: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
@@ -174,20 +176,24 @@ def _unit_rows(vectors: DataFrame) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            units: list[bytes | None] = []
-            for row in field(b, "embedding"):
-                values = row.values
-                unit = None
-                if values is not None and len(values) and not values.null_count:
-                    v = np.array(values, np.float64)
-                    # Scaled by the largest component first, so that squares neither overflow nor vanish.
-                    top = np.abs(v).max()
-                    if np.isfinite(top) and top > 0:
-                        v = v / top
-                        unit = (v / np.sqrt(v @ v)).tobytes()
-                units.append(unit)
+            column = field(b, "embedding")
+            lists = column.values.cast(pa.float64())
+            values = np.array(lists.fill_null(np.nan), np.float64)
+            edge = np.array(column.offsets, np.int64)
+            size = np.where(np.array(column.is_valid()), np.diff(edge), 0)
+            units: list[bytes | None] = [None] * len(column)
+            for length in np.unique(size[size > 0]).tolist():
+                rows = np.flatnonzero(size == length)
+                x = values[edge[rows][:, None] + np.arange(length)]
+                # Scaled by the largest component first, so that squares neither overflow nor vanish.
+                top = np.abs(x).max(axis=1)
+                good = np.isfinite(top) & (top > 0)
+                x = x[good] / top[good, None]
+                x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+                for row, unit in zip(rows[good].tolist(), x, strict=True):
+                    units[row] = unit.tobytes()
             out = pa.array(units, pa.binary())
-            classes = pa.array([c if u is not None else None for c, u in zip(field(b, "class").to_pylist(), units, strict=True)], pa.int64())
+            classes = pc.if_else(out.is_valid(), field(b, "class"), pa.scalar(None, pa.int64()))
             yield pa.RecordBatch.from_arrays([field(b, "vec_id").cast(pa.int64()), classes, out], ["vec_id", "class", "unit"])
 
     return map_batches(hashed, "vec_id bigint, class bigint, unit binary", work)
@@ -217,21 +223,36 @@ def fit_centres(classes: DataFrame) -> dict[int, np.ndarray]:
     return centres
 
 
-def _placed(classes: DataFrame, centres: dict[int, np.ndarray], probes: int, block_rows: int) -> DataFrame:
-    """(class, copies, unit, shards, shard, block): a row for each shard of a class."""
+def _nearest_shards(x: np.ndarray, centres: np.ndarray, margin: float, first: int) -> list[list[int]]:
+    """For each row the centres whose cosine is within `margin` of the best one, and the PROBES best at least."""
+    near = x @ centres.T
+    order = np.argsort(-near, axis=1, kind="stable")
+    ranked = np.take_along_axis(near, order, axis=1)
+    count = np.maximum((ranked >= ranked[:, :1] - margin).sum(axis=1), min(PROBES, len(centres)))
+    return [sorted((row[:n] + first).tolist()) for row, n in zip(order, count.tolist(), strict=True)]
+
+
+def _placed(classes: DataFrame, centres: dict[int, np.ndarray], margin: float, cosine: float, block_rows: int) -> DataFrame:
+    """(class, copies, unit, shards, shard, block): a row for each shard of a class.
+
+    Two vectors in range are at most a chord of sqrt(2 - 2 cosine) apart, so their cosines with a centre differ
+    by that at most, and by a share of 1 / sqrt(components) of it where directions are scattered. `margin`
+    counts in such shares: a vector near to several centres goes to all of them, one inside a cluster to few.
+    """
     order = {length: i for i, length in enumerate(sorted(centres))}
 
     def work(batches):
         for b in batches:
-            shards = []
-            for unit in field(b, "unit").to_pylist():
-                own = centres.get(len(unit))
-                if own is None:  # a length that the sample has not: one shard for it
-                    shards.append([-len(unit)])
-                    continue
-                near = own @ np.frombuffer(unit)
-                best = np.argsort(-near, kind="stable")[:probes]
-                shards.append(sorted((best + (order[len(unit)] << 40)).tolist()))
+            units = field(b, "unit").to_pylist()
+            shards: list[list[int]] = [[-len(u)] for u in units]  # a length that the sample has not: one shard for it
+            for length in {len(u) for u in units} & set(centres):
+                at = [i for i, u in enumerate(units) if len(u) == length]
+                reach = margin * np.sqrt((2 - 2 * cosine) / (length // 8))
+                for lo in range(0, len(at), BATCH):
+                    own = at[lo : lo + BATCH]
+                    x = np.frombuffer(b"".join(units[i] for i in own)).reshape(len(own), -1)
+                    for i, found in zip(own, _nearest_shards(x, centres[length], reach, order[length] << 40), strict=True):
+                        shards[i] = found
             yield pa.RecordBatch.from_arrays([*[field(b, n) for n in ("class", "copies", "unit")], pa.array(shards, pa.list_(pa.int64()))], ["class", "copies", "unit", "shards"])
 
     schema = "class bigint, copies bigint, unit binary, shards array<bigint>"
@@ -283,15 +304,14 @@ def _local_graph(classes: np.ndarray, near: list) -> np.ndarray:
 
 def search_blocks(table: pa.Table, first: int, second: int, shard: int, cosine: float) -> pa.Table:
     """Links between two blocks of a shard (or inside one): for each class the number of vectors and of classes
-    that it links with, and the smallest class of its local component. Without a column `near`, all pairs are
-    compared."""
-    sides, walked = [], "near" in table.column_names
+    that it links with, and the smallest class of its local component."""
+    sides = []
     for block in dict.fromkeys((first, second)):
         own = table.filter(pa.array(np.array(table["block"]) == block)).sort_by("class")
         if not own.num_rows:
             return pa.table({name: pa.array([], pa.int64()) for name in ("class", "links", "linked", "root")})
         classes, exact = np.array(own["class"]), _matrix(own["unit"])
-        graph = _local_graph(classes, [np.array(n, np.int64) for n in own["near"].to_pylist()]) if walked else None
+        graph = _local_graph(classes, [np.array(n, np.int64) for n in own["near"].to_pylist()])
         shards = own["shards"].to_pylist()
         width = max(map(len, shards))
         shards = np.array([s + [-1] * (width - len(s)) for s in shards])
@@ -299,15 +319,14 @@ def search_blocks(table: pa.Table, first: int, second: int, shard: int, cosine:
     one, two = sides[0], sides[-1]
     same = len(sides) == 1
     floor = cosine - 1e-4  # single precision while searching
-    if walked:
-        linked = np.zeros((len(one[0]), len(two[0])), bool)
-        for queries, target, flip in [(one, two, False)] if same else [(one, two, False), (two, one, True)]:
-            start = medoid(target[3])
-            for lo in range(0, len(queries[0]), BATCH):
-                q, node = range_search(target[4], target[3], queries[3][lo : lo + BATCH], start, floor)
-                linked[(node, q + lo) if flip else (q + lo, node)] = True
-        if same:
-            linked |= linked.T
+    linked = np.zeros((len(one[0]), len(two[0])), bool)
+    for queries, target, flip in [(one, two, False)] if same else [(one, two, False), (two, one, True)]:
+        start = medoid(target[3])
+        for lo in range(0, len(queries[0]), BATCH):
+            q, node = range_search(target[4], target[3], queries[3][lo : lo + BATCH], start, floor)
+            linked[(node, q + lo) if flip else (q + lo, node)] = True
+    if same:
+        linked |= linked.T
     classes = one[0] if same else np.concatenate([one[0], two[0]])
     order = np.argsort(classes, kind="stable")
     place = np.empty(len(classes), np.int64)
@@ -315,7 +334,7 @@ def search_blocks(table: pa.Table, first: int, second: int, shard: int, cosine:
     shift = 0 if same else len(one[0])
     links, partners, root = np.zeros(len(classes), np.int64), np.zeros(len(classes), np.int64), np.arange(len(classes))
     for lo in range(0, len(one[0]), BATCH):
-        a, b = np.nonzero(linked[lo : lo + BATCH] if walked else one[3][lo : lo + BATCH] @ two[3].T >= floor)
+        a, b = np.nonzero(linked[lo : lo + BATCH])
         a = a + lo
         if same:
             a, b = a[a != b], b[a != b]
@@ -326,7 +345,7 @@ def search_blocks(table: pa.Table, first: int, second: int, shard: int, cosine:
             _union(root, place[i], place[j + shift])
             common = (one[5][i][:, :, None] == two[5][j][:, None, :]) & (one[5][i][:, :, None] >= 0)
             lowest = np.where(common.any(2), one[5][i], np.iinfo(np.int64).max).min(1)
-            counted = (lowest == shard) | (shard < 0)
+            counted = (lowest == shard) | (shard < 0)  # a shard for a length of its own has no number
             i, j = i[counted], j[counted]
             links += np.bincount(i, two[1][j], len(links)).astype(np.int64)
             partners += np.bincount(i, minlength=len(links))
@@ -336,12 +355,10 @@ def search_blocks(table: pa.Table, first: int, second: int, shard: int, cosine:
     return pa.table({"class": classes, "links": links, "linked": partners, "root": classes[order][root[place]]})
 
 
-def _searched(placed: DataFrame, near: DataFrame | None, cosine: float) -> DataFrame:
+def _searched(placed: DataFrame, near: DataFrame, cosine: float) -> DataFrame:
     """(class, links, linked, root) from all tasks; a class is in many, each with a share of its links."""
-    rows = placed if near is None else placed.join(near, "class")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    lists = [] if near is None else ["near"]
-    pairs = rows.select("class", "copies", "unit", "shards", "shard", "block", *lists, other)
+    pairs = placed.join(near, "class").select("class", "copies", "unit", "shards", "shard", "block", "near", other)
     pairs = pairs.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
 
     def work(key: tuple, table: pa.Table) -> pa.Table:
@@ -404,29 +421,23 @@ def audit(sample: list[tuple[int, int]], links: DataFrame) -> float:
     return exact.join(links, "class", "left").agg(F.avg(share)).first()[0]
 
 
-def link_vectors(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBES) -> DataFrame:
-    """vec_id, n_links, component_id and kept for every row of vectors (vec_id, embedding)."""
+def link_vectors(vectors: DataFrame, cosine: float = COSINE, margin: float = MARGIN) -> DataFrame:
+    """vec_id, n_links, component_id, kept and recall (of the audit) for every row of vectors (vec_id, embedding)."""
     rows = materialize(_unit_rows(vectors.select("vec_id", "embedding")))
     classes = rows.where("class is not null").groupBy("class").agg(
         F.count(F.lit(1)).alias("copies"), F.any_value("unit").alias("unit"), F.min("vec_id").alias("vec_id")
     )
     classes = materialize(classes)
     centres, sample = fit_centres(classes), audit_sample(classes, cosine)
-    walked = True
-    while True:
-        if walked:
-            placed = materialize(_placed(classes, centres, probes, BLOCK_ROWS))
-            found = _searched(placed, materialize(_adjacency(placed)), cosine)
-        else:
-            found = _searched(materialize(_placed(classes, {}, 1, COMPARE_ROWS)), None, cosine)
+    for tries in range(TRIES):
+        placed = materialize(_placed(classes, centres, margin * 2**tries, cosine, BLOCK_ROWS))
+        found = _searched(placed, materialize(_adjacency(placed)), cosine)
         links = materialize(found.groupBy("class").agg(F.sum("links").alias("links"), F.sum("linked").alias("linked")))
         recall = audit(sample, links)
         if recall >= RECALL:
             break
-        if not walked:
-            raise RuntimeError(f"comparing all pairs found {recall:.3f} of the audited links")
-        walked = probes < MOST_PROBES
-        probes *= 2
+    if recall < LEAST_RECALL:
+        raise RuntimeError(f"{TRIES} tries found {recall:.3f} of the audited links")
     groups = connected_components(found.select("class", "root").distinct(), "class", "root").withColumnRenamed("node", "class")
     named = classes.join(links.drop("linked"), "class").join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
     named = materialize(named.select("class", "copies", "links", "vec_id", "component"))
@@ -435,5 +446,5 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBE
     out = rows.select("vec_id", "class").join(named, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), own.alias("component_id"), own.eqNullSafe(F.col("vec_id")).alias("kept")
+        "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), own.alias("component_id"), own.eqNullSafe(F.col("vec_id")).alias("kept"), F.lit(recall).alias("recall")
     )
