@@ -1,7 +1,7 @@
 """Quality rules: fixed limits on counts, then a calibrated model on hashed n-grams.
 
-The model is a logistic regression on the shares of hashed word 1- and 2-grams and of byte 3-grams
-in a text. It is fitted on the driver on bounded samples of labelled rows (FIT_ROWS and
+The model is a logistic regression on the shares of hashed word 1- and 2-grams and of character 3-grams
+(code points) in a text. It is fitted on the driver on bounded samples of labelled rows (FIT_ROWS and
 CALIBRATE_ROWS, chosen by hash): one fold gives the weights, another one the two numbers of a
 Platt calibration, and the third stays unseen. Texts are scored in Arrow batches; a text is kept if
 no rule fails and its calibrated probability reaches KEEP_FROM.
@@ -20,13 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.batches import field, map_batches
-from tidemark.llm.bytescan import slices, windows
+from tidemark.llm.bytescan import LEADING, slices, windows
 from tidemark.llm.labelled import FOLDS, HELD_OUT, labelled_sample
 from tidemark.llm.statistics import SYMBOLS, Scan
 
 BUCKETS = 1 << 15  # of each family of n-grams
 FAMILIES = 3
 FIT_ROWS, CALIBRATE_ROWS = 4000, 3000
+_POINT = np.uint64(0x9E3779B97F4A7C15)
 SLICE = 1 << 20  # entries summed at once
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; percent of words
 KEEP_FROM = 0.5
@@ -38,17 +39,22 @@ def _grams(scan: Scan) -> list[tuple[np.ndarray, np.ndarray]]:
     w, t = scan.words, scan.texts
     shift = np.uint64(64 - BUCKETS.bit_length() + 1)
     pairs, pair_text, _ = windows(scan.hashes, w.first, w.last, 2)
-    data = t.data.astype(np.uint32)
-    three = (data[:-2] << 16) | (data[1:-1] << 8) | data[2:] if len(data) > 2 else np.empty(0, np.uint32)
-    three = (three * np.uint32(2654435761)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
-    # The line feed that closes a text is part of its last 3-gram and of none of the next text's.
-    count = np.maximum(t.end - t.begin - 1, 0)
+    # Code points of the whole slice; the line feed that closes a text is part of its last 3-gram only.
+    points = np.frombuffer(t.data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    place = np.concatenate(([0], np.cumsum(LEADING[t.data])))
+    begin, end = place[t.begin], place[t.end]
+    count = np.maximum(end - begin - 1, 0)
     text = np.repeat(np.arange(len(t)), count)
-    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(t.begin, count)
+    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
+    with np.errstate(over="ignore"):
+        three = np.zeros(len(at), np.uint64)
+        for j in range(3):
+            three = three * _POINT + points[at + j]
+        three = (three * _POINT) >> shift
     return [
         ((scan.hashes >> shift).astype(np.int64), w.owner()),
         ((pairs >> shift).astype(np.int64), pair_text),
-        (three[at].astype(np.int64), text),
+        (three.astype(np.int64), text),
     ]
 
 
