@@ -134,6 +134,102 @@ def test_sparse_rows_agree_with_margins():
         assert np.allclose(model.margin(scan), plain)
 
 
+TWO64 = 1 << 64
+STEP, PLACE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+
+
+def plain_mix(x: int) -> int:
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 1):
+        x = (x ^ (x >> 33)) * factor % TWO64
+    return x
+
+
+def plain_hash(word: bytes) -> int:
+    """Blocks of eight bytes, each mixed with its place; the last one is filled with zeros from below."""
+    blocks = [word[i : i + 8] for i in range(0, len(word), 8)]
+    total = sum(plain_mix(int.from_bytes(b.rjust(8, b"\0"), "little") ^ (j + 1) * PLACE % TWO64) for j, b in enumerate(blocks))
+    return plain_mix((total + len(word) * STEP) % TWO64)
+
+
+def plain_window(hashes: list[int]) -> int:
+    total = 0
+    for j, h in enumerate(hashes):
+        total = ((total + h) * STEP + 2 * j + 1) % TWO64
+    return plain_mix(total)
+
+
+def thue_morse(letters: int) -> list[str]:
+    """Two words that a polynomial hash modulo a power of two takes for one."""
+    word = "a"
+    while len(word) < letters:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return [word, word.translate(str.maketrans("ab", "ba"))]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(min_size=1, max_size=40).map(lambda b: b.translate(None, b" \t\n\v\f\r") or b"x"), min_size=1, max_size=8))
+def test_hashes_agree_with_plain_python(words):
+    data = np.frombuffer(b" ".join(words) + b" ", np.uint8)
+    end = np.cumsum([len(w) + 1 for w in words]) - 1
+    got = bytescan.span_hashes(data, end - [len(w) for w in words], end)
+    assert got.tolist() == [plain_hash(w) for w in words]
+
+
+@pytest.mark.parametrize("letters", [2**k for k in range(8, 15)])
+def test_counts_of_words_that_simple_hashes_confuse(letters):
+    x, y = thue_morse(letters)
+    texts = [f"{x} {y}\n{y} {x}", f"{x} p q {y} p q", f"{x}\n{y}", f"{x} {x}\n{x} {x}"]
+    assert scanned_counts(texts, 1 << 18) == [plain_counts(t) for t in texts]
+
+
+def test_score_agrees_with_plain_python():
+    model = nq.Model(np.random.default_rng(2).normal(size=nq.FAMILIES * nq.BUCKETS), -0.5, 1.7, 0.3)
+    shift = 64 - nq.BUCKETS.bit_length() + 1
+    texts = ["", "é", "日本語 のテキスト 日本語", "Über den Fluß, über\nden Berg " * 3, prose(4, 60), " \t ", "x"]
+    want = []
+    for text in texts:
+        words = [plain_hash(w.encode()) for w in WORD.findall(text)]
+        closed = [ord(c) for c in text + "\n"]
+        three = []
+        for i in range(len(closed) - 2):
+            key = 0
+            for c in closed[i : i + 3]:
+                key = (key * STEP + c) % TWO64
+            three.append(key * STEP % TWO64 >> shift)
+        families = [[w >> shift for w in words], [plain_window(words[i : i + 2]) >> shift for i in range(len(words) - 1)], three]
+        margin = model.bias + sum(nq.SCALE * np.mean([model.weights[k * nq.BUCKETS + b] for b in f]) for k, f in enumerate(families) if f)
+        want.append(1 / (1 + np.exp(-(model.slope * margin + model.shift))))
+    got = np.concatenate([model.probability(Scan(part)) for part in bytescan.slices(pa.array(texts), 60)])
+    assert np.allclose(got, want)
+
+
+def plain_features(text: str) -> list[float]:
+    """The statistics one by one, in the order of FEATURES; shares of bytes, words or lines."""
+    words, raw = WORD.findall(text), text.encode()
+    sizes = [len(w.encode()) for w in words]
+    n, size = max(len(words), 1), max(len(raw), 1)
+    n_words, _, symbols, duplicates, repeated = plain_counts(text)
+    lines = sum(bool(WORD.search(line)) for line in text.split("\n"))
+    mean = sum(sizes) / n
+    upper, lower = (lambda w: sum("A" <= c <= "Z" for c in w)), (lambda w: sum("a" <= c <= "z" for c in w))
+    wide = lambda w: sum(ord(c) >= 128 for c in w)
+    share = lambda chars: sum(text.count(c) for c in chars) / size
+    return [
+        np.log1p(n_words), mean, max(sum(s * s for s in sizes) / n - mean**2, 0) ** 0.5, len(set(words)) / n, repeated / n,
+        sum(a == b for a, b in zip(words, words[1:], strict=False)) / n, duplicates / max(lines, 1), n_words / max(lines, 1),
+        upper(text) / size, sum(c in "0123456789" for c in text) / size, symbols / size, sum(b >= 128 for b in raw) / size,
+        share("!"), share("|"), share("."), share(","),
+        sum("A" <= w[0] <= "Z" for w in words) / n, sum(upper(w) > 1 and not lower(w) for w in words) / n,
+        sum(not upper(w) + lower(w) + wide(w) for w in words) / n, sum(w[-1] in "#*$%&|<>" for w in words) / n, max(sizes, default=0),
+    ]
+
+
+def test_statistics_agree_with_plain_python():
+    texts = [r[1] or "" for r in awkward() if len(r[1] or "") < 50_000] + ["A B\nA B\n!! || x# ABC 12,3. Éa", "a a a b b", "\n\n"]
+    got = np.concatenate([features(Scan(part)) for part in bytescan.slices(pa.array(texts), 500)])
+    assert np.allclose(got, [plain_features(t) for t in texts])
+
+
 def test_calibration_recovers_probabilities():
     rng = np.random.default_rng(5)
     margin = rng.normal(size=20_000)
