@@ -38,7 +38,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import field, map_batches
@@ -276,12 +276,11 @@ def _verified(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int, p
 def class_links(documents: DataFrame, profiles: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
     """(a, b): verified links between classes, enough of them to give the components of all links. They
     are read from tables of `scratch`."""
-    # One shuffle serves the aggregation and the join back: both read all its columns, so it is reused.
+    # One shuffle and one sort: the rows of a key, at most one a batch, are looked at where they lie.
     rows = _signature_rows(documents, n, percent).repartition("key")
-    several = rows.groupBy("key").agg(
-        F.min("other").alias("low"), F.max("other").alias("high"), F.bool_or("settled").alias("settled")
-    )
-    found = rows.join(several.where("low < high or settled").select("key"), "key")
+    of_key = Window.partitionBy("key")
+    seen = {"_low": F.min("other"), "_high": F.max("other"), "_any": F.bool_or("settled")}
+    found = rows.withColumns({name: value.over(of_key) for name, value in seen.items()}).where("_low < _high or _any")
     sig, class_ = (F.when(F.col("settled"), F.col(a)).otherwise(F.col(b)) for a, b in (("other", "key"), ("key", "other")))
     shared = scratch.keep(found.select(sig.alias("sig"), class_.alias("class")).distinct())
     held = shared.groupBy("class").agg(F.count(F.lit(1)).alias("weight"))
@@ -291,9 +290,11 @@ def class_links(documents: DataFrame, profiles: DataFrame, n: int, percent: int,
     def known(name: str) -> DataFrame:
         return info.select(F.col("class").alias(name), F.struct("n_shingles", "sketch").alias(f"{name}_info"))
 
-    best = F.max(F.struct("weight", "class")).getField("class")
-    pivots = shared.join(held, "class").groupBy("sig").agg(best.alias("pivot"), F.count(F.lit(1)).alias("members"))
-    pivots = scratch.keep(pivots)
+    # Weight and class in one number of a fixed width, which keeps this a hash aggregate.
+    apart, shift = F.lit(str(1 << 64)).cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)")
+    heaviest = F.max(F.col("weight").cast("decimal(10,0)") * apart + F.col("class").cast("decimal(20,0)") + shift)
+    pivots = shared.join(held, "class").groupBy("sig").agg(heaviest.alias("_best"), F.count(F.lit(1)).alias("members"))
+    pivots = scratch.keep(pivots.select("sig", (F.col("_best") % apart - shift).cast("bigint").alias("pivot"), "members"))
     star = shared.join(pivots, "sig").where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b"))
     star = star.distinct().join(known("a"), "a").join(known("b"), "b").where(may_link("a_info", "b_info", percent))
     links = _verified(documents, info, scratch.keep(star.select("a", "b")), n, percent, scratch)
