@@ -50,9 +50,17 @@ def bucket_of(gram: str) -> int:
 TEXTS = st.lists(st.none() | st.text(st.sampled_from("abC Éßİ日.9\n\x00"), max_size=30), max_size=6)
 
 
-@settings(max_examples=40, deadline=None)
-@given(TEXTS)
-def test_grams_agree_with_plain_python(texts):
+@settings(max_examples=60, deadline=None)
+@given(TEXTS, st.sampled_from([1, 2, 7, 1 << 20]))
+def test_grams_agree_with_plain_python(texts, segment):
+    before, li.SEGMENT = li.SEGMENT, segment
+    try:
+        check_grams(texts)
+    finally:
+        li.SEGMENT = before
+
+
+def check_grams(texts):
     found = [row for part in slices(pa.array(texts, pa.string())) for _, has, counts in li._grams(part) for row in zip(has, counts, strict=True)]
     assert len(found) == len(texts)
     for text, (has, counts) in zip(texts, found, strict=True):

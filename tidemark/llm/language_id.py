@@ -37,6 +37,7 @@ SAMPLE_TEXTS, CENTROIDS, ROUNDS = 400, 3, 12
 REJECT_BEYOND = 0.995  # of the sample of a centroid lies nearer
 MOST_LANGUAGES = 500
 BLOCK_TEXTS = 32  # texts whose dense counts are held at once
+SEGMENT = 1 << 20  # characters whose runs are hashed at once
 FOLDS, HELD_OUT = 4, 2
 
 
@@ -72,18 +73,21 @@ def _grams(texts: Texts) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         owner = np.searchsorted(stop, np.flatnonzero(keep))
         code, is_letter = np.where(letter, points, 0)[keep].astype(np.uint64), letter[keep]
         counts = np.zeros((last - first) * BUCKETS, np.int64)
-        key = np.zeros(len(code), np.uint64)
-        with np.errstate(over="ignore"):
+        for lo in range(0, len(code), SEGMENT):  # runs that begin in a segment
+            own, part, inner = (x[lo : lo + SEGMENT + LONGEST - 1] for x in (owner, code, is_letter))
+            key = np.zeros(len(part), np.uint64)
             for n in range(1, LONGEST + 1):
-                key = key[: len(code) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + code[n - 1 :] + np.uint64(n)
-                if not len(key):
+                size = min(len(part) - n + 1, SEGMENT)
+                if size <= 0:
                     break
-                own = owner[n - 1 :]
-                whole = (owner[: len(own)] == own) & (is_letter[: len(own)] | is_letter[n - 1 :])
+                with np.errstate(over="ignore"):
+                    key = key[:size] * np.uint64(0x9E3779B97F4A7C15) + part[n - 1 : n - 1 + size] + np.uint64(n)
+                last_own, last_inner = own[n - 1 : n - 1 + size], inner[n - 1 : n - 1 + size]
+                whole = (own[:size] == last_own) & (inner[:size] | last_inner)
                 mixed = key[whole]
                 mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
                 bucket = (mixed >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-                counts += np.bincount(own[whole] * BUCKETS + bucket, minlength=len(counts))
+                counts += np.bincount(last_own[whole] * BUCKETS + bucket, minlength=len(counts))
         yield first, np.bincount(owner[is_letter], minlength=last - first) > 0, counts.reshape(last - first, BUCKETS)
 
 
