@@ -210,6 +210,7 @@ def test_hot_prefixes_are_dealt_on_and_counts_stay(spark, monkeypatch):
     monkeypatch.setattr(phrases, "STRIDE", 1)
     monkeypatch.setattr(phrases, "GROUP_WORDS", 64)
     monkeypatch.setattr(phrases, "FILTER_BITS", 8)  # many false hits
+    monkeypatch.setattr(phrases, "TABLE_WORDS", 3)  # most words travel as fingerprints
     assert mined(docs, least=4, top=None) == plain_phrases(rows, 4, None)
 
 
@@ -232,6 +233,16 @@ def test_flow_out_of_nodes_counts_prefixes(pieces, starts):
     assert got == wanted
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2**64 - 1), min_size=5, max_size=5), min_size=1, max_size=9), st.sets(st.integers(0, 2**64 - 1)), st.sampled_from([1, 2**33]))
+def test_packed_edges_come_back(edges, extra, most):
+    edges = np.array(edges, np.uint64)
+    table = np.unique(np.concatenate([np.zeros(1, np.uint64), edges[::2, 0], np.array(sorted(extra), np.uint64)]))
+    n = np.arange(len(edges)) + most
+    found, counts = phrases.unpack(phrases.pack(edges, n, table), table)
+    assert (found == edges).all() and (counts == n).all()
+
+
 def test_scores_pass_64_bits(spark):
     big = 6_000_000_000_000
     counted = spark.createDataFrame([([1, 2], big - 1)], "words array<bigint>, a bigint")

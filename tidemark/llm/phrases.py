@@ -12,7 +12,7 @@ edges that begin with it weigh together (the flow out of its node, and what ends
 2. Tasks cut texts into edges, add up equal ones, and deal them by their first two words. A prefix that
    begins more than 1 / HOT_SHARE of all edges (so there are few of them) is dealt by one word more, up
    to the whole edge; groups stay small however common a pair or a passage is. Edges travel packed, many in
-   a row, with the fingerprints of their words once for the row.
+   a row: the TABLE_WORDS most frequent words as places in a table, others as fingerprints.
 3. Each group of edges is sorted once; runs of equal prefixes give all counts. Where the prefix is hot,
    groups hold parts of the sum and hand on all of them, else they hand on what reaches `least`.
 4. A unary path (a node whose whole weight flows through one edge) is compacted into the longer phrase: a
@@ -31,6 +31,7 @@ columns other than text and lang are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,7 @@ LONGEST = 5  # words of an edge and of a phrase
 CHUNK_WORDS = 1 << 19  # words whose edges are added up at once
 GROUP_WORDS = 1 << 20  # words of the corpus for each group of edges
 FILTER_BITS = 26
+TABLE_WORDS = 1 << 19  # most frequent words, which travel as their places in a table that all tasks have
 HOT_SHARE, STRIDE = 1024, 16  # a hot prefix's least share of all places; of which one in STRIDE is looked at
 TOTAL, WORD, PREFIX = 0, 1, 2
 
@@ -152,25 +154,34 @@ def deal(edges: np.ndarray, hot: np.ndarray, groups: int) -> np.ndarray:
     return (mix(key) % np.uint64(groups)).astype(np.int64)
 
 
-def pack(edges: np.ndarray, n: np.ndarray) -> bytes:
-    """Edges and their numbers with their words in a table of their own, compressed."""
-    words, at = np.unique(edges, return_inverse=True)
-    at = at.reshape(edges.shape).T.astype("<u2" if len(words) <= 1 << 16 else "<u4")
+def pack(edges: np.ndarray, n: np.ndarray, table: np.ndarray) -> bytes:
+    """Edges and their numbers, compressed: places in `table` (ascending fingerprints) for the words that are in it,
+    and in a table of the row's own for the others."""
+    at = np.minimum(np.searchsorted(table, edges), len(table) - 1)
+    outside = table[at] != edges
+    own = np.unique(edges[outside])
+    at[outside] = len(table) + np.searchsorted(own, edges[outside])
+    # The first bytes of all places, then the second ones: high bytes are mostly equal.
+    planes = np.ascontiguousarray(at.T.astype("<u4")).reshape(-1).view(np.uint8).reshape(-1, 4).T
     n = n.astype("<u4" if n.max() < 1 << 32 else "<u8")
-    head = np.array([len(edges), len(words), at.itemsize, n.itemsize], "<u8")
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in (head, words.astype("<u8"), np.ascontiguousarray(at), n)))
+    head = np.array([len(edges), len(own), n.itemsize], "<u8")
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(np.ascontiguousarray(x).tobytes() for x in (head, own.astype("<u8"), planes, n)))
 
 
-def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def unpack(data: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(data)
-    rows, count, width, size = np.frombuffer(raw, "<u8", 4).tolist()
-    words = np.frombuffer(raw, "<u8", count, 32)
-    at = np.frombuffer(raw, f"<u{width}", rows * LONGEST, 32 + 8 * count)
-    n = np.frombuffer(raw, f"<u{size}", rows, 32 + 8 * count + width * rows * LONGEST)
-    return words[at.reshape(LONGEST, rows).T], n.astype(np.int64)
-
-
-def _added_up(edges: np.ndarray, hot: np.ndarray, groups: int) -> pa.RecordBatch:
+    rows, count, size = np.frombuffer(raw, "<u8", 3).tolist()
+    own = np.frombuffer(raw, "<u8", count, 24)
+    planes = np.frombuffer(raw, np.uint8, 4 * rows * LONGEST, 24 + 8 * count)
+    at = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(LONGEST, rows).T.astype(np.int64)
+    n = np.frombuffer(raw, f"<u{size}", rows, 24 + 8 * count + 4 * rows * LONGEST)
+    words = table[np.minimum(at, len(table) - 1)]
+    outside = at >= len(table)
+    words[outside] = own[at[outside] - len(table)]
+    return words, n.astype(np.int64)
+
+
+def _added_up(edges: np.ndarray, hot: np.ndarray, groups: int, table: np.ndarray) -> pa.RecordBatch:
     """Equal edges as one, a packed row for each group."""
     group = deal(edges, hot, groups)
     # By group, then by a hash of the edge: equal edges become neighbours.
@@ -182,31 +193,46 @@ def _added_up(edges: np.ndarray, hot: np.ndarray, groups: int) -> pa.RecordBatch
     first = np.flatnonzero(new)
     n, edges, group = np.diff(first, append=len(new)), edges[first], group[first]
     begin = np.flatnonzero(np.diff(group, prepend=-1))
-    packed = [pack(edges[lo:hi], n[lo:hi]) for lo, hi in zip(begin, [*begin[1:], len(group)], strict=True)]
+    packed = [pack(edges[lo:hi], n[lo:hi], table) for lo, hi in zip(begin, [*begin[1:], len(group)], strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(group[begin]), pa.array(packed, pa.binary())], ["group", "edges"])
 
 
-def _edge_rows(documents: DataFrame, bits: np.ndarray, hot: np.ndarray, groups: int) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(bits)  # FILTER_BITS bound its size
+class _Shared(NamedTuple):
+    """What all tasks know; its size is bounded by FILTER_BITS, TABLE_WORDS and HOT_SHARE."""
+
+    bits: np.ndarray
+    table: np.ndarray
+    hot: np.ndarray
+
+
+def common_words(words: DataFrame) -> np.ndarray:
+    """Fingerprints of the TABLE_WORDS most frequent words, ascending, and 0 for no word."""
+    most = words.select("print", "n").orderBy(F.desc("n"), "print").limit(TABLE_WORDS).select("print").toArrow()
+    return np.unique(np.append(np.array(most["print"], np.int64).view(np.uint64), np.uint64(0)))
+
 
+def _edge_rows(documents: DataFrame, shared, groups: int) -> DataFrame:
     def work(batches):
+        bits, table, hot = shared.value
         parts, size = [], 0
         for b in batches:
             keys = np.array(field(b, "lang_key"), np.int64)
             for texts in slices(field(b, "text")):
                 tokens = Tokens(texts, keys[texts.first : texts.last])
-                known = _is_frequent(tokens.prints, shared.value)
+                known = _is_frequent(tokens.prints, bits)
                 # A rare word ends a piece like a full stop does.
-                piece = tokens.piece + np.cumsum(~known)
-                edges = edges_of(tokens.prints[known], piece[known])
-                edges = edges[edges[:, 1] != 0]  # single words are counted already
-                parts.append(edges)
-                size += len(edges)
-                if size >= CHUNK_WORDS:
-                    yield _added_up(np.concatenate(parts), hot, groups)
-                    parts, size = [], 0
+                prints, piece = tokens.prints[known], (tokens.piece + np.cumsum(~known))[known]
+                for lo in range(0, len(prints), CHUNK_WORDS):  # a very long text, a part at a time
+                    reach = slice(lo, lo + CHUNK_WORDS + LONGEST - 1)
+                    edges = edges_of(prints[reach], piece[reach])[:CHUNK_WORDS]
+                    edges = edges[edges[:, 1] != 0]  # single words are counted already
+                    parts.append(edges)
+                    size += len(edges)
+                    if size >= CHUNK_WORDS:
+                        yield _added_up(np.concatenate(parts), hot, groups, table)
+                        parts, size = [], 0
         if size:
-            yield _added_up(np.concatenate(parts), hot, groups)
+            yield _added_up(np.concatenate(parts), hot, groups, table)
 
     return map_batches(documents, "group bigint, edges binary", work)
 
@@ -235,11 +261,12 @@ def prefix_counts(edges: np.ndarray, n: np.ndarray, hot: np.ndarray, least: int)
     return np.concatenate(found), np.concatenate(weights)
 
 
-def _phrase_counts(rows: DataFrame, hot: np.ndarray, least: int) -> DataFrame:
+def _phrase_counts(rows: DataFrame, shared, least: int) -> DataFrame:
     """(words, a): all phrases of two and more words that occur `least` times."""
 
-    def work(table: pa.Table) -> pa.Table:
-        edges, n = (np.concatenate(x) for x in zip(*map(unpack, table["edges"].to_pylist()), strict=True))
+    def work(group: pa.Table) -> pa.Table:
+        _, table, hot = shared.value
+        edges, n = (np.concatenate(x) for x in zip(*[unpack(e, table) for e in group["edges"].to_pylist()], strict=True))
         found, n = prefix_counts(edges, n, hot, least)
         size = np.count_nonzero(found, axis=1)
         offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
@@ -297,8 +324,9 @@ def mine_phrases(documents: DataFrame, least: int = 100, top: int | None = 2000,
         everything = totals.agg(F.sum("n")).first()[0] or 0
         common = known.where((F.col("kind") == PREFIX) & (F.col("n") * STRIDE * HOT_SHARE > everything)).select("print").collect()
         hot = np.sort(np.array([r[0] for r in common], np.int64).view(np.uint64))
-        rows = _edge_rows(texts, frequent_filter(words), hot, max(1, -(-everything // GROUP_WORDS)))
-        phrases = scratch.keep(_phrase_counts(rows, hot, least))
+        shared = documents.sparkSession.sparkContext.broadcast(_Shared(frequent_filter(words), common_words(words), hot))
+        rows = _edge_rows(texts, shared, max(1, -(-everything // GROUP_WORDS)))
+        phrases = scratch.keep(_phrase_counts(rows, shared, least))
         scored = scored_phrases(phrases, words, totals, keep_percent)
         if top is not None:  # ties at the limit stay until texts decide
             best_first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
