@@ -128,3 +128,30 @@ def test_every_sql_has_a_query():
 def test_entry_runs(spark):
     rows = entry.entry(spark).collect()
     assert rows and {"date", "channel", "sessions", "revenue"} <= set(rows[0].asDict())
+
+
+@pytest.mark.parametrize(("missing", "warned"), [("zstandard", 1), ("tidemark.llm", 0)])
+def test_queries_stay_without_the_training_data_part(monkeypatch, recwarn, missing, warned):
+    """A library that it needs is not there, or the part itself has been taken out."""
+
+    def gone(name):
+        raise ModuleNotFoundError(f"No module named {missing!r}", name=missing)
+
+    monkeypatch.setattr(entry, "import_module", gone)
+    assert set(entry.queries()) == set(entry.QUERIES) and set(entry.oracle_sql()) <= set(entry.QUERIES)
+    assert bool([w for w in recwarn if "tidemark.llm" in str(w.message)]) == bool(warned)
+
+
+def test_facts_read_stored_tables_and_meet_once(run):
+    text = final_plan(run.facts())
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
+    on_week = re.findall(r"Exchange hashpartitioning\(week#", text)
+    assert len(on_week) == 1
+
+
+def test_quarantine_reads_its_table_once(spark, tmp_path):
+    samples.dirty_daily(samples.orders_daily(spark, FOLDER)).write.parquet(str(tmp_path / "t"))
+    valid, bad = quality.validate_daily(spark.read.parquet(str(tmp_path / "t")), entry.OPEN)
+    for df in (valid, bad):
+        text = final_plan(df)
+        assert text.count("FileScan") == 1 and "Window" not in text

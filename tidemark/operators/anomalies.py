@@ -108,45 +108,58 @@ def trailing_baseline(daily: DataFrame, settings: Settings) -> DataFrame:
         *needed,
         *[F.collect_list(F.col(c).cast("double")).over(frame).alias(f"_{c}") for c in needed],
     )
+    # Several metrics rest on one count, whose median is found once a day.
+    bases = [c for c in dict.fromkeys(fv.VOLUME_BASIS.values()) if c in needed]
+    trailing = computed_once(trailing, **{f"_volume_{c}": array_median(F.col(f"_{c}")) for c in bases})
     entries = _metric_entries(
         settings.metrics,
         baseline_values=lambda metric, basis: F.col(f"_{metric}"),
-        volume_values=lambda metric, basis: F.col(f"_{basis}")
-        if basis
-        else F.lit(None).cast("array<double>"),
+        volume_median=lambda metric, basis: F.col(f"_volume_{basis}") if basis else F.lit(None).cast("double"),
     )
     return trailing.select("channel", "is_total", "date", "spend_is_simulated", F.inline(entries))
 
 
 def enough_volume(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Add the median volume and whether it lets the day be scored; unknown volume does."""
-    rows = computed_once(rows, volume_median=array_median(F.col("volume_values")))
+    """Add whether the median volume lets the day be scored; unknown volume does."""
     enough = F.col("volume_median") >= settings.min_daily_volume
     return rows.withColumn("enough_volume", F.coalesce(enough, F.lit(True)))
 
 
+def _least_radius(count: Column) -> Column:
+    """The radius around ``baseline`` that holds `count` of the sorted values: the count-th smallest deviation.
+
+    The nearest values are neighbours in the sorted array, so it is a minimum over runs of that length, and
+    the deviations need not be sorted.
+    """
+    ordered, median = F.col("_sorted"), F.col("baseline")
+    starts = F.sequence(F.lit(0), F.size(ordered) - count)
+
+    def radius(i: Column) -> Column:
+        return F.greatest(median - F.get(ordered, i), F.get(ordered, i + count - 1) - median)
+
+    return F.array_min(F.transform(starts, radius))
+
+
 def robust_z(rows: DataFrame) -> DataFrame:
     """Add baseline (the median) and z, the modified z-score of value.
 
     The scale is the median deviation, or the mean deviation where that is 0; z is NULL for a
-    constant baseline.
+    constant baseline. Values are sorted once.
     """
-    values, median = F.col("baseline_values"), F.col("baseline")
-    rows = computed_once(rows, baseline=array_median(values))
-    rows = computed_once(rows, _deviations=F.transform(values, lambda v: F.abs(v - median)))
-    deviations = F.col("_deviations")
-    total = F.aggregate(deviations, F.lit(0.0), lambda a, d: a + d)
-    rows = computed_once(
-        rows, _mad=array_median(deviations), _mean_ad=safe_divide(total, F.size(deviations))
-    )
-    distance = F.col("value") - median
-    z = F.when(
-        F.col("_mad") > 0, safe_divide(F.lit(fv.MAD_TO_SIGMA) * distance, F.col("_mad"))
-    ).when(
-        F.col("_mean_ad") > 0,
-        safe_divide(distance, F.lit(fv.MEAN_AD_TO_SIGMA) * F.col("_mean_ad")),
+    rows = computed_once(rows, _sorted=F.sort_array("baseline_values"))
+    values, n = F.col("_sorted"), F.size("_sorted")
+    low, high = F.get(values, F.floor((n - 1) / 2).cast("int")), F.get(values, F.floor(n / 2).cast("int"))
+    rows = rows.withColumn("baseline", F.when(n > 0, (low + high) / 2))
+    half = F.floor((n + 1) / 2).cast("int")
+    even = (_least_radius(half) + _least_radius(half + 1)) / 2
+    rows = computed_once(rows, _mad=F.when(n > 0, F.when(n % 2 == 1, _least_radius(half)).otherwise(even)))
+    distance = F.col("value") - F.col("baseline")
+    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + F.abs(v - F.col("baseline")))
+    # Only where the median deviation is 0 are all deviations added up.
+    z = F.when(F.col("_mad") > 0, safe_divide(F.lit(fv.MAD_TO_SIGMA) * distance, F.col("_mad"))).when(
+        F.col("_mad") == 0, safe_divide(distance, F.lit(fv.MEAN_AD_TO_SIGMA) * safe_divide(total, n))
     )
-    return rows.withColumn("z", z).drop("_deviations", "_mad", "_mean_ad")
+    return rows.withColumn("z", z).drop("_sorted", "_mad")
 
 
 def scored_days(daily: DataFrame, settings: Settings) -> DataFrame:
