@@ -2,7 +2,7 @@
 
 Equal vectors are one class. Classes are dealt to the shards of all cluster centres that are nearly
 as near as the nearest one (MARGIN), and of the PROBES nearest, so shards overlap; centres are fitted on a bounded sample (FIT_ROWS vectors, chosen by
-hash), every class is indexed. A shard with more than BLOCK_ROWS members is dealt to blocks by
+hash), every class is indexed. Where the table is so large that shards overfill, they are cut by centres of their own. A shard with more than BLOCK_ROWS members is dealt to blocks by
 hash. In each block a graph is built by beam search and robust pruning, and the adjacency lists that
 a class gets in its shards are united. Then every pair of blocks of a shard is one task: the members
 of either block search the other's graph from its medoid, the search grows over the graph as
@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import field, map_batches
+from tidemark.llm.bytescan import mix
 from tidemark.llm.components import connected_components
 from tidemark.plans.materialize import materialize
 
@@ -43,6 +44,7 @@ FIT_ROWS, SHARD_ROWS, BLOCK_ROWS, ROUNDS = 20_000, 1024, 2048, 6
 DEGREE, BEAM, WIDTH, ALPHA, INCOMING = 24, 32, 4, 1.2, 32
 BATCH = 128
 PROBES, MARGIN, TRIES = 2, 2.5, 3
+SPLIT_ROWS, GROUP_ROWS = 8 * SHARD_ROWS, 1 << 14
 AUDIT_ROWS, AUDIT_SLICES, AUDIT_LINKED = 4000, 50, 200
 RECALL, LEAST_RECALL = 0.99, 0.9  # what a try should reach, and what the last one has to
 
@@ -258,11 +260,57 @@ def _placed(classes: DataFrame, centres: dict[int, np.ndarray], margin: float, c
     schema = "class bigint, copies bigint, unit binary, shards array<bigint>"
     placed = materialize(map_batches(classes.select("class", "copies", "unit"), schema, work))
     each = placed.withColumn("shard", F.explode("shards"))
+    counts = materialize(each.groupBy("shard").agg(F.count(F.lit(1)).alias("n")))
+    if counts.where(F.col("n") > SPLIT_ROWS).head(1):
+        placed = materialize(_split(placed, each, counts, margin, cosine))
+        each = placed.withColumn("shard", F.explode("shards"))
     blocks = each.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
     each = each.join(materialize(blocks), "shard")
     return each.withColumn("block", F.pmod(F.xxhash64("class", "shard"), F.col("blocks")).cast("int"))
 
 
+def _split(placed: DataFrame, each: DataFrame, counts: DataFrame, margin: float, cosine: float) -> DataFrame:
+    """`placed` with shards above SPLIT_ROWS cut into about SHARD_ROWS members.
+
+    Members chosen by hash are the centres of a shard's parts, and members go to parts by the same rule as vectors
+    go to shards. So the number of shards is not bounded by the sample that the first centres come from. A shard is
+    cut in tasks of GROUP_ROWS members, each of which gets the shard's centres, a thousandth of its members.
+    """
+    large = counts.where(F.col("n") > SPLIT_ROWS).select(
+        "shard", "n", F.ceil(F.col("n") / SHARD_ROWS).alias("parts"), F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("groups")
+    )
+    members = each.select("class", "unit", "shard").join(large, "shard")
+    place = F.pmod(F.xxhash64("class", "shard", F.lit("part")), F.col("n"))
+    centres = members.where(place < 2 * F.col("parts")).withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    dealt = members.withColumn("group", F.pmod(F.xxhash64("class", "shard"), F.col("groups")).cast("int"))
+    columns = ["shard", "group", "class", "unit"]
+    both = dealt.select(*columns, F.lit(False).alias("centre")).unionByName(centres.select(*columns, F.lit(True).alias("centre")))
+
+    def work(key: tuple, table: pa.Table) -> pa.Table:
+        shard = key[0].as_py()
+        is_centre = np.array(table["centre"])
+        found = []
+        for length in {len(u) for u in table["unit"].to_pylist()}:
+            of_length = np.array(pc.equal(pc.binary_length(table["unit"]), length))
+            centres = table.filter(pa.array(is_centre & of_length)).sort_by("class")
+            own = table.filter(pa.array(~is_centre & of_length))
+            if not centres.num_rows:  # hardly ever: the shard stays whole
+                found.append((own["class"].combine_chunks(), [[shard]] * own.num_rows))
+                continue
+            reach = margin * np.sqrt((2 - 2 * cosine) / (length // 8))
+            names = mix(np.array(centres["class"], np.int64).view(np.uint64) ^ mix(np.array([shard], np.int64).view(np.uint64)))
+            names = (names >> np.uint64(1)).astype(np.int64)  # a part's number is made of its shard's and its centre's
+            x, c = _matrix(own["unit"]), _matrix(centres["unit"])
+            at = [a for lo in range(0, len(x), BATCH) for a in _nearest_shards(x[lo : lo + BATCH], c, reach, 0)]
+            found.append((own["class"].combine_chunks(), [names[a].tolist() for a in at]))
+        return pa.table({"class": pa.concat_arrays([f[0] for f in found]), "parts": pa.array([p for f in found for p in f[1]], pa.list_(pa.int64()))})
+
+    cut = both.groupBy("shard", "group").applyInArrow(work, "class bigint, parts array<bigint>")
+    whole = each.join(large.select("shard"), "shard", "left_anti").select("class", F.array("shard").alias("parts"))
+    lists = cut.unionByName(whole).groupBy("class").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("parts")))).alias("shards"))
+    return placed.drop("shards").join(lists, "class").select("class", "copies", "unit", "shards")
+
+
 def _adjacency(placed: DataFrame) -> DataFrame:
     """(class, near): a class's out-neighbours, united over its shards."""
 
