@@ -43,7 +43,7 @@ SLACK = 0.05  # the search walks on through vectors that miss the range by so mu
 FIT_ROWS, SHARD_ROWS, BLOCK_ROWS, ROUNDS = 20_000, 1024, 2048, 6
 DEGREE, BEAM, WIDTH, ALPHA, INCOMING = 24, 32, 4, 1.2, 32
 BATCH = 128
-PROBES, MARGIN, TRIES = 2, 2.5, 3
+PROBES, MARGIN, TRIES = 2, 1.0, 3
 SPLIT_ROWS, GROUP_ROWS = 8 * SHARD_ROWS, 1 << 14
 AUDIT_ROWS, AUDIT_SLICES, AUDIT_LINKED = 4000, 50, 200
 RECALL, LEAST_RECALL = 0.99, 0.9  # what a try should reach, and what the last one has to
