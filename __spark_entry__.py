@@ -14,7 +14,7 @@ from collections.abc import Callable
 from datetime import date
 from importlib import import_module
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -191,6 +191,20 @@ def scan_daily(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_daily(spark, path)
 
 
+def sink_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of every row in the files of the daily table, one file after the other."""
+    path = _place(spark, "daily")
+    tables.write_daily(samples.orders_daily(spark, folder), path)
+    (span,) = RangedTable(spark, path).spans()
+    stored = spark.read.parquet(f"{path}/data/{span.folder}")
+    rows = stored.select("date", "channel", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    # A row a file: files hold consecutive spans of dates.
+    earlier = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("file").agg(F.min("date").alias("first"), F.count(F.lit(1)).alias("n"))
+    files = files.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    return rows.join(files, "file").select("date", "channel", (F.col("before") + F.col("row") + 1).alias("position"))
+
+
 def scan_spend(spark: SparkSession, folder: str) -> DataFrame:
     path = _place(spark, "spend")
     tables.write_spend(samples.orders_spend(spark, folder), path)
@@ -565,7 +579,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         scan_events_range, extract_event_params, channel_mapping, session_funnel_flags,
         first_touch_attribution, purchase_dedup, first_firing_index, purchase_dedup_by_range, purchases_by_session, daily_channel_rollup,
-        weekly_from_events, scan_daily, scan_spend, validate_daily, structure_faults, quarantine_daily,
+        weekly_from_events, scan_daily, sink_order, scan_spend, validate_daily, structure_faults, quarantine_daily,
         quarantine_duplicates, quarantine_spend, quarantine_summary, profile_summary,
         profile_null_rates, profile_channel_shares, profile_report, weekly_spend, iso_week, iso_week_start,
         calendar, seasonal_context_day, seasonal_context_week, daily_with_spend, daily_metrics,
