@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from tests.compare import compare
 from tests.llm.conftest import awkward, prose
 from tidemark.llm import partenum as pe
 from tidemark.llm import vector_graph as vg
@@ -207,6 +210,18 @@ def test_vectors_against_all_pairs(spark, monkeypatch, block):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values())
 
 
+def test_vector_sql_on_planted_links(spark, tmp_path):
+    """The sample table has hardly a link; here groups, pairs just in range, copies and unusable vectors are planted."""
+    rows = [(i, [float(np.float32(c)) for c in v]) for i, v in spread_with_pairs(40, 120, hot=25)]
+    rows += [(10_000 + i, rows[i][1]) for i in range(0, 60, 7)] + [(20_000, None), (20_001, []), (20_002, [0.0] * 24), (20_003, [float("nan")] * 24), (20_004, [1.0] * 23)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    query = entry.queries()["op4_vector_graph"](spark, str(tmp_path))
+    assert query.where("n_links > 0").count() > 100
+    assert compare(con, entry.oracle_sql()["op4_vector_graph"], query) == ""
+
+
 def test_vector_edge_cases(spark):
     table = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert vg.link_vectors(table).count() == 0
