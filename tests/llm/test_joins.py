@@ -6,6 +6,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tests.compare import compare
 from tests.llm.conftest import awkward, prose
+from tidemark.llm import bytescan
 from tidemark.llm import partenum as pe
 from tidemark.llm import vector_graph as vg
 from tidemark.llm.components import connected_components
@@ -165,6 +167,51 @@ def test_an_id_of_nothing_but_nulls(spark):
     assert pe.keep_one(table).count() == 3
 
 
+def unlike_with_common_passage(seed: int, documents: int) -> list[tuple]:
+    """Texts of their own words around one common passage, with a near copy for every fourth one."""
+    rnd = random.Random(seed)
+    passage = prose(1, 60)
+    rows = []
+    for i in range(documents):
+        own = prose(1000 + i, rnd.randint(6, 25))
+        rows.append((i, f"{own} {passage}"))
+        if i % 4 == 0:
+            rows.append((10_000 + i, f"{own} {passage} more"))
+    return rows
+
+
+@pytest.mark.parametrize("large", [1, 64, 10**6])
+def test_large_buckets_of_unlike_sets(spark, monkeypatch, large):
+    monkeypatch.setattr(pe, "LARGE_BUCKET", large)
+    rows = unlike_with_common_passage(3, 150)
+    found, _ = linked([t for _, t in rows], 4, 90)
+    label = smallest_reachable(range(len(rows)), found)
+    want = {rows[i][0]: min(rows[j][0] for j in label if label[j] == label[i]) for i in label}
+    got = {r["doc_id"]: r["component_id"] for r in pe.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), n=4, percent=90).collect()}
+    assert got == want
+
+
+def test_second_signatures_lose_no_similar_pair():
+    rnd = random.Random(9)
+    for size in (8, 30, 90, 150, 400):
+        base = [f"w{rnd.randint(0, 10**9)}" for _ in range(size + 3)]
+        other = list(base)
+        for _ in range(max(0, size // 60)):
+            other[rnd.randrange(len(other))] = "changed"
+        texts = pa.array([" ".join(base), " ".join(other)])
+        (part,) = bytescan.slices(texts)
+        found, owner = pe.sets_of(part, 4)
+        x, y = (set(found[owner == i].tolist()) for i in (0, 1))
+        if 100 * len(x & y) < 85 * len(x | y):
+            continue
+        sizes = np.bincount(owner, minlength=2)
+        for seed in (0, 1):
+            sig, of = pe.signatures(found, owner, sizes, np.ones(2, bool), 85, seed=seed)
+            assert set(sig[of == 0].tolist()) & set(sig[of == 1].tolist()), (size, seed)
+        one, two = (set(pe.signatures(found, owner, sizes, np.ones(2, bool), 85, seed=s)[0].tolist()) for s in (0, 1))
+        assert not one & two or size < 20
+
+
 def vectors(seed: int) -> list[tuple]:
     rnd = np.random.default_rng(seed)
     rows, at = [], 0

@@ -19,7 +19,10 @@ share a fingerprint with probability n^2 / 2^65.
 A bucket (classes with one signature) is not turned into all its pairs. Every class is compared
 with the bucket's pivot, the class with most shared signatures; verified links give components. Only
 in buckets that still hold several components are the remaining pairs across components compared,
-each class outside the bucket's largest component with the rest. So the components are those of all links.
+each class outside the bucket's largest component with the rest. So the components are those of all links. Many unlike
+sets may share a signature of a few common shingles. In buckets of more than LARGE_BUCKET classes only
+those pairs are compared that also share a signature of a second, independent cut of the domain, as similar sets do: what
+unlike sets share by chance in one cut, they hardly share in both.
 
 Comparing begins with sketches: SKETCH parity bits of the set's hashes. Every differing element flips
 one bit, so sets whose sketches differ in more bits than the allowed differences are no link, and
@@ -53,6 +56,7 @@ LARGEST = 1 << 40
 SKETCH = 1024  # bits
 #: Rows of two or three numbers that are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_CLASSES = 200_000
+LARGE_BUCKET = 64  # classes above which those of several components are told apart by second signatures
 
 
 @lru_cache(4)
@@ -119,8 +123,8 @@ def may_link(a: str, b: str, percent: int) -> Column:
     return sizes & (differing * (100 + percent) <= (n + m) * (100 - percent))
 
 
-def signatures(found: np.ndarray, owner: np.ndarray, size: np.ndarray, wanted: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, text) of the wanted texts' sets."""
+def signatures(found: np.ndarray, owner: np.ndarray, size: np.ndarray, wanted: np.ndarray, percent: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, text) of the wanted texts' sets; another seed cuts the domain into other parts."""
     firsts = bands(percent)
     start = np.cumsum(size) - size
     groups: dict[int, list[int]] = {}
@@ -129,7 +133,7 @@ def signatures(found: np.ndarray, owner: np.ndarray, size: np.ndarray, wanted: n
         highest = bisect_right(firsts, 100 * int(size[text]) // percent) - 1
         for band in range(own, highest + 1):
             groups.setdefault(band, []).append(text)
-    spread = mix(found + np.uint64(0x632BE59BD9B4E019)) >> np.uint64(32)
+    spread = mix(found + np.uint64(0x632BE59BD9B4E019 + seed)) >> np.uint64(32)
     value = mix(found)
     out, of = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     for band, members in groups.items():
@@ -250,6 +254,26 @@ def _sets(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int, scrat
     return scratch.keep(map_batches(texts, "class bigint, shingles binary", work).dropDuplicates(["class"]))
 
 
+def _second_signatures(documents: DataFrame, info: DataFrame, classes: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(class, second): signatures of another cut of the domain that several of the classes share."""
+    wanted = scratch.keep(classes.join(info, "class").select(F.col("class").alias("_class"), F.col("doc_id").alias("_doc")))
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    texts = texts.join(_broadcast_if_small(wanted), F.col("doc_id").eqNullSafe(F.col("_doc"))).select("_class", "text")
+
+    def work(batches):
+        for b in batches:
+            asked = np.array(field(b, "_class"))
+            for texts in slices(field(b, "text")):
+                found, owner = sets_of(texts, n)
+                size, print_ = fingerprints(found, owner, len(texts))
+                sig, of = signatures(found, owner, size, print_ == asked[texts.first : texts.last], percent, seed=1)
+                yield pa.RecordBatch.from_arrays([pa.array(print_[of]), pa.array(sig.view(np.int64))], ["class", "second"])
+
+    rows = map_batches(texts, "class bigint, second bigint", work).distinct()
+    seen = F.count(F.lit(1)).over(Window.partitionBy("second"))
+    return scratch.keep(rows.withColumn("_n", seen).where("_n > 1").drop("_n"))
+
+
 def _verified(documents: DataFrame, info: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity. `a` may be a hub, so its set is joined to
     the slim pairs first. The sets are dropped as soon as the pairs are stored."""
@@ -305,13 +329,20 @@ def class_links(documents: DataFrame, profiles: DataFrame, n: int, percent: int,
     placed = scratch.keep(wide.select("sig", "class", "pivot", F.coalesce("component", "class").alias("component")))
     counts = placed.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = F.max(F.struct("n", "component")).getField("component")
-    torn = counts.groupBy("sig").agg(largest.alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    torn = counts.groupBy("sig").agg(largest.alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("size")).where("parts > 1")
     # The pivot has been compared with all the others.
-    open_ = placed.where("class <> pivot").join(torn.select("sig", "main"), "sig").select("sig", "class", "component", "main")
-    open_ = scratch.keep(open_.join(info.select("class", F.struct("n_shingles", "sketch").alias("info")), "class"))
-    odd = open_.where("component <> main").select("sig", F.col("class").alias("a"), F.col("component").alias("own"), F.col("info").alias("a_info"))
-    other = open_.select("sig", F.col("class").alias("b"), "component", "main", F.col("info").alias("b_info"))
-    across = (odd.sig == other.sig) & (F.col("own") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("b")))
+    open_ = placed.where("class <> pivot").join(torn.select("sig", "main", "size"), "sig")
+    open_ = scratch.keep(open_.select("sig", "class", "component", "main", "size"))
+    each = open_.where(F.col("size") <= LARGE_BUCKET).withColumn("second", F.lit(0).cast("bigint"))
+    large = open_.where(F.col("size") > LARGE_BUCKET)
+    if large.head(1):
+        second = _second_signatures(documents, info, large.select("class").distinct(), n, percent, scratch)
+        each = each.unionByName(large.join(second, "class").select(*each.columns))
+    each = scratch.keep(each.join(info.select("class", F.struct("n_shingles", "sketch").alias("info")), "class"))
+    odd = each.where("component <> main").select("sig", "second", F.col("class").alias("a"), F.col("component").alias("own"), F.col("info").alias("a_info"))
+    other = each.select("sig", "second", F.col("class").alias("b"), "component", "main", F.col("info").alias("b_info"))
+    across = (odd.sig == other.sig) & (odd.second == other.second)
+    across &= (F.col("own") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("b")))
     rest = odd.join(other, across & may_link("a_info", "b_info", percent))
     rest = scratch.keep(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     return links.unionByName(_verified(documents, info, rest, n, percent, scratch))
