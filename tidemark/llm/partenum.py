@@ -56,7 +56,7 @@ LARGEST = 1 << 40
 SKETCH = 1024  # bits
 #: Rows of two or three numbers that are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_CLASSES = 200_000
-LARGE_BUCKET = 64  # classes above which those of several components are told apart by second signatures
+LARGE_BUCKET = 1024  # classes above which those of several components are told apart by second signatures
 
 
 @lru_cache(4)
